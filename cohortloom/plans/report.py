@@ -53,8 +53,7 @@ def eligible_persons(inputs: streams.Inputs, repeats: bool = False) -> DataFrame
         else persons.join(rows.distinct(), keys, "left_semi")
     )
     return kept.select(
-        F.col("Sta3n").alias("site"),
-        F.col("PatientSID").alias("person_id"),
+        *keys,
         F.col("PatientName").alias("person_name"),
         F.col("PatientSSN").alias("person_national_id"),
         F.col("Age").alias("age"),
@@ -74,31 +73,15 @@ def report(
     once, at the end. ``latest_only`` keeps each stream's newest event per
     person; ``show_rank`` and ``person_rank`` add rank columns.
     """
-    if show_rank or person_rank:
-        events = sections.all_events(inputs)
-        events = events.where(F.col("recency") == 1) if latest_only else events
-    elif latest_only:
-        events = sections.all_events(inputs, latest_only=True)
+    if show_rank or person_rank or latest_only:
+        rows = _ranked_rows(inputs, show_rank or person_rank, person_rank, latest_only)
     else:
-        day = replace(inputs, grain=streams.REPORT)
+        day = replace(inputs, grain=streams.REPORT, persons=eligible_persons(inputs))
         # A row selected by two sections is the same report row.
-        events = stacked([streams.BUILDERS[n](day) for n in streams.present(inputs.spec)])
-
-    extra = ["recency"] if show_rank or person_rank else []
-    events = events.where(~F.col("label").like(inputs.spec.dropped_label_pattern)).select(
-        "site", "person_id", F.col("event_ts").cast("date").alias("event_date"), *_SHOWN, *extra
-    )
-    rows = salted_join(
-        events,
-        eligible_persons(inputs, repeats=person_rank),
-        ["site", "person_id"],
-        inputs.run.person_salts,
-        ["event_date", *_SHOWN],
-    )
-    rows = rows.withColumn(
-        "age_at_event", x.age_at(F.col("age"), F.col("event_date"), inputs.run.as_of)
-    ).select(*schemas.REPORT_COLUMNS, *extra)
+        rows = stacked([streams.BUILDERS[n](day) for n in streams.present(inputs.spec)])
 
+    extra = [c for c in ("recency",) if c in rows.columns]
+    rows = _shown(inputs, rows, extra)
     if person_rank:
         order = ranking.ties(["recency", *schemas.REPORT_COLUMNS])
         rows = rows if inputs.run.hot_rows is None else staged(rows, "report-rows")
@@ -108,6 +91,38 @@ def report(
     return rows.distinct()
 
 
+def _ranked_rows(
+    inputs: streams.Inputs, numbered: bool, repeats: bool, latest_only: bool
+) -> DataFrame:
+    """Ranked events with their person's columns. Ranks are per person, so
+    leaving out other persons first does not change them; names come after, as
+    a person listed twice must not be ranked twice."""
+    # Distinct on the keys the semi-join is partitioned by: no further shuffle.
+    keys = eligible_persons(inputs).select("Sta3n", "PatientSID").distinct()
+    wanted = replace(inputs, persons=keys)
+    if numbered:
+        events = sections.all_events(wanted)
+        events = events.where(F.col("recency") == 1) if latest_only else events
+    else:
+        events = sections.all_events(wanted, latest_only=True).drop("recency")
+    persons = eligible_persons(inputs, repeats).withColumnsRenamed(
+        {"Sta3n": "site", "PatientSID": "person_id"}
+    )
+    return salted_join(
+        events, persons, ["site", "person_id"], inputs.run.person_salts, ["event_ts", *_SHOWN]
+    )
+
+
+def _shown(inputs: streams.Inputs, rows: DataFrame, extra: list[str]) -> DataFrame:
+    """Report columns of the rows whose label may be shown."""
+    return (
+        rows.where(~F.col("label").like(inputs.spec.dropped_label_pattern))
+        .withColumn("event_date", F.col("event_ts").cast("date"))
+        .withColumn("age_at_event", x.age_at(F.col("age"), F.col("event_date"), inputs.run.as_of))
+        .select(*schemas.REPORT_COLUMNS, *extra)
+    )
+
+
 def ordered(rows: DataFrame) -> DataFrame:
     """By person name, newest first. The remaining columns follow as
     tie-breakers: the order is total, and equal names can be split over tasks."""

@@ -10,6 +10,9 @@ fan-out joins, because ranks count them. The *thin* grain is for the report,
 which is distinct and shows days: each side of a fan-out join is reduced to
 its distinct values before the join. The joined size is then bounded by the
 distinct report rows, also where one visit id holds a large part of both sides.
+
+A stream can also be limited to some persons. Their join comes before the
+fan-out joins, on the few rows a code set selected, not on their products.
 """
 
 from __future__ import annotations
@@ -23,10 +26,12 @@ from pyspark.sql import functions as F
 from cohortloom.functions import expressions as x
 from cohortloom.functions import predicates as p
 from cohortloom.operators import ranking
+from cohortloom.operators.joins import salted_join
 from cohortloom.operators.staging import staged
 from cohortloom.schemas import EVENT_COLUMNS
 from cohortloom.spec import ReportSpec, Run, Section
 
+_PERSON = ["Sta3n", "PatientSID"]
 _VALUES = ["event_ts", "label", "detail", "code1", "code2", "flag"]
 
 
@@ -53,6 +58,18 @@ class Inputs:
     run: Run
     spec: ReportSpec
     grain: Grain = FULL
+    persons: DataFrame | None = None  # Sta3n, PatientSID and columns events then carry
+
+    @property
+    def carried(self) -> list[str]:
+        return [] if self.persons is None else self.persons.columns[len(_PERSON) :]
+
+    def of_persons(self, df: DataFrame, *spread_by: str) -> DataFrame:
+        """``df`` of the wanted persons. One person may hold much of ``df``;
+        ``spread_by`` names the columns that tell that person's rows apart."""
+        if self.persons is None:
+            return df
+        return salted_join(df, self.persons, _PERSON, self.run.person_salts, spread_by)
 
     def lookup(self, name: str, df: DataFrame) -> DataFrame:
         """``df``, derived from dimension ``name``, as a join side: broadcast
@@ -103,11 +120,14 @@ def by_section(sections: Sequence[Section], value: Callable[[Section], Column])
     return result
 
 
-def _event(df: DataFrame, rank_ts: Column, rank_key: Column | None = None) -> DataFrame:
+def _event(
+    inputs: Inputs, df: DataFrame, rank_ts: Column, rank_key: Column | None = None
+) -> DataFrame:
     return df.select(
         "section",
         F.col("Sta3n").alias("site"),
         F.col("PatientSID").alias("person_id"),
+        *inputs.carried,
         *_VALUES,
         (x.no_text() if rank_key is None else rank_key).alias("rank_key"),
         rank_ts.alias("rank_ts"),
@@ -174,7 +194,7 @@ def selected_procedures(inputs: Inputs, sections: Sequence[Section]) -> DataFram
             F.when(~F.col("needs_exam"), F.col("Comments")).alias("comments"),
         )
     )
-    return inputs.grain.of(rows)
+    return inputs.grain.of(inputs.of_persons(rows, "VisitSID", "event_ts", "label", "comments"))
 
 
 def procedures(inputs: Inputs) -> DataFrame:
@@ -206,7 +226,7 @@ def procedures(inputs: Inputs) -> DataFrame:
             ),
         )
     )
-    return _event(rows, F.col("event_ts"))
+    return _event(inputs, rows, F.col("event_ts"))
 
 
 def _with_exam_results(inputs: Inputs, rows: DataFrame, all_need: bool) -> DataFrame:
@@ -263,7 +283,8 @@ def observations(inputs: Inputs) -> DataFrame:
         .withColumn("detail", F.col("Comments"))
         .withColumn("code2", x.no_text())
     )
-    return _event(inputs.recent(rows), F.col("HealthFactorDateTime"))
+    rows = inputs.of_persons(inputs.recent(rows), "HealthFactorDateTime", "label", "detail")
+    return _event(inputs, rows, F.col("HealthFactorDateTime"))
 
 
 def labs(inputs: Inputs) -> DataFrame:
@@ -291,7 +312,8 @@ def labs(inputs: Inputs) -> DataFrame:
         )
     )
     raw = F.col("LabChemCompleteDateTime")
-    return _event(inputs.recent(rows), inputs.rank_time(raw, shown), name)
+    rows = inputs.of_persons(inputs.recent(rows), "LabChemSpecimenDateTime", "label", "detail")
+    return _event(inputs, rows, inputs.rank_time(raw, shown), name)
 
 
 # --- specimens -------------------------------------------------------------
@@ -348,16 +370,16 @@ def cytology(inputs: Inputs) -> DataFrame:
             x.labelled("Morph ", F.col("SnomedCode")).alias("code2"),
         )
     )
-    cases = grain.of(t["cytopathology"].select(*case, "PatientSID", *_case_times(inputs)))
+    cases = inputs.recent(t["cytopathology"].select(*case, "PatientSID", *_case_times(inputs)))
     rows = (
-        inputs.recent(cases)
+        grain.of(inputs.of_persons(cases, *case[1:], "event_ts"))
         .join(specimens, case)
         .join(morphologies, case, "left")
         .withColumn(
             "flag", by_section(sections, lambda s: p.flag(F.col("detail"), s.morphology_flags))
         )
     )
-    return _event(rows, F.col("rank_ts"), F.col("CollectionSample"))
+    return _event(inputs, rows, F.col("rank_ts"), F.col("CollectionSample"))
 
 
 def surgical(inputs: Inputs) -> DataFrame:
@@ -382,13 +404,13 @@ def surgical(inputs: Inputs) -> DataFrame:
             x.labelled("SNOMED ", F.col("SnomedCode")).alias("code1"),
         )
     )
-    cases = grain.of(
+    cases = inputs.recent(
         t["surgical_pathology"].select(
             *case, "PatientSID", "SurgicalPathAccNumber", *_case_times(inputs)
         )
     )
     rows = (
-        inputs.recent(cases)
+        grain.of(inputs.of_persons(cases, *case[1:], "event_ts"))
         .join(specimens, case)
         .join(morphologies, case, "left")
         .withColumn(
@@ -402,7 +424,7 @@ def surgical(inputs: Inputs) -> DataFrame:
         .withColumn("code2", x.no_text())
         .withColumn("flag", x.no_text())
     )
-    return _event(rows, F.col("rank_ts"), F.col("Specimen"))
+    return _event(inputs, rows, F.col("rank_ts"), F.col("Specimen"))
 
 
 # --- ranks -----------------------------------------------------------------

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping
+from collections.abc import Callable, Iterator, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,18 +14,21 @@ from cohortloom import schemas
 # Trailing blanks are trimmed at load because LIKE has no collation for them.
 _CASELESS = "string collate UTF8_LCASE"
 
+Place = DataFrame | Callable[[], DataFrame] | str
+
 
 class Tables(Mapping[str, DataFrame]):
     """The source tables of one build: typed, narrowed and limited to its sites.
 
-    ``places`` maps a logical name to a DataFrame, a path or a catalog table.
-    Nothing is read before an action, and only the columns a plan uses.
+    ``places`` maps a logical name to a DataFrame, a function making one, a path
+    or a catalog table. Nothing is read before an action, and then only the
+    columns a plan uses.
     """
 
     def __init__(
         self,
         spark: SparkSession,
-        places: Mapping[str, DataFrame | str],
+        places: Mapping[str, Place],
         sites: tuple[int, ...] | None = None,
         caseless: bool = False,
         format: str = "parquet",
@@ -40,6 +43,7 @@ class Tables(Mapping[str, DataFrame]):
         self._caseless = caseless
         self._format = format
         self._options = dict(options or {})
+        self._opened: dict[str, DataFrame] = {}  # each read lists files and opens a footer
 
     @classmethod
     def under(cls, spark: SparkSession, folder: str, **more) -> Tables:
@@ -54,14 +58,21 @@ class Tables(Mapping[str, DataFrame]):
         return len(self._places)
 
     def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._opened:
+            self._opened[name] = self._typed(name)
+        return self._opened[name]
+
+    def _typed(self, name: str) -> DataFrame:
         df = self._frame(self._places[name])
         if self._sites is not None and "Sta3n" in schemas.columns(name):
             df = df.where(site_is(self._sites))
         return df.select(*[self._column(f) for f in schemas.struct(name).fields])
 
-    def _frame(self, place: DataFrame | str) -> DataFrame:
+    def _frame(self, place: Place) -> DataFrame:
         if isinstance(place, DataFrame):
             return place
+        if callable(place):
+            return place()
         if "/" in place:
             return self._spark.read.format(self._format).options(**self._options).load(place)
         return self._spark.table(place)

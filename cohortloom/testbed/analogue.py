@@ -88,31 +88,43 @@ class Analogue:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self._spark, self._dir = spark, sf_dir
+        self._raw: dict[str, DataFrame] = {}
 
     def raw(self, name: str) -> DataFrame:
-        return self._spark.read.parquet(f"{self._dir}/{name}.parquet")
+        if name not in self._raw:  # each read lists files and opens a footer
+            self._raw[name] = self._spark.read.parquet(f"{self._dir}/{name}.parquet")
+        return self._raw[name]
 
     def inline(self, rows: list[tuple], columns: str) -> DataFrame:
         return self._spark.sql(f"SELECT * FROM VALUES {sql_values(rows)} AS t({columns})")
 
-    def persons(self) -> DataFrame:
-        """Customers with their site."""
-        nation = self.raw("nation").select("n_nationkey", F.col("n_regionkey").alias("Sta3n"))
-        return (
-            self.raw("customer")
-            .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
-            .withColumn("PatientSID", F.col("c_custkey"))
+    def _with_site(self, df: DataFrame, person: str) -> DataFrame:
+        """``df`` with its person's key and site. Single tables are joined one
+        after the other, so each join's right side is a scan of known size."""
+        customer = self.raw("customer").select(F.col("c_custkey").alias("PatientSID"), "c_nationkey")
+        return self._with_region(
+            df.withColumn("PatientSID", F.col(person)).join(customer, "PatientSID"), "c_nationkey"
         )
 
+    def _with_region(self, df: DataFrame, nation: str) -> DataFrame:
+        regions = self.raw("nation").select("n_nationkey", F.col("n_regionkey").alias("Sta3n"))
+        return df.join(regions, F.col(nation) == F.col("n_nationkey"))
+
+    def persons(self) -> DataFrame:
+        customer = self.raw("customer").withColumn("PatientSID", F.col("c_custkey"))
+        return self._with_region(customer, "c_nationkey")
+
+    def suppliers(self) -> DataFrame:
+        return self._with_region(self.raw("supplier"), "s_nationkey")
+
     def orders(self) -> DataFrame:
-        sites = self.persons().select("PatientSID", "Sta3n")
-        return self.raw("orders").withColumn("PatientSID", F.col("o_custkey")).join(sites, "PatientSID")
+        return self._with_site(self.raw("orders"), "o_custkey")
 
     def lines(self) -> DataFrame:
-        return self.raw("lineitem").join(self.orders(), F.col("l_orderkey") == F.col("o_orderkey"))
+        lines = self.raw("lineitem").join(self.raw("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+        return self._with_site(lines, "o_custkey")
 
     def events(self) -> DataFrame:
-        sites = self.persons().select("PatientSID", "Sta3n")
         kind = (
             F.when(F.col("event_type") == "click", 1)
             .when(F.col("event_type") == "error", 2)
@@ -120,12 +132,7 @@ class Analogue:
             .when(F.col("event_type") == "signup", 4)
             .otherwise(5)
         )
-        return (
-            self.raw("events")
-            .withColumn("PatientSID", F.col("user_id"))
-            .withColumn("kind", kind)
-            .join(sites, "PatientSID")
-        )
+        return self._with_site(self.raw("events"), "user_id").withColumn("kind", kind)
 
     def per_site(self, df: DataFrame) -> DataFrame:
         """Each row once per region, as per-site dimensions have it."""
@@ -135,13 +142,8 @@ class Analogue:
         return F.when(F.col("o_orderstatus") != "P", F.col(ts))
 
     def tables(self, **more) -> Tables:
-        lines, orders, events, persons = self.lines(), self.orders(), self.events(), self.persons()
-        part = self.raw("part")
-        nation = self.raw("nation")
-        supplier = self.raw("supplier").join(
-            nation.select("n_nationkey", F.col("n_regionkey").alias("Sta3n")),
-            F.col("s_nationkey") == F.col("n_nationkey"),
-        )
+        lines, orders, events, persons = self.lines, self.orders, self.events, self.persons
+        suppliers, part = self.suppliers, self.raw("part")
         flag, status = F.col("l_returnflag"), F.col("l_linestatus")
         order = F.col("o_orderkey")
 
@@ -152,13 +154,13 @@ class Analogue:
 
         who = {"Sta3n": "Sta3n", "PatientSID": "PatientSID"}
         places = {
-            "icd10_description": named(
-                supplier, ICD10SID="s_suppkey", Sta3n="Sta3n", ICD10Description="s_name"
+            "icd10_description": lambda: named(
+                suppliers(), ICD10SID="s_suppkey", Sta3n="Sta3n", ICD10Description="s_name"
             ),
-            "icd9_description": named(
-                nation, ICD9SID="n_nationkey", Sta3n="n_regionkey", ICD9Description="n_name"
+            "icd9_description": lambda: named(
+                self.raw("nation"), ICD9SID="n_nationkey", Sta3n="n_regionkey", ICD9Description="n_name"
             ),
-            "cpt": named(
+            "cpt": lambda: named(
                 self.per_site(part),
                 CPTSID="p_partkey",
                 Sta3n="Sta3n",
@@ -166,8 +168,8 @@ class Analogue:
                 CPTName="p_name",
                 CPTCategory="p_type",
             ),
-            "v_procedure": named(
-                lines,
+            "v_procedure": lambda: named(
+                lines(),
                 **who,
                 VProcedureSID="l_linenumber",
                 VisitSID="l_orderkey",
@@ -175,15 +177,15 @@ class Analogue:
                 CPTSID="l_partkey",
                 Comments=F.nullif(flag, F.lit("N")),
             ),
-            "v_diagnosis": named(
-                lines.where(flag == "A"),
+            "v_diagnosis": lambda: named(
+                lines().where(flag == "A"),
                 **who,
                 VisitSID="l_orderkey",
                 ICD10SID="l_suppkey",
                 ICD9SID="l_linenumber",
             ),
-            "radiology_exam": named(
-                lines,
+            "radiology_exam": lambda: named(
+                lines(),
                 Sta3n="Sta3n",
                 VisitSID="l_orderkey",
                 RadiologyRegisteredExamSID="l_orderkey",
@@ -192,57 +194,57 @@ class Analogue:
                 .when(flag == "R", -1)
                 .when(status == "O", 12),
             ),
-            "radiology_registered_exam": named(
-                orders, RadiologyRegisteredExamSID=order, Sta3n="Sta3n", ExamDateTime="o_orderdate"
+            "radiology_registered_exam": lambda: named(
+                orders(), RadiologyRegisteredExamSID=order, Sta3n="Sta3n", ExamDateTime="o_orderdate"
             ),
-            "radiology_diagnostic_code": self.per_site(
+            "radiology_diagnostic_code": lambda: self.per_site(
                 self.inline(EXAM_CODES, "RadiologyDiagnosticCodeSID, RadiologyDiagnosticCode")
             ),
-            "health_factor": named(
-                events,
+            "health_factor": lambda: named(
+                events(),
                 **who,
                 HealthFactorDateTime="ts",
                 Comments=F.nullif("props", F.lit('{"k": 7}')),
                 HealthFactorTypeSID=F.col("kind") + F.when(F.col("value") >= 40, 5).otherwise(0),
             ),
-            "health_factor_type": self.inline(
+            "health_factor_type": lambda: self.inline(
                 FACTOR_TYPES, "HealthFactorTypeSID, HealthFactorType, HealthFactorCategory"
             ),
-            "cytopathology": named(
-                orders,
+            "cytopathology": lambda: named(
+                orders(),
                 **who,
                 CytopathologyIEN=order,
                 LabDataIEN="o_custkey",
                 DateTimeSpecimenTaken=self._when_known("o_orderdate"),
                 DateTimeSpecimenReceived=F.col("o_orderdate") + F.expr("INTERVAL 2 DAYS"),
             ),
-            "cyto_organ_morphology": named(
-                lines.where(flag == "R"),
+            "cyto_organ_morphology": lambda: named(
+                lines().where(flag == "R"),
                 CytopathologyIEN=order,
                 LabDataIEN="o_custkey",
                 Sta3n="Sta3n",
                 MorphologyFieldIEN="l_linenumber",
             ),
-            "morphology": self.per_site(
+            "morphology": lambda: self.per_site(
                 self.inline(MORPHOLOGIES, "MorphologyIEN, Morphology, SnomedCode")
             ),
-            "cyto_specimen": named(
-                lines.where(status == "O"),
+            "cyto_specimen": lambda: named(
+                lines().where(status == "O"),
                 CytopathologyIEN=order,
                 LabDataIEN="o_custkey",
                 Sta3n="Sta3n",
                 CollectionSample=F.when(flag == "A", "ASPIRATE").when(flag == "R", "SMEAR"),
                 TopographyFieldIEN="l_partkey",
             ),
-            "topography": named(
+            "topography": lambda: named(
                 self.per_site(part),
                 TopographyIEN="p_partkey",
                 Sta3n="Sta3n",
                 Topography="p_name",
                 SNOMEDCode="p_brand",
             ),
-            "surgical_pathology": named(
-                orders,
+            "surgical_pathology": lambda: named(
+                orders(),
                 **who,
                 SurgicalPathologyIEN=order,
                 LabDataIEN="o_custkey",
@@ -250,26 +252,26 @@ class Analogue:
                 DateTimeSpecimenTaken=self._when_known("o_orderdate"),
                 DateTimeSpecimenReceived=F.col("o_orderdate") + F.expr("INTERVAL 1 DAYS"),
             ),
-            "surg_specimen": named(
-                lines.where(flag != "A").join(part, F.col("l_partkey") == F.col("p_partkey")),
+            "surg_specimen": lambda: named(
+                lines().where(flag != "A").join(part, F.col("l_partkey") == F.col("p_partkey")),
                 SurgicalPathologyIEN=order,
                 LabDataIEN="o_custkey",
                 Sta3n="Sta3n",
                 Specimen="p_name",
             ),
-            "surg_morphology": named(
-                lines.where(status == "F"),
+            "surg_morphology": lambda: named(
+                lines().where(status == "F"),
                 SurgicalPathologyIEN=order,
                 LabDataIEN="o_custkey",
                 Sta3n="Sta3n",
                 MorphologyFieldIEN="l_suppkey",
                 MorphologyField=F.concat(F.lit("FIELD "), F.col("l_linenumber").cast("string")),
             ),
-            "surg_morphology_field": named(
-                supplier, MorphologyFieldIEN="s_suppkey", Sta3n="Sta3n", SnomedCode="s_name"
+            "surg_morphology_field": lambda: named(
+                suppliers(), MorphologyFieldIEN="s_suppkey", Sta3n="Sta3n", SnomedCode="s_name"
             ),
-            "lab_chem": named(
-                events,
+            "lab_chem": lambda: named(
+                events(),
                 **who,
                 LabChemTestSID="kind",
                 LabChemSpecimenDateTime="ts",
@@ -280,9 +282,9 @@ class Analogue:
                 .when(F.col("value") >= 40, "POS")
                 .when(F.col("value") >= 1, F.col("props")),
             ),
-            "lab_chem_test": self.inline(LAB_TESTS, "LabChemTestSID, LabChemTestName"),
-            "patient": named(
-                persons,
+            "lab_chem_test": lambda: self.inline(LAB_TESTS, "LabChemTestSID, LabChemTestName"),
+            "patient": lambda: named(
+                persons(),
                 PatientSID="PatientSID",
                 Sta3n="Sta3n",
                 PatientName=F.when(F.col("c_acctbal") > 9500, None)
@@ -295,15 +297,15 @@ class Analogue:
                     F.col("c_acctbal") < 8500, "N"
                 ),
             ),
-            "enrollment": named(
-                orders,
+            "enrollment": lambda: named(
+                orders(),
                 **who,
                 EnrollmentStatusSID=F.when(F.col("o_orderstatus") == "F", 1)
                 .when(F.col("o_orderstatus") == "O", 2)
                 .when(F.col("o_orderpriority") == "1-URGENT", 4)
                 .otherwise(3),
             ),
-            "enrollment_status": self.per_site(
+            "enrollment_status": lambda: self.per_site(
                 self.inline(
                     [(1, "CANCELLED"), (2, "PENDING"), (3, "REJECTED"), (4, "ENROLLED")],
                     "EnrollmentStatusSID, EnrollmentCategory",

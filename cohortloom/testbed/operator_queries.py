@@ -330,7 +330,9 @@ def join_left_chain_partial(spark, d):
     )
 )
 def join_eligible_semi(spark, d):
-    return plan.eligible_persons(inputs(spark, d)).drop("person_national_id")
+    return plan.eligible_persons(inputs(spark, d)).select(
+        F.col("Sta3n").alias("site"), F.col("PatientSID").alias("person_id"), "person_name", "age"
+    )
 
 
 # --- labels, flags, dates --------------------------------------------------
