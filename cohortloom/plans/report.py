@@ -60,6 +60,10 @@ def eligible_persons(inputs: streams.Inputs, repeats: bool = False) -> DataFrame
     )
 
 
+def _eligible(inputs: streams.Inputs) -> DataFrame:
+    return eligible_persons(inputs) if inputs.eligible is None else inputs.eligible
+
+
 def report(
     inputs: streams.Inputs,
     show_rank: bool = False,
@@ -76,7 +80,7 @@ def report(
     if show_rank or person_rank or latest_only:
         rows = _ranked_rows(inputs, show_rank or person_rank, person_rank, latest_only)
     else:
-        day = replace(inputs, grain=streams.REPORT, persons=eligible_persons(inputs))
+        day = replace(inputs, grain=streams.REPORT, persons=_eligible(inputs))
         # A row selected by two sections is the same report row.
         rows = stacked([streams.BUILDERS[n](day) for n in streams.present(inputs.spec)])
 
@@ -98,16 +102,15 @@ def _ranked_rows(
     leaving out other persons first does not change them; names come after, as
     a person listed twice must not be ranked twice."""
     # Distinct on the keys the semi-join is partitioned by: no further shuffle.
-    keys = eligible_persons(inputs).select("Sta3n", "PatientSID").distinct()
+    keys = _eligible(inputs).select("Sta3n", "PatientSID").distinct()
     wanted = replace(inputs, persons=keys)
     if numbered:
         events = sections.all_events(wanted)
         events = events.where(F.col("recency") == 1) if latest_only else events
     else:
         events = sections.all_events(wanted, latest_only=True).drop("recency")
-    persons = eligible_persons(inputs, repeats).withColumnsRenamed(
-        {"Sta3n": "site", "PatientSID": "person_id"}
-    )
+    persons = eligible_persons(inputs, repeats=True) if repeats else _eligible(inputs)
+    persons = persons.withColumnsRenamed({"Sta3n": "site", "PatientSID": "person_id"})
     return salted_join(
         events, persons, ["site", "person_id"], inputs.run.person_salts, ["event_ts", *_SHOWN]
     )
@@ -140,8 +143,15 @@ def client_names(rows: DataFrame) -> DataFrame:
 
 
 def sized(inputs: streams.Inputs) -> streams.Inputs:
-    """The inputs with every dimension measured (one job) and those within the
-    broadcast bounds marked."""
+    """The inputs with join sides measured: every dimension in one job, and the
+    eligible persons, which every stream joins, from a staged copy. Sides within
+    the broadcast bounds are marked; a single station's persons usually are."""
     held = {n: inputs.tables[n] for n in schemas.DIMENSIONS if n in inputs.tables}
-    small = sizing.broadcastable(held)
-    return replace(inputs, run=replace(inputs.run, broadcast=small))
+    inputs = _marked(inputs, sizing.broadcastable(held))
+    eligible = staged(eligible_persons(inputs), "eligible-persons")
+    inputs = replace(inputs, eligible=eligible)
+    return _marked(inputs, sizing.broadcastable({"eligible": eligible}))
+
+
+def _marked(inputs: streams.Inputs, small: frozenset[str]) -> streams.Inputs:
+    return replace(inputs, run=replace(inputs.run, broadcast=inputs.run.broadcast | small))

@@ -17,7 +17,7 @@ fan-out joins, on the few rows a code set selected, not on their products.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -29,6 +29,7 @@ from cohortloom.operators import ranking
 from cohortloom.operators.joins import salted_join
 from cohortloom.operators.staging import staged
 from cohortloom.schemas import EVENT_COLUMNS
+from cohortloom.sources.loader import Tables
 from cohortloom.spec import ReportSpec, Run, Section
 
 _PERSON = ["Sta3n", "PatientSID"]
@@ -54,11 +55,12 @@ REPORT = Grain(thin=True, by_day=True)
 
 @dataclass(frozen=True)
 class Inputs:
-    tables: Mapping[str, DataFrame]
+    tables: Tables
     run: Run
     spec: ReportSpec
     grain: Grain = FULL
     persons: DataFrame | None = None  # Sta3n, PatientSID and columns events then carry
+    eligible: DataFrame | None = None  # the report's persons, if already computed
 
     @property
     def carried(self) -> list[str]:
@@ -69,6 +71,8 @@ class Inputs:
         ``spread_by`` names the columns that tell that person's rows apart."""
         if self.persons is None:
             return df
+        if "eligible" in self.run.broadcast:
+            return df.join(F.broadcast(self.persons), _PERSON)
         return salted_join(df, self.persons, _PERSON, self.run.person_salts, spread_by)
 
     def lookup(self, name: str, df: DataFrame) -> DataFrame:
@@ -123,13 +127,19 @@ def by_section(sections: Sequence[Section], value: Callable[[Section], Column])
 def _event(
     inputs: Inputs, df: DataFrame, rank_ts: Column, rank_key: Column | None = None
 ) -> DataFrame:
+    def text(c: Column, name: str) -> Column:
+        # One text type in all streams, also for columns that are always NULL.
+        return c.cast(inputs.tables.text_type).alias(name)
+
     return df.select(
         "section",
         F.col("Sta3n").alias("site"),
         F.col("PatientSID").alias("person_id"),
         *inputs.carried,
-        *_VALUES,
-        (x.no_text() if rank_key is None else rank_key).alias("rank_key"),
+        "event_ts",
+        *[text(F.col(c), c) for c in ("label", "detail", "code1", "code2")],
+        "flag",
+        text(x.no_text() if rank_key is None else rank_key, "rank_key"),
         rank_ts.alias("rank_ts"),
     )
 

@@ -14,6 +14,8 @@ def replace_report(rows: DataFrame, path: str, sites: tuple[int, ...] | None = N
     Folders are per site; other sites' folders are not touched. The rebalance
     hint lets AQE split a large site over several files and pack small ones.
     """
+    plain = [F.col(c).cast("string").alias(c) if t.startswith("string") else F.col(c) for c, t in rows.dtypes]
+    rows = rows.select(*plain)  # a stored report has no collation
     out = rows.hint("rebalance", "site").sortWithinPartitions(
         "site", F.col("person_name").asc_nulls_first(), F.col("event_date").desc_nulls_last()
     )

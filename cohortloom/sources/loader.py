@@ -45,6 +45,11 @@ class Tables(Mapping[str, DataFrame]):
         self._options = dict(options or {})
         self._opened: dict[str, DataFrame] = {}  # each read lists files and opens a footer
 
+    @property
+    def text_type(self) -> str:
+        """The type text columns are compared in."""
+        return _CASELESS if self._caseless else "string"
+
     @classmethod
     def under(cls, spark: SparkSession, folder: str, **more) -> Tables:
         """All 24 tables as ``folder/<name>``."""
@@ -79,7 +84,7 @@ class Tables(Mapping[str, DataFrame]):
 
     def _column(self, f) -> Column:
         if self._caseless and isinstance(f.dataType, StringType):
-            return F.rtrim(F.col(f.name)).cast(_CASELESS).alias(f.name)
+            return F.rtrim(F.col(f.name)).cast(self.text_type).alias(f.name)
         return F.col(f.name).cast(f.dataType).alias(f.name)
 
 

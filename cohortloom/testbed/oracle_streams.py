@@ -6,6 +6,8 @@ written out as plain joins over them, so nothing of the Spark plans is shared.
 
 from __future__ import annotations
 
+import re
+
 from cohortloom.testbed import analogue as a
 
 _SITES = "(VALUES (0), (1), (2), (3), (4)) AS r(site)"
@@ -205,8 +207,6 @@ SOURCES |= {
 
 def statement(select: str) -> str:
     """``select`` preceded by the CTEs it needs, directly or through others."""
-    import re
-
     needed: list[str] = []
 
     def visit(text: str) -> None:
