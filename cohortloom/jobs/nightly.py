@@ -1,4 +1,4 @@
-"""spark-submit entry: build or rebuild the report of some sites.
+"""Command line job: build or rebuild the report of some sites.
 
     spark-submit --conf spark.checkpoint.dir=<shared folder> \\
         cohortloom/jobs/nightly.py --tables <folder> --out <folder> \\
@@ -43,7 +43,14 @@ def build(spark: SparkSession, tables: Tables, run: Run, out: str, spec: ReportS
 def main(argv: Sequence[str] | None = None) -> None:
     args = argparse.ArgumentParser(description="Build the cohort event report.")
     args.add_argument("--tables", required=True, help="folder with one table per name")
-    args.add_argument("--out", required=True, help="folder of the stored report")
+    args.add_argument(
+        "--place",
+        action="append",
+        default=[],
+        metavar="NAME=PLACE",
+        help="a table that is elsewhere: its folder, or its name in the catalog",
+    )
+    args.add_argument("--out", required=True, help="folder or catalog table of the report")
     args.add_argument("--as-of", required=True, help="the moment the report speaks of, ISO 8601")
     args.add_argument("--sites", help="comma-separated station ids; default: all")
     args.add_argument("--caseless", action="store_true", help="compare text ignoring case")
@@ -51,7 +58,8 @@ def main(argv: Sequence[str] | None = None) -> None:
 
     sites = tuple(int(s) for s in given.sites.split(",")) if given.sites else None
     spark = configure(SparkSession.builder.appName("cohort-event-report").getOrCreate())
-    tables = Tables.under(spark, given.tables, sites=sites, caseless=given.caseless)
+    places = Tables.places_under(given.tables) | dict(p.split("=", 1) for p in given.place)
+    tables = Tables(spark, places, sites=sites, caseless=given.caseless)
     build(spark, tables, Run.at(dt.datetime.fromisoformat(given.as_of), sites), given.out)
 
 

@@ -104,11 +104,13 @@ def _ranked_rows(
     # Distinct on the keys the semi-join is partitioned by: no further shuffle.
     keys = _eligible(inputs).select("Sta3n", "PatientSID").distinct()
     wanted = replace(inputs, persons=keys)
-    if numbered:
+    if repeats:  # the person rank numbers unique events
         events = sections.all_events(wanted)
-        events = events.where(F.col("recency") == 1) if latest_only else events
-    else:
-        events = sections.all_events(wanted, latest_only=True).drop("recency")
+    else:  # the report is distinct in the end
+        events = sections.ranked_events(wanted, latest_only and not numbered)
+    if latest_only:
+        events = events.where(F.col("recency") == 1)
+    events = events if numbered else events.drop("recency")
     persons = eligible_persons(inputs, repeats=True) if repeats else _eligible(inputs)
     persons = persons.withColumnsRenamed({"Sta3n": "site", "PatientSID": "person_id"})
     return salted_join(

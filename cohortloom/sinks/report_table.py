@@ -1,4 +1,7 @@
-"""The persisted report: replaced per site, read back whole."""
+"""The persisted report: replaced per site, read back whole.
+
+A place is a folder (it contains a slash) or the name of a catalog table.
+"""
 
 from __future__ import annotations
 
@@ -8,39 +11,59 @@ from pyspark.sql import functions as F
 from cohortloom import schemas
 
 
-def replace_report(rows: DataFrame, path: str, sites: tuple[int, ...] | None = None) -> None:
-    """Replace the stored rows of ``sites`` (all if None) by ``rows``.
+def replace_report(rows: DataFrame, place: str, sites: tuple[int, ...] | None = None) -> None:
+    """Replace the stored rows of ``sites`` (all if None) by ``rows``. Other
+    sites' rows are not touched, and a rerun gives the same stored report."""
+    spark, rows = rows.sparkSession, _storable(rows)
+    if "/" in place:
+        _replace_folders(rows, place, sites)
+    elif sites is None or not spark.catalog.tableExists(place):
+        kept = rows if sites is None else rows.where(F.col("site").isin(*sites))
+        _packed(kept).write.mode("overwrite").partitionBy("site").format("parquet").saveAsTable(place)
+    else:
+        described = spark.sql(f"DESCRIBE EXTENDED {place}").where("col_name = 'Location'")
+        _replace_folders(rows, described.first()["data_type"], sites)
+        spark.catalog.recoverPartitions(place)
+        spark.catalog.refreshTable(place)
+
+
+def read_report(spark: SparkSession, place: str) -> DataFrame:
+    """All stored rows, unique, in the report's column order."""
+    stored = spark.read.parquet(place) if "/" in place else spark.table(place)
+    ours = [c for c in schemas.CLIENT_NAMES if c in stored.columns]
+    return stored.select(*ours).withColumn("site", F.col("site").cast("int")).distinct()
+
+
+def _storable(rows: DataFrame) -> DataFrame:
+    """Text without a collation."""
+    text = [c for c, kind in rows.dtypes if kind.startswith("string")]
+    return rows.withColumns({c: F.col(c).cast("string") for c in text})
+
 
-    Folders are per site; other sites' folders are not touched. The rebalance
-    hint lets AQE split a large site over several files and pack small ones.
-    """
-    plain = [F.col(c).cast("string").alias(c) if t.startswith("string") else F.col(c) for c, t in rows.dtypes]
-    rows = rows.select(*plain)  # a stored report has no collation
-    out = rows.hint("rebalance", "site").sortWithinPartitions(
+def _packed(rows: DataFrame) -> DataFrame:
+    """The rebalance hint lets AQE split a large site over several files and
+    pack small ones; sorting within files lets a search by name skip row groups."""
+    return rows.hint("rebalance", "site").sortWithinPartitions(
         "site", F.col("person_name").asc_nulls_first(), F.col("event_date").desc_nulls_last()
     )
+
+
+def _replace_folders(rows: DataFrame, folder: str, sites: tuple[int, ...] | None) -> None:
     if sites is None:
-        out.write.mode("overwrite").partitionBy("site").parquet(path)
+        _packed(rows).write.mode("overwrite").partitionBy("site").parquet(folder)
         return
 
-    # A dynamic overwrite leaves the old folder of a site that has no rows now.
     seen = Observation()
-    out = out.where(F.col("site").isin(*sites)).observe(
-        seen, F.collect_set("site").alias("sites"), F.count(F.lit(1)).alias("n")
+    out = _packed(rows.where(F.col("site").isin(*sites))).observe(
+        seen, F.collect_set("site").alias("sites")
     )
     (
         out.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("site")
-        .parquet(path)
+        .parquet(folder)
     )
+    # A dynamic overwrite leaves the old folder of a site that has no rows now.
     empty = rows.sparkSession.createDataFrame([], rows.drop("site").schema)
     for site in sorted(set(sites) - set(seen.get["sites"] or [])):
-        empty.write.mode("overwrite").parquet(f"{path.rstrip('/')}/site={site}")
-
-
-def read_report(spark: SparkSession, path: str) -> DataFrame:
-    """All stored rows, unique, in the report's column order."""
-    stored = spark.read.option("basePath", path).parquet(path)
-    ours = [c for c in schemas.CLIENT_NAMES if c in stored.columns]
-    return stored.select(*ours).withColumn("site", F.col("site").cast("int")).distinct()
+        empty.write.mode("overwrite").parquet(f"{folder.rstrip('/')}/site={site}")

@@ -50,11 +50,10 @@ class Tables(Mapping[str, DataFrame]):
         """The type text columns are compared in."""
         return _CASELESS if self._caseless else "string"
 
-    @classmethod
-    def under(cls, spark: SparkSession, folder: str, **more) -> Tables:
+    @staticmethod
+    def places_under(folder: str) -> dict[str, Place]:
         """All 24 tables as ``folder/<name>``."""
-        base = folder.rstrip("/")
-        return cls(spark, {n: f"{base}/{n}" for n in schemas.SOURCES}, **more)
+        return {n: f"{folder.rstrip('/')}/{n}" for n in schemas.SOURCES}
 
     def __iter__(self) -> Iterator[str]:
         return iter(self._places)
@@ -71,7 +70,10 @@ class Tables(Mapping[str, DataFrame]):
         df = self._frame(self._places[name])
         if self._sites is not None and "Sta3n" in schemas.columns(name):
             df = df.where(site_is(self._sites))
-        return df.select(*[self._column(f) for f in schemas.struct(name).fields])
+        found = {f.name: f.dataType for f in df.schema.fields}
+        return df.selectExpr(
+            *[self._column(f, found.get(f.name)) for f in schemas.struct(name).fields]
+        )
 
     def _frame(self, place: Place) -> DataFrame:
         if isinstance(place, DataFrame):
@@ -82,10 +84,13 @@ class Tables(Mapping[str, DataFrame]):
             return self._spark.read.format(self._format).options(**self._options).load(place)
         return self._spark.table(place)
 
-    def _column(self, f) -> Column:
-        if self._caseless and isinstance(f.dataType, StringType):
-            return F.rtrim(F.col(f.name)).cast(self.text_type).alias(f.name)
-        return F.col(f.name).cast(f.dataType).alias(f.name)
+    def _column(self, wanted, found) -> str:
+        name = wanted.name
+        if self._caseless and isinstance(wanted.dataType, StringType):
+            return f"CAST(rtrim({name}) AS {self.text_type}) AS {name}"
+        if found == wanted.dataType:
+            return name
+        return f"CAST({name} AS {wanted.dataType.simpleString()}) AS {name}"
 
 
 def site_is(sites: tuple[int, ...]) -> Column:

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from dataclasses import replace
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortloom.sources.loader import Tables
@@ -101,14 +101,14 @@ class Analogue:
     def _with_site(self, df: DataFrame, person: str) -> DataFrame:
         """``df`` with its person's key and site. Single tables are joined one
         after the other, so each join's right side is a scan of known size."""
-        customer = self.raw("customer").select(F.col("c_custkey").alias("PatientSID"), "c_nationkey")
+        customer = self.raw("customer").selectExpr("c_custkey AS PatientSID", "c_nationkey")
         return self._with_region(
             df.withColumn("PatientSID", F.col(person)).join(customer, "PatientSID"), "c_nationkey"
         )
 
     def _with_region(self, df: DataFrame, nation: str) -> DataFrame:
-        regions = self.raw("nation").select("n_nationkey", F.col("n_regionkey").alias("Sta3n"))
-        return df.join(regions, F.col(nation) == F.col("n_nationkey"))
+        regions = self.raw("nation").selectExpr(f"n_nationkey AS {nation}", "n_regionkey AS Sta3n")
+        return df.join(regions, nation)
 
     def persons(self) -> DataFrame:
         customer = self.raw("customer").withColumn("PatientSID", F.col("c_custkey"))
@@ -121,189 +121,145 @@ class Analogue:
         return self._with_site(self.raw("orders"), "o_custkey")
 
     def lines(self) -> DataFrame:
-        lines = self.raw("lineitem").join(self.raw("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
-        return self._with_site(lines, "o_custkey")
+        orders = self.raw("orders").withColumn("l_orderkey", F.col("o_orderkey"))
+        return self._with_site(self.raw("lineitem").join(orders, "l_orderkey"), "o_custkey")
+
+    def specimen_lines(self) -> DataFrame:
+        part = self.raw("part").withColumn("l_partkey", F.col("p_partkey"))
+        return self.lines().where("l_returnflag != 'A'").join(part, "l_partkey")
 
     def events(self) -> DataFrame:
-        kind = (
-            F.when(F.col("event_type") == "click", 1)
-            .when(F.col("event_type") == "error", 2)
-            .when(F.col("event_type") == "purchase", 3)
-            .when(F.col("event_type") == "signup", 4)
-            .otherwise(5)
-        )
-        return self._with_site(self.raw("events"), "user_id").withColumn("kind", kind)
+        kind = """CASE event_type WHEN 'click' THEN 1 WHEN 'error' THEN 2 WHEN 'purchase' THEN 3
+                  WHEN 'signup' THEN 4 ELSE 5 END"""
+        return self._with_site(self.raw("events"), "user_id").withColumn("kind", F.expr(kind))
 
     def per_site(self, df: DataFrame) -> DataFrame:
         """Each row once per region, as per-site dimensions have it."""
-        return df.withColumn("Sta3n", F.explode(F.sequence(F.lit(0), F.lit(4))))
-
-    def _when_known(self, ts: str) -> Column:
-        return F.when(F.col("o_orderstatus") != "P", F.col(ts))
+        return df.withColumn("Sta3n", F.expr("explode(sequence(0, 4))"))
 
     def tables(self, **more) -> Tables:
-        lines, orders, events, persons = self.lines, self.orders, self.events, self.persons
-        suppliers, part = self.suppliers, self.raw("part")
-        flag, status = F.col("l_returnflag"), F.col("l_linestatus")
-        order = F.col("o_orderkey")
-
-        def named(df: DataFrame, **columns: Column | str) -> DataFrame:
-            return df.select(
-                *[(F.col(c) if isinstance(c, str) else c).alias(n) for n, c in columns.items()]
-            )
-
-        who = {"Sta3n": "Sta3n", "PatientSID": "PatientSID"}
+        who = ["Sta3n", "PatientSID"]
+        taken = "CASE WHEN o_orderstatus != 'P' THEN o_orderdate END AS DateTimeSpecimenTaken"
+        cyto_case = ["o_orderkey AS CytopathologyIEN", "o_custkey AS LabDataIEN", "Sta3n"]
+        surg_case = ["o_orderkey AS SurgicalPathologyIEN", "o_custkey AS LabDataIEN", "Sta3n"]
         places = {
-            "icd10_description": lambda: named(
-                suppliers(), ICD10SID="s_suppkey", Sta3n="Sta3n", ICD10Description="s_name"
+            "icd10_description": lambda: self.suppliers().selectExpr(
+                "s_suppkey AS ICD10SID", "Sta3n", "s_name AS ICD10Description"
             ),
-            "icd9_description": lambda: named(
-                self.raw("nation"), ICD9SID="n_nationkey", Sta3n="n_regionkey", ICD9Description="n_name"
+            "icd9_description": lambda: self.raw("nation").selectExpr(
+                "n_nationkey AS ICD9SID", "n_regionkey AS Sta3n", "n_name AS ICD9Description"
             ),
-            "cpt": lambda: named(
-                self.per_site(part),
-                CPTSID="p_partkey",
-                Sta3n="Sta3n",
-                CPTCode="p_brand",
-                CPTName="p_name",
-                CPTCategory="p_type",
+            "cpt": lambda: self.per_site(self.raw("part")).selectExpr(
+                "p_partkey AS CPTSID",
+                "Sta3n",
+                "p_brand AS CPTCode",
+                "p_name AS CPTName",
+                "p_type AS CPTCategory",
             ),
-            "v_procedure": lambda: named(
-                lines(),
-                **who,
-                VProcedureSID="l_linenumber",
-                VisitSID="l_orderkey",
-                VisitDateTime="o_orderdate",
-                CPTSID="l_partkey",
-                Comments=F.nullif(flag, F.lit("N")),
+            "v_procedure": lambda: self.lines().selectExpr(
+                *who,
+                "l_linenumber AS VProcedureSID",
+                "l_orderkey AS VisitSID",
+                "o_orderdate AS VisitDateTime",
+                "l_partkey AS CPTSID",
+                "nullif(l_returnflag, 'N') AS Comments",
             ),
-            "v_diagnosis": lambda: named(
-                lines().where(flag == "A"),
-                **who,
-                VisitSID="l_orderkey",
-                ICD10SID="l_suppkey",
-                ICD9SID="l_linenumber",
+            "v_diagnosis": lambda: self.lines()
+            .where("l_returnflag = 'A'")
+            .selectExpr(
+                *who, "l_orderkey AS VisitSID", "l_suppkey AS ICD10SID", "l_linenumber AS ICD9SID"
             ),
-            "radiology_exam": lambda: named(
-                lines(),
-                Sta3n="Sta3n",
-                VisitSID="l_orderkey",
-                RadiologyRegisteredExamSID="l_orderkey",
-                RadiologyDiagnosticCodeSID="l_linenumber",
-                RadiologyHoldCancelReasonSID=F.when(flag == "A", 0)
-                .when(flag == "R", -1)
-                .when(status == "O", 12),
+            "radiology_exam": lambda: self.lines().selectExpr(
+                "Sta3n",
+                "l_orderkey AS VisitSID",
+                "l_orderkey AS RadiologyRegisteredExamSID",
+                "l_linenumber AS RadiologyDiagnosticCodeSID",
+                """CASE WHEN l_returnflag = 'A' THEN 0 WHEN l_returnflag = 'R' THEN -1
+                        WHEN l_linestatus = 'O' THEN 12 END AS RadiologyHoldCancelReasonSID""",
             ),
-            "radiology_registered_exam": lambda: named(
-                orders(), RadiologyRegisteredExamSID=order, Sta3n="Sta3n", ExamDateTime="o_orderdate"
+            "radiology_registered_exam": lambda: self.orders().selectExpr(
+                "o_orderkey AS RadiologyRegisteredExamSID", "Sta3n", "o_orderdate AS ExamDateTime"
             ),
             "radiology_diagnostic_code": lambda: self.per_site(
                 self.inline(EXAM_CODES, "RadiologyDiagnosticCodeSID, RadiologyDiagnosticCode")
             ),
-            "health_factor": lambda: named(
-                events(),
-                **who,
-                HealthFactorDateTime="ts",
-                Comments=F.nullif("props", F.lit('{"k": 7}')),
-                HealthFactorTypeSID=F.col("kind") + F.when(F.col("value") >= 40, 5).otherwise(0),
+            "health_factor": lambda: self.events().selectExpr(
+                *who,
+                "ts AS HealthFactorDateTime",
+                """nullif(props, '{"k": 7}') AS Comments""",
+                "kind + CASE WHEN value >= 40 THEN 5 ELSE 0 END AS HealthFactorTypeSID",
             ),
             "health_factor_type": lambda: self.inline(
                 FACTOR_TYPES, "HealthFactorTypeSID, HealthFactorType, HealthFactorCategory"
             ),
-            "cytopathology": lambda: named(
-                orders(),
-                **who,
-                CytopathologyIEN=order,
-                LabDataIEN="o_custkey",
-                DateTimeSpecimenTaken=self._when_known("o_orderdate"),
-                DateTimeSpecimenReceived=F.col("o_orderdate") + F.expr("INTERVAL 2 DAYS"),
-            ),
-            "cyto_organ_morphology": lambda: named(
-                lines().where(flag == "R"),
-                CytopathologyIEN=order,
-                LabDataIEN="o_custkey",
-                Sta3n="Sta3n",
-                MorphologyFieldIEN="l_linenumber",
+            "cytopathology": lambda: self.orders().selectExpr(
+                *cyto_case,
+                "PatientSID",
+                taken,
+                "o_orderdate + INTERVAL 2 DAYS AS DateTimeSpecimenReceived",
             ),
+            "cyto_organ_morphology": lambda: self.lines()
+            .where("l_returnflag = 'R'")
+            .selectExpr(*cyto_case, "l_linenumber AS MorphologyFieldIEN"),
             "morphology": lambda: self.per_site(
                 self.inline(MORPHOLOGIES, "MorphologyIEN, Morphology, SnomedCode")
             ),
-            "cyto_specimen": lambda: named(
-                lines().where(status == "O"),
-                CytopathologyIEN=order,
-                LabDataIEN="o_custkey",
-                Sta3n="Sta3n",
-                CollectionSample=F.when(flag == "A", "ASPIRATE").when(flag == "R", "SMEAR"),
-                TopographyFieldIEN="l_partkey",
+            "cyto_specimen": lambda: self.lines()
+            .where("l_linestatus = 'O'")
+            .selectExpr(
+                *cyto_case,
+                """CASE l_returnflag WHEN 'A' THEN 'ASPIRATE' WHEN 'R' THEN 'SMEAR' END
+                   AS CollectionSample""",
+                "l_partkey AS TopographyFieldIEN",
             ),
-            "topography": lambda: named(
-                self.per_site(part),
-                TopographyIEN="p_partkey",
-                Sta3n="Sta3n",
-                Topography="p_name",
-                SNOMEDCode="p_brand",
+            "topography": lambda: self.per_site(self.raw("part")).selectExpr(
+                "p_partkey AS TopographyIEN", "Sta3n", "p_name AS Topography", "p_brand AS SNOMEDCode"
             ),
-            "surgical_pathology": lambda: named(
-                orders(),
-                **who,
-                SurgicalPathologyIEN=order,
-                LabDataIEN="o_custkey",
-                SurgicalPathAccNumber=F.nullif("o_orderpriority", F.lit("5-LOW")),
-                DateTimeSpecimenTaken=self._when_known("o_orderdate"),
-                DateTimeSpecimenReceived=F.col("o_orderdate") + F.expr("INTERVAL 1 DAYS"),
+            "surgical_pathology": lambda: self.orders().selectExpr(
+                *surg_case,
+                "PatientSID",
+                "nullif(o_orderpriority, '5-LOW') AS SurgicalPathAccNumber",
+                taken,
+                "o_orderdate + INTERVAL 1 DAYS AS DateTimeSpecimenReceived",
             ),
-            "surg_specimen": lambda: named(
-                lines().where(flag != "A").join(part, F.col("l_partkey") == F.col("p_partkey")),
-                SurgicalPathologyIEN=order,
-                LabDataIEN="o_custkey",
-                Sta3n="Sta3n",
-                Specimen="p_name",
+            "surg_specimen": lambda: self.specimen_lines().selectExpr(
+                *surg_case, "p_name AS Specimen"
             ),
-            "surg_morphology": lambda: named(
-                lines().where(status == "F"),
-                SurgicalPathologyIEN=order,
-                LabDataIEN="o_custkey",
-                Sta3n="Sta3n",
-                MorphologyFieldIEN="l_suppkey",
-                MorphologyField=F.concat(F.lit("FIELD "), F.col("l_linenumber").cast("string")),
+            "surg_morphology": lambda: self.lines()
+            .where("l_linestatus = 'F'")
+            .selectExpr(
+                *surg_case,
+                "l_suppkey AS MorphologyFieldIEN",
+                "'FIELD ' || l_linenumber AS MorphologyField",
             ),
-            "surg_morphology_field": lambda: named(
-                suppliers(), MorphologyFieldIEN="s_suppkey", Sta3n="Sta3n", SnomedCode="s_name"
+            "surg_morphology_field": lambda: self.suppliers().selectExpr(
+                "s_suppkey AS MorphologyFieldIEN", "Sta3n", "s_name AS SnomedCode"
             ),
-            "lab_chem": lambda: named(
-                events(),
-                **who,
-                LabChemTestSID="kind",
-                LabChemSpecimenDateTime="ts",
-                LabChemCompleteDateTime=F.when(
-                    F.col("value") >= 40, F.col("ts") + F.expr("INTERVAL 10 DAYS")
-                ).otherwise(F.col("ts")),
-                LabChemResultValue=F.when(F.col("value") >= 60, "POSITIVE")
-                .when(F.col("value") >= 40, "POS")
-                .when(F.col("value") >= 1, F.col("props")),
+            "lab_chem": lambda: self.events().selectExpr(
+                *who,
+                "kind AS LabChemTestSID",
+                "ts AS LabChemSpecimenDateTime",
+                """CASE WHEN value >= 40 THEN ts + INTERVAL 10 DAYS ELSE ts END
+                   AS LabChemCompleteDateTime""",
+                """CASE WHEN value >= 60 THEN 'POSITIVE' WHEN value >= 40 THEN 'POS'
+                        WHEN value >= 1 THEN props END AS LabChemResultValue""",
             ),
             "lab_chem_test": lambda: self.inline(LAB_TESTS, "LabChemTestSID, LabChemTestName"),
-            "patient": lambda: named(
-                persons(),
-                PatientSID="PatientSID",
-                Sta3n="Sta3n",
-                PatientName=F.when(F.col("c_acctbal") > 9500, None)
-                .when(F.col("c_acctbal") > 9000, F.concat(F.lit("ZZ"), F.col("c_name")))
-                .otherwise(F.col("c_name")),
-                PatientSSN=F.concat(F.col("c_mktsegment"), F.lit("-"), F.col("c_custkey").cast("string")),
-                Age=F.lit(30) + F.floor(F.col("c_acctbal") / 200).cast("int"),
-                Gender=F.when(F.col("c_mktsegment").isin("AUTOMOBILE", "MACHINERY"), "M").otherwise("F"),
-                DeceasedFlag=F.when(F.col("c_acctbal") < 0, "Y").when(
-                    F.col("c_acctbal") < 8500, "N"
-                ),
+            "patient": lambda: self.persons().selectExpr(
+                *who,
+                """CASE WHEN c_acctbal > 9500 THEN NULL WHEN c_acctbal > 9000 THEN 'ZZ' || c_name
+                        ELSE c_name END AS PatientName""",
+                "c_mktsegment || '-' || c_custkey AS PatientSSN",
+                "30 + CAST(floor(c_acctbal / 200) AS INT) AS Age",
+                """CASE WHEN c_mktsegment IN ('AUTOMOBILE', 'MACHINERY') THEN 'M' ELSE 'F' END
+                   AS Gender""",
+                """CASE WHEN c_acctbal < 0 THEN 'Y' WHEN c_acctbal < 8500 THEN 'N' END
+                   AS DeceasedFlag""",
             ),
-            "enrollment": lambda: named(
-                orders(),
-                **who,
-                EnrollmentStatusSID=F.when(F.col("o_orderstatus") == "F", 1)
-                .when(F.col("o_orderstatus") == "O", 2)
-                .when(F.col("o_orderpriority") == "1-URGENT", 4)
-                .otherwise(3),
+            "enrollment": lambda: self.orders().selectExpr(
+                *who,
+                """CASE WHEN o_orderstatus = 'F' THEN 1 WHEN o_orderstatus = 'O' THEN 2
+                        WHEN o_orderpriority = '1-URGENT' THEN 4 ELSE 3 END AS EnrollmentStatusSID""",
             ),
             "enrollment_status": lambda: self.per_site(
                 self.inline(

@@ -278,7 +278,7 @@ def test_events_of_one_day_and_of_both_sections_appear_once(spark):
 def test_equal_rows_of_two_sections_unite(spark):
     clinic = Clinic().cyto("FEMALE BREAST, NOS")
     given = clinic.inputs(spark)
-    assert sections.section_events(given).count() == 2
+    assert sections.ranked_events(given).count() == 2
     assert sections.all_events(given).count() == 1
 
 

@@ -27,8 +27,9 @@ def two_sites() -> Clinic:
     return clinic
 
 
-def test_rebuilding_one_site_leaves_the_other(spark, tmp_path):
-    folder = str(tmp_path / "report")
+@pytest.mark.parametrize("place", ["{tmp}/report", "stored_report"])
+def test_rebuilding_one_site_leaves_the_other(spark, tmp_path, place):
+    folder = place.format(tmp=tmp_path)
     clinic = two_sites()
     replace_report(plan.report(clinic.inputs(spark, sites=None)), folder)
     before = stored(spark, folder)
@@ -42,8 +43,9 @@ def test_rebuilding_one_site_leaves_the_other(spark, tmp_path):
         assert {r[5] for r in after if r[0] == 612} == {"HFT X", "HFT NEW"}
 
 
-def test_a_site_without_rows_is_emptied(spark, tmp_path):
-    folder = str(tmp_path / "report")
+@pytest.mark.parametrize("place", ["{tmp}/report", "emptied_report"])
+def test_a_site_without_rows_is_emptied(spark, tmp_path, place):
+    folder = place.format(tmp=tmp_path)
     replace_report(plan.report(two_sites().inputs(spark, sites=None)), folder)
     replace_report(plan.report(Clinic().inputs(spark, sites=(612,))), folder, (612,))
     assert {row[0] for row in stored(spark, folder)} == {640}
@@ -111,6 +113,11 @@ def test_sizes_are_measured_before_a_broadcast(spark):
     assert sizing.broadcastable(frames, max_rows=100, max_bytes=1000) == {"small"}
 
 
+def test_first_build_of_a_table_keeps_to_its_sites(spark):
+    replace_report(plan.report(two_sites().inputs(spark, sites=None)), "first_report", (640,))
+    assert {row[0] for row in stored(spark, "first_report")} == {640}
+
+
 def test_nightly_job(spark, tmp_path):
     clinic = two_sites()
     for name in schemas.SOURCES:
@@ -121,3 +128,5 @@ def test_nightly_job(spark, tmp_path):
     assert {row[0] for row in stored(spark, str(tmp_path / "out"))} == {612}
     nightly.main([*run, "--sites", "612,640"])
     assert {row[0] for row in stored(spark, str(tmp_path / "out"))} == {612, 640}
+    nightly.main([*run, "--place", f"health_factor={tmp_path}/in/lab_chem/../health_factor"])
+    assert {row[0] for row in stored(spark, str(tmp_path / "out"))} == {612, 640}
