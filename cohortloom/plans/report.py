@@ -145,14 +145,22 @@ def client_names(rows: DataFrame) -> DataFrame:
 
 
 def sized(inputs: streams.Inputs) -> streams.Inputs:
-    """The inputs with join sides measured: every dimension in one job, and the
+    """The inputs with join sides measured: every dimension in one job, the
     eligible persons, which every stream joins, from a staged copy. Sides within
-    the broadcast bounds are marked; a single station's persons usually are."""
+    the broadcast bounds are marked; a single station's persons usually are.
+
+    For a build of named sites the visits with a selected procedure are staged
+    and measured too. If they are few, diagnoses and exams of other visits, most
+    of both tables, are dropped before they are shuffled."""
     held = {n: inputs.tables[n] for n in schemas.DIMENSIONS if n in inputs.tables}
     inputs = _marked(inputs, sizing.broadcastable(held))
-    eligible = staged(eligible_persons(inputs), "eligible-persons")
-    inputs = replace(inputs, eligible=eligible)
-    return _marked(inputs, sizing.broadcastable({"eligible": eligible}))
+    inputs = replace(inputs, eligible=staged(eligible_persons(inputs), "eligible-persons"))
+    found = {"eligible": inputs.eligible}
+    if inputs.run.sites is not None and "procedures" in streams.present(inputs.spec):
+        found["visits"] = staged(streams.selected_visits(inputs), "selected-visits")
+    small = sizing.broadcastable(found)
+    visits = found["visits"] if "visits" in small else None
+    return replace(_marked(inputs, small), visits=visits)
 
 
 def _marked(inputs: streams.Inputs, small: frozenset[str]) -> streams.Inputs:

@@ -33,6 +33,7 @@ from cohortloom.sources.loader import Tables
 from cohortloom.spec import ReportSpec, Run, Section
 
 _PERSON = ["Sta3n", "PatientSID"]
+_VISIT = ["Sta3n", "VisitSID"]
 _VALUES = ["event_ts", "label", "detail", "code1", "code2", "flag"]
 
 
@@ -61,6 +62,7 @@ class Inputs:
     grain: Grain = FULL
     persons: DataFrame | None = None  # Sta3n, PatientSID and columns events then carry
     eligible: DataFrame | None = None  # the report's persons, if already computed
+    visits: DataFrame | None = None  # visits with a selected procedure, if few
 
     @property
     def carried(self) -> list[str]:
@@ -80,6 +82,15 @@ class Inputs:
         where the dimension was measured small, else left to Catalyst and AQE."""
         return F.broadcast(df) if name in self.run.broadcast else df
 
+    def of_visits(self, df: DataFrame) -> DataFrame:
+        """``df`` without visits no selected procedure can meet, where that is
+        known ahead of the joins; saves shuffling them."""
+        if self.spec.switches.drop_missing_ids:
+            df = df.where(F.col("VisitSID") > 0)
+        if self.visits is None:
+            return df
+        return df.join(F.broadcast(self.visits), _VISIT, "left_semi")
+
     def recent(self, df: DataFrame) -> DataFrame:
         if not self.spec.switches.lookback_all:
             return df
@@ -157,13 +168,13 @@ def exam_results(inputs: Inputs) -> DataFrame:
     )
     codes = inputs.lookup("radiology_diagnostic_code", t["radiology_diagnostic_code"])
     exams = (
-        t["radiology_exam"]
+        inputs.of_visits(t["radiology_exam"])
         .where(F.col("RadiologyHoldCancelReasonSID") <= 0)
         .join(registered, ["RadiologyRegisteredExamSID", "Sta3n"])
         .join(codes, ["RadiologyDiagnosticCodeSID", "Sta3n"])
         .select("Sta3n", "VisitSID", F.col("RadiologyDiagnosticCode").alias("result"))
     )
-    return inputs.grain.of(_known_visits(inputs, exams))
+    return inputs.grain.of(exams)
 
 
 def diagnoses(inputs: Inputs) -> DataFrame:
@@ -172,11 +183,7 @@ def diagnoses(inputs: Inputs) -> DataFrame:
     ids = inputs.tables["v_diagnosis"].select(
         "Sta3n", "PatientSID", "VisitSID", "ICD10SID", "ICD9SID"
     )
-    return inputs.grain.of(_known_visits(inputs, ids))
-
-
-def _known_visits(inputs: Inputs, df: DataFrame) -> DataFrame:
-    return df.where(F.col("VisitSID") > 0) if inputs.spec.switches.drop_missing_ids else df
+    return inputs.grain.of(inputs.of_visits(ids))
 
 
 def selected_procedures(inputs: Inputs, sections: Sequence[Section]) -> DataFrame:
@@ -207,15 +214,20 @@ def selected_procedures(inputs: Inputs, sections: Sequence[Section]) -> DataFram
     return inputs.grain.of(inputs.of_persons(rows, "VisitSID", "event_ts", "label", "comments"))
 
 
+def selected_visits(inputs: Inputs) -> DataFrame:
+    """Visits with a procedure of any section."""
+    sections = [s for s in inputs.spec.sections if s.procedures]
+    return selected_procedures(inputs, sections).select(*_VISIT).distinct()
+
+
 def procedures(inputs: Inputs) -> DataFrame:
     sections = [s for s in inputs.spec.sections if s.procedures]
     with_exam = [s for s in sections if s.needs_exam]
-    visit = ["Sta3n", "PatientSID", "VisitSID"]
     icd10 = inputs.tables["icd10_description"].select("Sta3n", "ICD10SID", "ICD10Description")
     icd9 = inputs.tables["icd9_description"].select("Sta3n", "ICD9SID", "ICD9Description")
 
     rows = inputs.recent(selected_procedures(inputs, sections)).join(
-        diagnoses(inputs), visit, "left"
+        diagnoses(inputs), [*_PERSON, "VisitSID"], "left"
     )
     if with_exam:
         rows = _with_exam_results(inputs, rows, all_need=len(with_exam) == len(sections))
@@ -244,7 +256,7 @@ def _with_exam_results(inputs: Inputs, rows: DataFrame, all_need: bool) -> DataF
     untouched, so procedures and diagnoses are read and joined once."""
     results = exam_results(inputs)
     if all_need:
-        return rows.join(results, ["Sta3n", "VisitSID"])
+        return rows.join(results, _VISIT)
     left, right = rows.alias("l"), results.withColumn("examined", F.lit(True)).alias("r")
     on = (
         (F.col("l.Sta3n") == F.col("r.Sta3n"))

@@ -86,7 +86,7 @@ def test_catalog_tables_and_unknown_names(spark):
 def test_caseless_comparison(spark):
     clinic = Clinic().person(Gender="f ").lab("hpv dna ", "pos").factor("x", "wh mammogram")
     assert plan.report(clinic.inputs(spark)).isEmpty()
-    rows = plan.report(clinic.inputs(spark, caseless=True)).collect()
+    rows = plan.report(plan.sized(clinic.inputs(spark, caseless=True))).collect()
     assert {(r.label, r.flag) for r in rows} == {("LAB hpv dna", "HPV POS"), ("HFT x", None)}
 
 
@@ -118,6 +118,17 @@ def test_first_build_of_a_table_keeps_to_its_sites(spark):
     assert {row[0] for row in stored(spark, "first_report")} == {640}
 
 
+def test_many_visits_are_not_broadcast(spark, monkeypatch):
+    clinic = Clinic().person().code(7, "OBSTETRIC", "VISIT")
+    for visit in range(1, 6):
+        clinic.procedure(7, visit=visit).diagnosis(visit, visit=visit)
+    assert plan.sized(clinic.inputs(spark)).visits is not None
+    monkeypatch.setattr(sizing.broadcastable, "__defaults__", (4, sizing.MAX_BYTES))
+    many = plan.sized(clinic.inputs(spark))
+    assert many.visits is None and "visits" not in many.run.broadcast
+    assert {r.code1 for r in plan.report(many).collect()} == {f"ICD10 D{v}" for v in range(1, 6)}
+
+
 def test_nightly_job(spark, tmp_path):
     clinic = two_sites()
     for name in schemas.SOURCES:
