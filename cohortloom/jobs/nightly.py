@@ -35,7 +35,7 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def build(spark: SparkSession, tables: Tables, run: Run, out: str, spec: ReportSpec = DEFAULT) -> None:
+def build(tables: Tables, run: Run, out: str, spec: ReportSpec = DEFAULT) -> None:
     inputs = plan.sized(Inputs(tables, run, spec))
     replace_report(plan.report(inputs), out, run.sites)
 
@@ -60,7 +60,7 @@ def main(argv: Sequence[str] | None = None) -> None:
     spark = configure(SparkSession.builder.appName("cohort-event-report").getOrCreate())
     places = Tables.places_under(given.tables) | dict(p.split("=", 1) for p in given.place)
     tables = Tables(spark, places, sites=sites, caseless=given.caseless)
-    build(spark, tables, Run.at(dt.datetime.fromisoformat(given.as_of), sites), given.out)
+    build(tables, Run.at(dt.datetime.fromisoformat(given.as_of), sites), given.out)
 
 
 if __name__ == "__main__":

@@ -40,7 +40,9 @@ def plain_row_numbers(
     return df.withColumn(name, F.row_number().over(window).cast("long"))
 
 
-def first_rows(df: DataFrame, group: Sequence[str], order: Sequence[Column], name: str) -> DataFrame:
+def first_rows(
+    df: DataFrame, group: Sequence[str], order: Sequence[Column], name: str
+) -> DataFrame:
     """Only number 1 of each group. Spark limits groups before the shuffle
     (WindowGroupLimit), so a hot group sends one row per input task."""
     return plain_row_numbers(df, group, order, name).where(F.col(name) == 1)

@@ -91,11 +91,11 @@ class Inputs:
             return df
         return df.join(F.broadcast(self.visits), _VISIT, "left_semi")
 
-    def recent(self, df: DataFrame) -> DataFrame:
+    def recent(self, df: DataFrame, ts: Column) -> DataFrame:
+        """The look-back on a stored time, where it applies to all streams."""
         if not self.spec.switches.lookback_all:
             return df
-        cut = x.cutoff(self.run.as_of, self.spec.lookback_years)
-        return df.where(F.col("event_ts") > self.grain.when(cut))
+        return df.where(x.within_years(ts, self.run.as_of, self.spec.lookback_years))
 
     def rank_time(self, raw: Column, shown: Column) -> Column:
         return shown if self.spec.switches.rank_by_shown_time else raw
@@ -196,7 +196,7 @@ def selected_procedures(inputs: Inputs, sections: Sequence[Section]) -> DataFram
         needs_exam=lambda s: F.lit(s.needs_exam),
     ).select("CPTSID", "Sta3n", "section", "label", "needs_exam")
     rows = (
-        inputs.tables["v_procedure"]
+        inputs.recent(inputs.tables["v_procedure"], F.col("VisitDateTime"))
         .join(inputs.lookup("cpt", codes), ["CPTSID", "Sta3n"])
         .select(
             "section",
@@ -226,7 +226,7 @@ def procedures(inputs: Inputs) -> DataFrame:
     icd10 = inputs.tables["icd10_description"].select("Sta3n", "ICD10SID", "ICD10Description")
     icd9 = inputs.tables["icd9_description"].select("Sta3n", "ICD9SID", "ICD9Description")
 
-    rows = inputs.recent(selected_procedures(inputs, sections)).join(
+    rows = selected_procedures(inputs, sections).join(
         diagnoses(inputs), [*_PERSON, "VisitSID"], "left"
     )
     if with_exam:
@@ -237,7 +237,9 @@ def procedures(inputs: Inputs) -> DataFrame:
     rows = (
         rows.join(inputs.lookup("icd10_description", icd10), ["Sta3n", "ICD10SID"], "left")
         .join(inputs.lookup("icd9_description", icd9), ["Sta3n", "ICD9SID"], "left")
-        .withColumn("detail", F.when(F.col("needs_exam"), F.col("result")).otherwise(F.col("comments")))
+        .withColumn(
+            "detail", F.when(F.col("needs_exam"), F.col("result")).otherwise(F.col("comments"))
+        )
         .withColumn("code1", x.labelled("ICD10 ", F.col("ICD10Description")))
         .withColumn("code2", x.labelled("ICD9 ", F.col("ICD9Description")))
         .withColumn(
@@ -299,13 +301,13 @@ def observations(inputs: Inputs) -> DataFrame:
         flag=flagged,
     ).select("HealthFactorTypeSID", "section", "label", "code1", "flag")
     rows = (
-        inputs.tables["health_factor"]
+        inputs.recent(inputs.tables["health_factor"], F.col("HealthFactorDateTime"))
         .join(inputs.lookup("health_factor_type", types), "HealthFactorTypeSID")
         .withColumn("event_ts", inputs.grain.when(F.col("HealthFactorDateTime")))
         .withColumn("detail", F.col("Comments"))
         .withColumn("code2", x.no_text())
     )
-    rows = inputs.of_persons(inputs.recent(rows), "HealthFactorDateTime", "label", "detail")
+    rows = inputs.of_persons(rows, "HealthFactorDateTime", "label", "detail")
     return _event(inputs, rows, F.col("HealthFactorDateTime"))
 
 
@@ -322,7 +324,7 @@ def labs(inputs: Inputs) -> DataFrame:
     )
     shown = F.col("LabChemSpecimenDateTime")
     rows = (
-        inputs.tables["lab_chem"]
+        inputs.recent(inputs.tables["lab_chem"], shown)
         .join(inputs.lookup("lab_chem_test", tests), "LabChemTestSID")
         .withColumn("event_ts", inputs.grain.when(shown))
         .withColumn("detail", F.col("LabChemResultValue"))
@@ -330,11 +332,14 @@ def labs(inputs: Inputs) -> DataFrame:
         .withColumn("code2", x.no_text())
         .withColumn(
             "flag",
-            F.when(F.col("flaggable"), by_section(sections, lambda s: p.flag(F.col("detail"), s.lab_flags))),
+            F.when(
+                F.col("flaggable"),
+                by_section(sections, lambda s: p.flag(F.col("detail"), s.lab_flags)),
+            ),
         )
     )
     raw = F.col("LabChemCompleteDateTime")
-    rows = inputs.of_persons(inputs.recent(rows), "LabChemSpecimenDateTime", "label", "detail")
+    rows = inputs.of_persons(rows, "LabChemSpecimenDateTime", "label", "detail")
     return _event(inputs, rows, inputs.rank_time(raw, shown), name)
 
 
@@ -392,7 +397,8 @@ def cytology(inputs: Inputs) -> DataFrame:
             x.labelled("Morph ", F.col("SnomedCode")).alias("code2"),
         )
     )
-    cases = inputs.recent(t["cytopathology"].select(*case, "PatientSID", *_case_times(inputs)))
+    taken = inputs.recent(t["cytopathology"], _taken_or_received())
+    cases = taken.select(*case, "PatientSID", *_case_times(inputs))
     rows = (
         grain.of(inputs.of_persons(cases, *case[1:], "event_ts"))
         .join(specimens, case)
@@ -419,18 +425,17 @@ def surgical(inputs: Inputs) -> DataFrame:
     fields = t["surg_morphology_field"]
     morphologies = grain.of(
         t["surg_morphology"]
-        .join(inputs.lookup("surg_morphology_field", fields), ["MorphologyFieldIEN", "Sta3n"], "left")
+        .join(
+            inputs.lookup("surg_morphology_field", fields), ["MorphologyFieldIEN", "Sta3n"], "left"
+        )
         .select(
             *case,
             F.col("MorphologyField").alias("detail"),
             x.labelled("SNOMED ", F.col("SnomedCode")).alias("code1"),
         )
     )
-    cases = inputs.recent(
-        t["surgical_pathology"].select(
-            *case, "PatientSID", "SurgicalPathAccNumber", *_case_times(inputs)
-        )
-    )
+    taken = inputs.recent(t["surgical_pathology"], _taken_or_received())
+    cases = taken.select(*case, "PatientSID", "SurgicalPathAccNumber", *_case_times(inputs))
     rows = (
         grain.of(inputs.of_persons(cases, *case[1:], "event_ts"))
         .join(specimens, case)

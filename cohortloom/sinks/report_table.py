@@ -19,7 +19,8 @@ def replace_report(rows: DataFrame, place: str, sites: tuple[int, ...] | None =
         _replace_folders(rows, place, sites)
     elif sites is None or not spark.catalog.tableExists(place):
         kept = rows if sites is None else rows.where(F.col("site").isin(*sites))
-        _packed(kept).write.mode("overwrite").partitionBy("site").format("parquet").saveAsTable(place)
+        writer = _packed(kept).write.mode("overwrite").partitionBy("site")
+        writer.format("parquet").saveAsTable(place)
     else:
         described = spark.sql(f"DESCRIBE EXTENDED {place}").where("col_name = 'Location'")
         _replace_folders(rows, described.first()["data_type"], sites)

@@ -98,6 +98,8 @@ def site_is(sites: tuple[int, ...]) -> Column:
     return F.col("Sta3n") == sites[0] if len(sites) == 1 else F.col("Sta3n").isin(*sites)
 
 
-def site_dimension(tables: Mapping[str, DataFrame], name: str, description: str, key: str) -> DataFrame:
+def site_dimension(
+    tables: Mapping[str, DataFrame], name: str, description: str, key: str
+) -> DataFrame:
     """Description, key and site of one per-site dimension."""
     return tables[name].select(description, key, "Sta3n")

@@ -213,7 +213,10 @@ class Analogue:
                 "l_partkey AS TopographyFieldIEN",
             ),
             "topography": lambda: self.per_site(self.raw("part")).selectExpr(
-                "p_partkey AS TopographyIEN", "Sta3n", "p_name AS Topography", "p_brand AS SNOMEDCode"
+                "p_partkey AS TopographyIEN",
+                "Sta3n",
+                "p_name AS Topography",
+                "p_brand AS SNOMEDCode",
             ),
             "surgical_pathology": lambda: self.orders().selectExpr(
                 *surg_case,
@@ -259,7 +262,8 @@ class Analogue:
             "enrollment": lambda: self.orders().selectExpr(
                 *who,
                 """CASE WHEN o_orderstatus = 'F' THEN 1 WHEN o_orderstatus = 'O' THEN 2
-                        WHEN o_orderpriority = '1-URGENT' THEN 4 ELSE 3 END AS EnrollmentStatusSID""",
+                        WHEN o_orderpriority = '1-URGENT' THEN 4 ELSE 3 END
+                   AS EnrollmentStatusSID""",
             ),
             "enrollment_status": lambda: self.per_site(
                 self.inline(

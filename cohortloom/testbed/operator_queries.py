@@ -405,7 +405,8 @@ def flag_multi_branch(spark, d):
             (("click", "signup"), "Y"),
         )
     )
-    return _raw(spark, d, "events").select("event_id", p.flag(F.col("event_type"), rule).alias("flag"))
+    flag = p.flag(F.col("event_type"), rule)
+    return _raw(spark, d, "events").select("event_id", flag.alias("flag"))
 
 
 @entry(
@@ -430,7 +431,8 @@ def flag_not_in_null(spark, d):
 
 @entry("SELECT event_id, CAST(ts AS DATE) AS event_date FROM events")
 def cast_event_date(spark, d):
-    return _raw(spark, d, "events").select("event_id", F.col("ts").cast("date").alias("event_date"))
+    day = F.col("ts").cast("date")
+    return _raw(spark, d, "events").select("event_id", day.alias("event_date"))
 
 
 @entry(
@@ -565,7 +567,9 @@ def _entities(spark, d) -> list[DataFrame]:
     """Key and text of five tables, with unlike names and repeated rows."""
     nulled = F.nullif("c_mktsegment", F.lit("BUILDING"))
     return [
-        _raw(spark, d, "customer").select(F.col("c_nationkey").cast("long").alias("id"), nulled.alias("text")),
+        _raw(spark, d, "customer").select(
+            F.col("c_nationkey").cast("long").alias("id"), nulled.alias("text")
+        ),
         _raw(spark, d, "orders").select("o_custkey", "o_orderpriority"),
         _raw(spark, d, "events").select("user_id", "event_type"),
         _raw(spark, d, "lineitem").select("l_suppkey", "l_returnflag"),

@@ -156,6 +156,7 @@ class Clinic:
         return spark.createDataFrame(data, schemas.struct(name)).coalesce(1)
 
     def inputs(self, spark, spec=DEFAULT, sites=(SITE,), caseless=False, grain=FULL, **run) -> Inputs:
+        run.setdefault("hot_rows", None)  # small data: no staging, no counting
         places = {name: partial(self.frame, spark, name) for name in self.rows}
         tables = Tables(spark, places, sites=sites, caseless=caseless)
         return Inputs(tables, Run.at(AS_OF, sites, **run), spec, grain)

@@ -58,6 +58,14 @@ def test_lookback_on_every_stream(spark):
     assert {r.event_date.month for r in report} == {3}
 
 
+def test_lookback_has_a_time_of_day_also_in_the_report(spark):
+    clinic = Clinic().person().code(7, "OBSTETRIC", "VISIT")
+    for when in ("2021-02-28 09:00:00", "2021-02-28 11:00:00"):
+        clinic.procedure(7, when=when, Comments=when).lab("HPV", when, when)
+    rows = plan.report(clinic.inputs(spark, DEFAULT.switched(lookback_all=True))).collect()
+    assert [r.detail for r in rows] == ["2021-02-28 11:00:00"] * 2
+
+
 def test_partial_labels(spark):
     clinic = Clinic().person().surgery("BREAST", number=None).cyto("CERVIX", sample=None)
     given = clinic.inputs(spark, DEFAULT.switched(keep_partial_labels=True))
