@@ -54,27 +54,63 @@ def row_numbers(
     order: Sequence[Column],
     name: str = "recency",
     hot_rows: int | None = 5_000_000,
+    copies: str | None = None,
 ) -> DataFrame:
     """``row_number()`` as a long column ``name``, exact for any group size.
 
-    ``df`` is read up to three times where there are hot groups: pass a scan or
-    a ``staged`` frame, not a tree of joins. ``hot_rows=None`` skips the count.
+    With ``copies``, a row stands for that many equal rows; each gets its own
+    number and a row of its own. ``df`` is read several times: pass a scan or a
+    ``staged`` frame, not a tree of joins. ``hot_rows=None`` skips all counting.
     """
     if hot_rows is None:
-        return plain_row_numbers(df, group, order, name)
+        return _within_task(df, group, order, name, copies, deal_out=False)
 
+    deal_out = copies is not None and _has_many_copies(df, copies)
     counted = df.groupBy(*group).count().where(F.col("count") > hot_rows)
     if counted.isEmpty():
-        return plain_row_numbers(df, group, order, name)
+        return _within_task(df, group, order, name, copies, deal_out)
 
     # At most total / hot_rows groups: a proven bound for the broadcasts below.
     hot = staged(counted.drop("count"), "hot-groups")
     same = _same_group(group)
     cold_rows = df.alias("l").join(F.broadcast(hot).alias("r"), same, "left_anti")
     hot_side = df.alias("l").join(F.broadcast(hot).alias("r"), same, "left_semi")
-    return plain_row_numbers(cold_rows, group, order, name).unionByName(
-        _sliced_row_numbers(hot_side, group, order, name)
+    return _within_task(cold_rows, group, order, name, copies, deal_out).unionByName(
+        _over_slices(hot_side, group, order, name, copies)
+    )
+
+
+def _within_task(
+    df: DataFrame,
+    group: Sequence[str],
+    order: Sequence[Column],
+    name: str,
+    copies: str | None,
+    deal_out: bool,
+) -> DataFrame:
+    """Each group in one task."""
+    if copies is None:
+        return plain_row_numbers(df, group, order, name)
+    before = _rows_before(group, order, copies)
+    numbered = df.withColumn("_first", before + 1).withColumnRenamed(copies, "_copies")
+    return _spread_copies(numbered, name, deal_out).select(*_without(df, copies), name)
+
+
+def _rows_before(group: Sequence[str], order: Sequence[Column], copies: str) -> Column:
+    window = (
+        Window.partitionBy(*group)
+        .orderBy(*order)
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
+    return F.sum(copies).over(window) - F.col(copies)
+
+
+def _without(df: DataFrame, copies: str | None) -> list[str]:
+    return [c for c in df.columns if c != copies]
+
+
+def _has_many_copies(df: DataFrame, copies: str) -> bool:
+    return not df.where(F.col(copies) > _COPIES_PER_TASK_ROW).isEmpty()
 
 
 def _same_group(group: Sequence[str]) -> Column:
@@ -84,64 +120,55 @@ def _same_group(group: Sequence[str]) -> Column:
     return condition
 
 
-def _sliced_row_numbers(
-    df: DataFrame, group: Sequence[str], order: Sequence[Column], name: str
+def _over_slices(
+    df: DataFrame, group: Sequence[str], order: Sequence[Column], name: str, copies: str | None
 ) -> DataFrame:
-    columns = df.columns
+    """Each group cut into slices by its sort key, one task per slice."""
+    columns = _without(df, copies)
     keys = [F.col(k).asc_nulls_first() for k in group]
-    rest = ties([c for c in columns if c not in group])
+    order = [*order, *ties([c for c in columns if c not in group])]
 
     # Copies have one sort key and could not be cut apart: count them instead.
-    unique = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_copies"))
+    number = F.count(F.lit(1)) if copies is None else F.sum(copies)
+    unique = df.groupBy(*columns).agg(number.alias("_copies"))
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    sliced = unique.repartitionByRange(parts, *keys, *order, *rest).withColumn(
+    sliced = unique.repartitionByRange(parts, *keys, *order).withColumn(
         "_slice", F.spark_partition_id()
     )
     sliced = staged(sliced, "ranked-slices")
-
-    within = (
-        Window.partitionBy(*group, "_slice")
-        .orderBy(*order, *rest)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    local = sliced.withColumn("_before", F.sum("_copies").over(within) - F.col("_copies"))
+    local = sliced.withColumn("_before", _rows_before([*group, "_slice"], order, "_copies"))
 
     # One row per group and slice it touches: at most groups + slices rows.
-    before = (
-        Window.partitionBy(*group)
-        .orderBy("_slice")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
     shifts = (
         sliced.groupBy(*group, "_slice")
         .agg(F.sum("_copies").alias("_rows"))
-        .withColumn("_shift", F.sum("_rows").over(before) - F.col("_rows"))
+        .withColumn("_shift", _rows_before(group, [F.col("_slice")], "_rows"))
         .drop("_rows")
     )
-    on = _same_group([*group, "_slice"])
     numbered = (
         local.alias("l")
-        .join(F.broadcast(shifts).alias("r"), on)
+        .join(F.broadcast(shifts).alias("r"), _same_group([*group, "_slice"]))
         .select("l.*", (F.col("r._shift") + F.col("l._before") + 1).alias("_first"))
     )
-    return _spread_copies(numbered, name).select(*columns, F.col(name))
+    spread = _spread_copies(numbered, name, _has_many_copies(sliced, "_copies"))
+    return spread.select(*columns, name)
 
 
-def _spread_copies(df: DataFrame, name: str) -> DataFrame:
-    """One row per copy again. Large counts are cut into chunks and dealt out
-    over the tasks, so no task writes all copies of one row."""
+def _spread_copies(df: DataFrame, name: str, deal_out: bool) -> DataFrame:
+    """One row per copy again, numbered on from ``_first``. To ``deal_out``,
+    large counts are cut into chunks and the chunks go to all tasks, so no task
+    writes all copies of one row."""
     step = F.lit(_COPIES_PER_TASK_ROW).cast("long")
-    last = F.col("_copies") - 1
-    many = F.col("_copies") > step
-    few = df.where(~many).withColumn("_at", F.explode(F.sequence(F.lit(0).cast("long"), last)))
-    starts = F.explode(F.sequence(F.lit(0).cast("long"), last, step))
-    lots = (
-        df.where(many)
-        .withColumn("_from", starts)
-        .repartition("_from", "_first")
-        .withColumn("_to", F.least(last, F.col("_from") + step - 1))
-        .withColumn("_at", F.explode(F.sequence("_from", "_to")))
-        .drop("_from", "_to")
-    )
-    both = few.unionByName(lots)
-    return both.withColumn(name, (F.col("_first") + F.col("_at")).cast("long"))
+    none, last = F.lit(0).cast("long"), F.col("_copies") - 1
+    few = df.where(F.col("_copies") <= step) if deal_out else df
+    spread = few.withColumn("_at", F.explode(F.sequence(none, last)))
+    if deal_out:
+        chunks = (
+            df.where(F.col("_copies") > step)
+            .withColumn("_from", F.explode(F.sequence(none, last, step)))
+            .repartition("_from", "_first")
+            .withColumn("_to", F.least(last, F.col("_from") + step - 1))
+        )
+        at = F.explode(F.sequence("_from", "_to"))
+        spread = spread.unionByName(chunks.withColumn("_at", at).drop("_from", "_to"))
+    return spread.withColumn(name, (F.col("_first") + F.col("_at")).cast("long"))

@@ -5,11 +5,13 @@ Each builder reads its fact table once for all sections. Small dimensions are
 classified first: a dimension row becomes one row per section that selects it,
 already carrying label, code and flag, so a fact row only needs the lookup.
 
-A stream can be built at two grains. The *full* grain keeps every row of the
-fan-out joins, because ranks count them. The *thin* grain is for the report,
+A stream can be built at several grains. The *thin* grain is for the report,
 which is distinct and shows days: each side of a fan-out join is reduced to
 its distinct values before the join. The joined size is then bounded by the
 distinct report rows, also where one visit id holds a large part of both sides.
+Ranks number every row of a fan-out. The *counted* grain joins distinct values
+too, with the number of copies of each, and the rank spreads the copies out at
+the very end. The *full* grain has one row per row of the joins.
 
 A stream can also be limited to some persons. Their join comes before the
 fan-out joins, on the few rows a code set selected, not on their products.
@@ -18,7 +20,8 @@ fan-out joins, on the few rows a code set selected, not on their products.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -40,9 +43,13 @@ _VALUES = ["event_ts", "label", "detail", "code1", "code2", "flag"]
 @dataclass(frozen=True)
 class Grain:
     thin: bool = False  # distinct values only
+    counted: bool = False  # distinct values with their number of copies
     by_day: bool = False  # event times cut to dates
 
-    def of(self, df: DataFrame) -> DataFrame:
+    def of(self, df: DataFrame, what: str) -> DataFrame:
+        """One side, named ``what``, of a fan-out join at this grain."""
+        if self.counted:
+            return df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias(f"{what}_copies"))
         return df.distinct() if self.thin else df
 
     def when(self, ts: Column) -> Column:
@@ -50,6 +57,7 @@ class Grain:
 
 
 FULL = Grain()
+COUNTED = Grain(counted=True)
 THIN = Grain(thin=True)
 REPORT = Grain(thin=True, by_day=True)
 
@@ -142,6 +150,11 @@ def _event(
         # One text type in all streams, also for columns that are always NULL.
         return c.cast(inputs.tables.text_type).alias(name)
 
+    # Each row stands for all combinations of the copies of its sides; a side
+    # a left join did not find counts once.
+    counts = [F.coalesce(F.col(c), F.lit(1)) for c in df.columns if c.endswith("_copies")]
+    copies = [reduce(lambda a, b: a * b, counts).cast("long").alias("copies")] if counts else []
+
     return df.select(
         "section",
         F.col("Sta3n").alias("site"),
@@ -152,6 +165,7 @@ def _event(
         "flag",
         text(x.no_text() if rank_key is None else rank_key, "rank_key"),
         rank_ts.alias("rank_ts"),
+        *copies,
     )
 
 
@@ -174,7 +188,7 @@ def exam_results(inputs: Inputs) -> DataFrame:
         .join(codes, ["RadiologyDiagnosticCodeSID", "Sta3n"])
         .select("Sta3n", "VisitSID", F.col("RadiologyDiagnosticCode").alias("result"))
     )
-    return inputs.grain.of(exams)
+    return inputs.grain.of(exams, "exam")
 
 
 def diagnoses(inputs: Inputs) -> DataFrame:
@@ -183,7 +197,7 @@ def diagnoses(inputs: Inputs) -> DataFrame:
     ids = inputs.tables["v_diagnosis"].select(
         "Sta3n", "PatientSID", "VisitSID", "ICD10SID", "ICD9SID"
     )
-    return inputs.grain.of(inputs.of_visits(ids))
+    return inputs.grain.of(inputs.of_visits(ids), "diagnosis")
 
 
 def selected_procedures(inputs: Inputs, sections: Sequence[Section]) -> DataFrame:
@@ -211,7 +225,8 @@ def selected_procedures(inputs: Inputs, sections: Sequence[Section]) -> DataFram
             F.when(~F.col("needs_exam"), F.col("Comments")).alias("comments"),
         )
     )
-    return inputs.grain.of(inputs.of_persons(rows, "VisitSID", "event_ts", "label", "comments"))
+    rows = inputs.of_persons(rows, "VisitSID", "event_ts", "label", "comments")
+    return inputs.grain.of(rows, "procedure")
 
 
 def selected_visits(inputs: Inputs) -> DataFrame:
@@ -259,6 +274,7 @@ def _with_exam_results(inputs: Inputs, rows: DataFrame, all_need: bool) -> DataF
     results = exam_results(inputs)
     if all_need:
         return rows.join(results, _VISIT)
+    found = [f"r.{c}" for c in results.columns if c not in _VISIT]
     left, right = rows.alias("l"), results.withColumn("examined", F.lit(True)).alias("r")
     on = (
         (F.col("l.Sta3n") == F.col("r.Sta3n"))
@@ -268,7 +284,7 @@ def _with_exam_results(inputs: Inputs, rows: DataFrame, all_need: bool) -> DataF
     return (
         left.join(right, on, "left")
         .where(~F.col("l.needs_exam") | F.col("r.examined"))
-        .select("l.*", "r.result")
+        .select("l.*", *found)
     )
 
 
@@ -385,7 +401,8 @@ def cytology(inputs: Inputs) -> DataFrame:
                 F.col("CollectionSample"), F.col("Topography"), spec.switches.keep_partial_labels
             ).alias("label"),
             "code1",
-        )
+        ),
+        "specimen",
     )
     found = t["morphology"].withColumnRenamed("MorphologyIEN", "MorphologyFieldIEN")
     morphologies = grain.of(
@@ -395,12 +412,13 @@ def cytology(inputs: Inputs) -> DataFrame:
             *case,
             F.col("Morphology").alias("detail"),
             x.labelled("Morph ", F.col("SnomedCode")).alias("code2"),
-        )
+        ),
+        "morphology",
     )
     taken = inputs.recent(t["cytopathology"], _taken_or_received())
     cases = taken.select(*case, "PatientSID", *_case_times(inputs))
     rows = (
-        grain.of(inputs.of_persons(cases, *case[1:], "event_ts"))
+        grain.of(inputs.of_persons(cases, *case[1:], "event_ts"), "case")
         .join(specimens, case)
         .join(morphologies, case, "left")
         .withColumn(
@@ -420,7 +438,8 @@ def surgical(inputs: Inputs) -> DataFrame:
             t["surg_specimen"],
             sections,
             lambda s: p.in_text_set(F.col("Specimen"), s.specimens),
-        )
+        ),
+        "specimen",
     )
     fields = t["surg_morphology_field"]
     morphologies = grain.of(
@@ -432,12 +451,13 @@ def surgical(inputs: Inputs) -> DataFrame:
             *case,
             F.col("MorphologyField").alias("detail"),
             x.labelled("SNOMED ", F.col("SnomedCode")).alias("code1"),
-        )
+        ),
+        "morphology",
     )
     taken = inputs.recent(t["surgical_pathology"], _taken_or_received())
     cases = taken.select(*case, "PatientSID", "SurgicalPathAccNumber", *_case_times(inputs))
     rows = (
-        grain.of(inputs.of_persons(cases, *case[1:], "event_ts"))
+        grain.of(inputs.of_persons(cases, *case[1:], "event_ts"), "case")
         .join(specimens, case)
         .join(morphologies, case, "left")
         .withColumn(
@@ -485,11 +505,13 @@ def ranked(inputs: Inputs, stream: str, latest_only: bool = False) -> DataFrame:
     oldest = stream == "surgical" and not inputs.spec.switches.surgical_newest_first
     time = ranking.oldest_first("rank_ts") if oldest else ranking.newest_first("rank_ts")
     order = [time, *ranking.ties(_VALUES)]
-    events = BUILDERS[stream](inputs)
-    if latest_only:
+    if latest_only:  # copies of the newest event do not matter
+        events = BUILDERS[stream](replace(inputs, grain=THIN))
         numbered = ranking.first_rows(events, group, order, "recency")
     else:
+        events = BUILDERS[stream](replace(inputs, grain=COUNTED))
         # The joins run once; counting and numbering read the staged rows.
         rows = events if inputs.run.hot_rows is None else staged(events, stream)
-        numbered = ranking.row_numbers(rows, group, order, "recency", inputs.run.hot_rows)
+        copies = "copies" if "copies" in rows.columns else None
+        numbered = ranking.row_numbers(rows, group, order, "recency", inputs.run.hot_rows, copies)
     return numbered.select("section", *EVENT_COLUMNS)

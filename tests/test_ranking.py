@@ -58,6 +58,18 @@ def test_many_copies_are_dealt_out_in_chunks(spark, monkeypatch):
     assert numbers == [(1, i) for i in range(1, 101)] + [(2, i) for i in range(101, 104)]
 
 
+@pytest.mark.parametrize("hot_rows", [None, 10**9, 20])
+@pytest.mark.parametrize("chunk", [3, 10_000])
+def test_counted_copies_equal_brute_force(spark, monkeypatch, hot_rows, chunk):
+    monkeypatch.setattr(ranking, "_COPIES_PER_TASK_ROW", chunk)
+    data = rows(1500, seed=9, hot_share=0.4, copies=300)
+    counted = spark.createDataFrame(data, SCHEMA).groupBy("person", "kind", "ts", "text")
+    df = counted.agg(F.count(F.lit(1)).alias("n_copies"))
+    order = [ranking.newest_first("ts"), *ranking.ties(["text"])]
+    got = ranking.row_numbers(df, ["person", "kind"], order, "n", hot_rows, "n_copies")
+    assert sorted(repr(tuple(r)) for r in got.collect()) == brute_force(data, True)
+
+
 def test_a_hot_group_is_spread_over_tasks(spark):
     df = spark.range(20_000).select(F.lit(1).alias("person"), F.col("id").alias("ts"))
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")

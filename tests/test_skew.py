@@ -6,10 +6,13 @@ from the distinct values of each side.
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from cohortloom import schemas
 from cohortloom.plans import report as plan
+from cohortloom.plans import streams
 from cohortloom.plans.streams import Inputs
 from cohortloom.sources.loader import Tables
 from cohortloom.spec import DEFAULT, Run
@@ -29,18 +32,25 @@ def rows(spark, table: str, n: int = COPIES, **values: str):
     )
 
 
-def report(spark, clinic: Clinic, **hot):
+def inputs(spark, clinic: Clinic, **hot) -> Inputs:
     places = {n: (lambda n=n: clinic.frame(spark, n)) for n in schemas.SOURCES} | hot
-    inputs = Inputs(Tables(spark, places, (SITE,)), Run.at(AS_OF, (SITE,)), DEFAULT)
-    return plan.report(inputs)
+    return Inputs(Tables(spark, places, (SITE,)), Run.at(AS_OF, (SITE,)), DEFAULT)
 
 
-def test_an_unknown_visit_does_not_multiply(spark):
+def report(spark, clinic: Clinic, **hot):
+    return plan.report(inputs(spark, clinic, **hot))
+
+
+def hot_visit(spark) -> Inputs:
     clinic = Clinic().person().code(7, "BREAST MAMMOGRAPHY", "MAMMO")
     for key in range(3):
         clinic.add("icd10_description", ICD10SID=key, ICD10Description=f"D{key}")
-        clinic.add("radiology_diagnostic_code", RadiologyDiagnosticCodeSID=key, RadiologyDiagnosticCode=f"R{key}")
-    found = report(
+        clinic.add(
+            "radiology_diagnostic_code",
+            RadiologyDiagnosticCodeSID=key,
+            RadiologyDiagnosticCode=f"R{key}",
+        )
+    return inputs(
         spark,
         clinic,
         v_procedure=rows(
@@ -67,10 +77,43 @@ def test_an_unknown_visit_does_not_multiply(spark):
             ExamDateTime="timestamp_ntz'2023-05-01 00:00:00'",
         ),
     )
+
+
+def test_an_unknown_visit_does_not_multiply(spark):
+    found = plan.report(hot_visit(spark))
     assert found.count() == 9
     assert found.select("event_date").distinct().count() == 1
 
 
+def test_the_latest_event_of_an_unknown_visit(spark):
+    found = plan.report(hot_visit(spark), latest_only=True).collect()
+    assert [(r.code1, r.detail) for r in found] == [("ICD10 D0", "R0")]
+
+
+def test_ranks_count_copies_without_joining_them(spark):
+    clinic = Clinic().code(7, "OBSTETRIC", "VISIT").diagnosis(1).diagnosis(2)
+    given = inputs(
+        spark,
+        clinic,
+        v_procedure=rows(
+            spark,
+            "v_procedure",
+            PatientSID="1",
+            VisitSID="1",
+            CPTSID="7",
+            VisitDateTime="timestamp_ntz'2023-05-01 00:00:00'",
+        ),
+    )
+    counted = streams.procedures(replace(given, grain=streams.COUNTED)).collect()
+    assert sorted(r.copies for r in counted) == [COPIES, COPIES]
+    ranked = streams.ranked(given, "procedures")
+    by_code = ranked.groupBy("code1").agg(F.min("recency"), F.max("recency"), F.countDistinct("recency"))
+    assert sorted(tuple(r) for r in by_code.collect()) == [
+        ("ICD10 D1", 1, COPIES, COPIES),
+        ("ICD10 D2", COPIES + 1, 2 * COPIES, COPIES),
+    ]
+
+
 def test_an_unknown_case_does_not_multiply(spark):
     clinic = Clinic().person()
     for key in range(3):
