@@ -10,6 +10,7 @@ from cohortloom.jobs import nightly
 from cohortloom.operators import sizing
 from cohortloom.operators.staging import shared_folder, staged
 from cohortloom.plans import report as plan
+from cohortloom.plans import streams
 from cohortloom.sinks.report_table import read_report, replace_report
 from cohortloom.sources.loader import Tables
 from clinic import Clinic
@@ -90,6 +91,19 @@ def test_caseless_comparison(spark):
     assert {(r.label, r.flag) for r in rows} == {("LAB hpv dna", "HPV POS"), ("HFT x", None)}
 
 
+@pytest.mark.parametrize("hot_rows", [None, 100, 1])
+def test_caseless_ranks(spark, hot_rows):
+    clinic = Clinic().person()
+    for day, name in enumerate(["HPV", "hpv", "Hpv "], 1):
+        clinic.lab(name, "x", f"2023-05-0{day} 08:00:00")
+        clinic.surgery("left breast", taken=f"2023-05-0{day} 08:00:00", findings=[name])
+    given = clinic.inputs(spark, caseless=True, hot_rows=hot_rows)
+    for stream, days in (("labs", [3, 2, 1]), ("surgical", [1, 2, 3])):
+        rows = sorted(streams.ranked(given, stream).collect(), key=lambda r: r.recency)
+        assert [r.event_ts.day for r in rows] == days
+        assert [r.recency for r in rows] == [1, 2, 3]
+
+
 def test_caseless_report_is_stored_as_plain_text(spark, tmp_path):
     folder = str(tmp_path / "report")
     clinic = Clinic().person().factor("x", "wh mammogram")
