@@ -7,8 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortloom.llm import chat, packing, token_counts, topk, warc
-from cohortloom.llm.common import new_folder, table
+from cohortloom.llm import (
+    chat,
+    decontamination,
+    language_id,
+    lm_scoring,
+    near_dedup,
+    packing,
+    quality,
+    token_counts,
+    topk,
+    warc,
+)
+from cohortloom.llm.common import new_folder, remainder, table
+from cohortloom.operators.staging import staged
 
 BYTE_BPE = "byte_bpe_50k.json"
 #: <|endoftext|> of that vocabulary; no text has it, as special tokens are encoded as text.
@@ -21,6 +33,22 @@ def tokenizer_path() -> str:
     return public_tokenizers.path(BYTE_BPE)
 
 
+def op1_hmm_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score(table(spark, sf_dir, "documents"), remainder("doc_id", 7) != 2)
+
+
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language_id.train(docs.where(remainder("doc_id", 5) != 0))
+    labelled = language_id.label(docs.select("doc_id", "text"), model)
+    return labelled.select(
+        "doc_id",
+        (remainder("doc_id", 5) == 0).alias("held_out"),
+        "lang_pred",
+        F.col("lang_score").alias("score"),
+    )
+
+
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_folder(spark, "archive")
     warc.write_archive(table(spark, sf_dir, "pages"), folder)
@@ -28,6 +56,23 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "status")
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.drop("text_key")
+
+
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = staged(quality.with_statistics(table(spark, sf_dir, "documents")), "statistics")
+    labels = table(spark, sf_dir, "labels").where(remainder("doc_id", 3) != 1)
+    scored = quality.score_vectors(vectors, quality.train(vectors, labels))
+    return scored.select(
+        "doc_id",
+        (remainder("doc_id", 3) == 1).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.rendered(table(spark, sf_dir, "conversations"))
 
@@ -40,16 +85,26 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.document_counts(table(spark, sf_dir, "documents"), tokenizer_path(), END_OF_TEXT)
 
 
+def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.pmod("vec_id", F.lit(50)) == 0)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_hmm_lm": op1_hmm_lm,
+        "op2_language_id": op2_language_id,
         "op3_warc": op3_warc,
+        "op4_decontamination": op4_decontamination,
+        "op5_quality": op5_quality,
         "op6_chat": op6_chat,
         "op7_packing": op7_packing,
         "op8_token_counts": op8_token_counts,
+        "op9_near_dedup": op9_near_dedup,
         "op10_topk": op10_topk,
     }
 
