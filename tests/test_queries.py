@@ -8,8 +8,9 @@ import __spark_entry__ as registry
 from oracle import connect, differences
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES = registry.queries()
-ORACLES = registry.oracle_sql()
+OWN = {**registry.operator_queries.queries(), **registry.stream_queries.queries()}
+QUERIES = {name: query for name, query in registry.queries().items() if name in OWN}
+ORACLES = {name: sql for name, sql in registry.oracle_sql().items() if name in OWN}
 
 
 @pytest.fixture(scope="module")
