@@ -10,9 +10,10 @@ is over 0.9999 at 0.75 for the default of 12.
 Documents with equal sets are one class, found by a hash of the set, and only classes
 go on. Half keys that one class alone has cannot make a common table key and are
 left out before the pairing. In a bucket every class is compared with the
-smallest one; after the confirmed links have joined classes to components, only
-pairs from different components of a bucket are left to compare. So a group of
-copies of any size costs a row per copy and table, not a row per pair.
+smallest one. Classes of buckets that still hold several components after that are
+compared if they share one of their rarest shingles (the prefix filter, which loses
+no pair). So a group of copies of any size costs a row per copy and table, not
+a row per pair, and documents that only share a common passage cost none.
 A confirmed link means 100 * intersection >= 75 * union on the full sets.
 
 Defined results: null, empty and blank texts have the empty set and are linked with
@@ -26,7 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortloom.llm.common import mixed, numbered, split_words, steps, string_hashes, text_key
@@ -123,12 +124,9 @@ def table_keys(classes: DataFrame, halves: int) -> DataFrame:
     return mine.select(F.explode(pairs(F.col("mine"))).alias("key"), "class", "n")
 
 
-def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, words_each: int, percent: int) -> DataFrame:
-    """The pairs (a, b) of classes whose full sets are similar enough."""
-    pairs = staged(pairs, "candidate-pairs")
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
-    owners = classes.join(wanted, "class", "left_semi").select("class", "doc_id", "text_key")
-    owners = staged(owners, "candidate-classes")
+def candidate_sets(classes: DataFrame, docs: DataFrame, words_each: int) -> DataFrame:
+    """class and shingles (the full set) of the given classes, from one text of each."""
+    owners = staged(classes.select("class", "doc_id", "text_key"), "candidate-classes")
     texts = docs.select(F.col("doc_id").cast("long"), text_key().alias("text_key"), "text")
     if sizing.broadcastable({"owners": owners}):
         owners = F.broadcast(owners)  # the texts need not be shuffled
@@ -145,7 +143,13 @@ def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, words_each:
                 yield pa.RecordBatch.from_arrays([batch.column("class"), lists], ["class", "shingles"])
 
     sets = staged(chosen.mapInArrow(work, "class binary, shingles array<long>"), "candidate-sets")
-    sets = sets.dropDuplicates(["class"]) if _repeats(sets) else sets
+    # A class comes twice if its document's row is repeated.
+    repeats = not sets.groupBy("class").count().where("count > 1").isEmpty()
+    return staged(sets.dropDuplicates(["class"]), "candidate-sets") if repeats else sets
+
+
+def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) of classes whose full sets are similar enough."""
     left = sets.select(F.col("class").alias("a"), F.col("shingles").alias("x"))
     right = sets.select(F.col("class").alias("b"), F.col("shingles").alias("y"))
     both = F.size(F.array_intersect("x", "y"))
@@ -153,9 +157,31 @@ def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, words_each:
     return joined.where(100 * both >= percent * (F.size("x") + F.size("y") - both)).select("a", "b")
 
 
-def _repeats(sets: DataFrame) -> bool:
-    """Whether a class came twice, from equal rows."""
-    return not sets.groupBy("class").count().where("count > 1").isEmpty()
+def prefix_pairs(sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of classes of different ``root`` that may be similar enough.
+
+    Order all shingles by how many sets have them. Two similar sets share one of the
+    first n - ceil(n * percent / 100) + 1 of either, so sets that have only a common
+    passage in common, however many, make no pair.
+    """
+    rows = sets.select("class", "root", F.size("shingles").alias("n"), F.explode("shingles").alias("shingle"))
+    spread = rows.groupBy("shingle").agg(
+        F.count(F.lit(1)).alias("times"), F.min("root").alias("low"), F.max("root").alias("high")
+    )
+    spread = spread.select("shingle", "times", (F.col("low") != F.col("high")).alias("mixed"))
+    rarest = Window.partitionBy("class").orderBy("times", "shingle")
+    prefix = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
+    kept = rows.join(spread, "shingle").withColumn("place", F.row_number().over(rarest))
+    kept = kept.where((F.col("place") <= prefix) & F.col("mixed")).select("shingle", "class", "root", "n")
+    kept = staged(kept, "prefixes")
+    l, r = kept.alias("l"), kept.alias("r")
+    apart = (
+        (F.col("l.shingle") == F.col("r.shingle"))
+        & (F.col("l.class") < F.col("r.class"))
+        & (F.col("l.root") != F.col("r.root"))
+        & (100 * F.least("l.n", "r.n") >= percent * F.greatest("l.n", "r.n"))
+    )
+    return l.join(r, apart).select(F.col("l.class").alias("a"), F.col("r.class").alias("b")).distinct()
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -205,24 +231,20 @@ def near_duplicates(docs: DataFrame, *, words_each: int = 5, percent: int = 75,
     buckets = keys.groupBy("key").agg(F.min("class").alias("hub"), F.count(F.lit(1)).alias("times")).where("times > 1")
     members = keys.join(buckets.select("key", "hub"), "key")
     spokes = members.where("class <> hub").select(F.col("hub").alias("a"), F.col("class").alias("b")).distinct()
-    links = staged(confirmed(spokes, classes, docs, words_each, percent), "links")
+    spokes = staged(spokes, "candidate-pairs")
+    wanted = spokes.select(F.explode(F.array("a", "b")).alias("class")).distinct()
+    sets = candidate_sets(classes.join(wanted, "class", "left_semi"), docs, words_each)
+    links = staged(confirmed(spokes, sets, percent), "links")
     roots = components(links)
 
-    # Pairs that no link has joined yet, of buckets that hold several components.
+    # What no link has joined yet: classes of buckets that still hold several components.
     placed = members.join(roots, members["class"] == roots["node"], "left").select(
-        "key", "class", "n", "hub", F.coalesce("root", "class").alias("root")
+        "key", "class", "hub", F.coalesce("root", "class").alias("root")
     )
     split = placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
-    open_rows = staged(placed.where("class <> hub").join(split.select("key"), "key", "left_semi"), "open-buckets")
-    l, r = open_rows.alias("l"), open_rows.alias("r")
-    apart = (
-        (F.col("l.key") == F.col("r.key"))
-        & (F.col("l.class") < F.col("r.class"))
-        & (F.col("l.root") != F.col("r.root"))
-        & (100 * F.least("l.n", "r.n") >= percent * F.greatest("l.n", "r.n"))
-    )
-    rest = l.join(r, apart).select(F.col("l.class").alias("a"), F.col("r.class").alias("b")).distinct()
-    more = staged(confirmed(rest, classes, docs, words_each, percent), "links")
+    loose = placed.join(split.select("key"), "key", "left_semi").select("class", "root").distinct()
+    pairs = staged(prefix_pairs(sets.join(loose, "class"), percent), "candidate-pairs")
+    more = staged(confirmed(pairs, sets, percent), "links")
     if not more.isEmpty():
         roots = components(links.unionByName(more))
 
