@@ -160,9 +160,11 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def prefix_pairs(sets: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of classes of different ``root`` that may be similar enough.
 
-    Order all shingles by how many sets have them. Two similar sets share one of the
-    first n - ceil(n * percent / 100) + 1 of either, so sets that have only a common
-    passage in common, however many, make no pair.
+    Order all shingles by how many sets have them, the rarest first. Sets of n <= m
+    shingles that are similar enough share s * (n + m) / (1 + s) of them, so the first one
+    they share is among the first n - 2 s n / (1 + s) + 1 of the smaller and the first
+    m - s m + 1 of the larger, and enough shingles come after it in both. Sets
+    that have only a common passage in common, however many, make no pair.
     """
     rows = sets.select("class", "root", F.size("shingles").alias("n"), F.explode("shingles").alias("shingle"))
     spread = rows.groupBy("shingle").agg(
@@ -170,16 +172,20 @@ def prefix_pairs(sets: DataFrame, percent: int) -> DataFrame:
     )
     spread = spread.select("shingle", "times", (F.col("low") != F.col("high")).alias("mixed"))
     rarest = Window.partitionBy("class").orderBy("times", "shingle")
-    prefix = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
     kept = rows.join(spread, "shingle").withColumn("place", F.row_number().over(rarest))
-    kept = kept.where((F.col("place") <= prefix) & F.col("mixed")).select("shingle", "class", "root", "n")
-    kept = staged(kept, "prefixes")
-    l, r = kept.alias("l"), kept.alias("r")
+    kept = kept.where(F.col("mixed") & (F.col("place") <= F.col("n") - F.ceil(F.col("n") * percent / 100) + 1))
+    kept = staged(kept.select("shingle", "class", "root", "n", "place"), "prefixes")
+    share = 2 * percent / (100 + percent)
+    l = kept.where(F.col("place") <= F.col("n") - F.ceil(F.col("n") * F.lit(share) - 1e-6) + 1).alias("l")
+    r = kept.alias("r")
+    smaller = (F.col("l.n") < F.col("r.n")) | ((F.col("l.n") == F.col("r.n")) & (F.col("l.class") < F.col("r.class")))
+    after = 1 + F.least(F.col("l.n") - F.col("l.place"), F.col("r.n") - F.col("r.place"))
     apart = (
         (F.col("l.shingle") == F.col("r.shingle"))
-        & (F.col("l.class") < F.col("r.class"))
+        & smaller
         & (F.col("l.root") != F.col("r.root"))
-        & (100 * F.least("l.n", "r.n") >= percent * F.greatest("l.n", "r.n"))
+        & (100 * F.col("l.n") >= percent * F.col("r.n"))
+        & ((100 + percent) * after >= percent * (F.col("l.n") + F.col("r.n")))
     )
     return l.join(r, apart).select(F.col("l.class").alias("a"), F.col("r.class").alias("b")).distinct()
 
