@@ -10,7 +10,7 @@ is over 0.9999 at 0.75 for the default of 12.
 Documents with equal sets are one class, found by a hash of the set, and only classes
 go on. Half keys that one class alone has cannot make a common table key and are
 left out before the pairing. In a bucket every class is compared with the
-smallest one. Classes of buckets that still hold several components after that are
+smallest one, and, unless that has joined them, with the largest one. Classes of buckets that still hold several components after that are
 compared if they share one of their rarest shingles (the prefix filter, which loses
 no pair). So a group of copies of any size costs a row per copy and table, not
 a row per pair, and documents that only share a common passage cost none.
@@ -220,6 +220,31 @@ def _downward(pairs: DataFrame) -> DataFrame:
     )
 
 
+def _placed(members: DataFrame, roots: DataFrame | None) -> DataFrame:
+    """``members`` with the root of each class's component: itself before any link."""
+    if roots is None:
+        return members.withColumn("root", F.col("class"))
+    found = members.join(roots, members["class"] == roots["node"], "left")
+    return found.select("key", "class", "n", F.coalesce("root", "class").alias("root"))
+
+
+def _open(placed: DataFrame, hub) -> DataFrame:
+    """Buckets that hold several components, each with its smallest or largest class."""
+    ends = (F.min("root").alias("low"), F.max("root").alias("high"))
+    return placed.groupBy("key").agg(hub(F.struct("class", "n", "root")).alias("hub"), *ends).where("low <> high")
+
+
+def _spokes(placed: DataFrame, hub, percent: int) -> DataFrame:
+    """Each class of an open bucket with the bucket's hub, if sizes and components allow a new link."""
+    near = 100 * F.least("n", "hub.n") >= percent * F.greatest("n", "hub.n")
+    rows = placed.join(_open(placed, hub), "key").where((F.col("root") != F.col("hub.root")) & near)
+    return rows.select(F.col("hub.class").alias("a"), F.col("class").alias("b")).distinct()
+
+
+def _joined(links: DataFrame | None, more: DataFrame) -> DataFrame:
+    return more if links is None else links.unionByName(more)
+
+
 def near_duplicates(docs: DataFrame, *, words_each: int = 5, percent: int = 75, halves: int = 12) -> DataFrame:
     """doc_id, text_key, n_shingles, component_id and kept of every row, and ``root``, which
     tells components apart also where ids repeat (null for the empty set)."""
@@ -234,25 +259,23 @@ def near_duplicates(docs: DataFrame, *, words_each: int = 5, percent: int = 75,
     classes = staged(classes, "classes")
     keys = staged(table_keys(classes, halves), "table-keys")
 
-    buckets = keys.groupBy("key").agg(F.min("class").alias("hub"), F.count(F.lit(1)).alias("times")).where("times > 1")
-    members = keys.join(buckets.select("key", "hub"), "key")
-    spokes = members.where("class <> hub").select(F.col("hub").alias("a"), F.col("class").alias("b")).distinct()
-    spokes = staged(spokes, "candidate-pairs")
-    wanted = spokes.select(F.explode(F.array("a", "b")).alias("class")).distinct()
-    sets = candidate_sets(classes.join(wanted, "class", "left_semi"), docs, words_each)
-    links = staged(confirmed(spokes, sets, percent), "links")
-    roots = components(links)
-
-    # What no link has joined yet: classes of buckets that still hold several components.
-    placed = members.join(roots, members["class"] == roots["node"], "left").select(
-        "key", "class", "hub", F.coalesce("root", "class").alias("root")
-    )
-    split = placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
-    loose = placed.join(split.select("key"), "key", "left_semi").select("class", "root").distinct()
+    found = keys.groupBy("key").agg(F.count(F.lit(1)).alias("times")).where("times > 1")
+    members = staged(keys.join(found.select("key"), "key", "left_semi"), "members")
+    wanted = classes.join(members.select("class").distinct(), "class", "left_semi")
+    sets = candidate_sets(wanted, docs, words_each)
+
+    roots, links = None, None
+    for hub in (F.min, F.max):
+        pairs = staged(_spokes(_placed(members, roots), hub, percent), "candidate-pairs")
+        links = _joined(links, staged(confirmed(pairs, sets, percent), "links"))
+        roots = components(links)
+    # What is left: classes of buckets that still hold several components.
+    placed = _placed(members, roots)
+    loose = placed.join(_open(placed, F.min).select("key"), "key", "left_semi").select("class", "root").distinct()
     pairs = staged(prefix_pairs(sets.join(loose, "class"), percent), "candidate-pairs")
     more = staged(confirmed(pairs, sets, percent), "links")
     if not more.isEmpty():
-        roots = components(links.unionByName(more))
+        roots = components(_joined(links, more))
 
     linked = classes.select("class", "doc_id").join(roots, F.col("class") == F.col("node"), "left")
     linked = linked.select("class", "doc_id", F.coalesce("root", "class").alias("root"))
