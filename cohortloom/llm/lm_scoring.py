@@ -35,7 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortloom.llm.common import byte_view, mixed, numbered, split_words, steps
+from cohortloom.llm.common import STEP_BYTES, byte_view, mixed, numbered, split_words, steps
 from cohortloom.operators.staging import staged
 
 _END = 0  # the class of the end token
