@@ -17,6 +17,7 @@ import pyarrow.compute as pc
 from cohortloom.llm.common import gather, numbered
 
 _KEPT_PARTS = 200_000
+_PARTS_TEXT, _PARTS_CALL = 200, 20_000  # parts encoded as one text, and in one call
 _SPACE = re.compile(r" (?=\S)")
 #: A space before white space or the end, where a plain split at spaces is wrong.
 _ODD_SPACE = r" (?:$|[\s\x0B\x1C-\x1F\x{85}\p{Z}])"
@@ -34,6 +35,10 @@ class PartEncoder:
         self._tokenizer = Tokenizer.from_file(path)
         self._tokenizer.encode_special_tokens = True
         self._known: dict[str, bytes] = {}
+        # Tokens that begin with a space, which byte-level vocabularies write as this letter.
+        vocabulary = self._tokenizer.get_vocab()
+        self._spaced = np.zeros(max(vocabulary.values()) + 1, bool)
+        self._spaced[[i for token, i in vocabulary.items() if token.startswith("\u0120")]] = True
 
     def _ids(self, strings: list[str]) -> list[bytes]:
         encoded = self._tokenizer.encode_batch_fast(strings, add_special_tokens=False)
@@ -65,11 +70,29 @@ class PartEncoder:
         ends = np.concatenate([[0], np.cumsum(per_part)])
         return ids, ends[offsets]
 
+    def _ids_after_space(self, parts: list[str]) -> list[bytes]:
+        """As ``_ids`` of each part with a space before it, but many to a text: where a
+        part has no other space, its first token alone begins with one."""
+        found: list[bytes] = [b""] * len(parts)
+        plain = [i for i, p in enumerate(parts) if " " not in p]
+        for i in set(range(len(parts))).difference(plain):
+            found[i] = self._ids([" " + parts[i]])[0]
+        for many in (plain[i : i + _PARTS_CALL] for i in range(0, len(plain), _PARTS_CALL)):
+            texts = [
+                "".join(" " + parts[i] for i in many[j : j + _PARTS_TEXT])
+                for j in range(0, len(many), _PARTS_TEXT)
+            ]
+            raw = b"".join(self._ids(texts))
+            starts = 4 * np.flatnonzero(self._spaced[np.frombuffer(raw, np.uint32)])
+            for i, a, b in zip(many, starts.tolist(), [*starts[1:].tolist(), len(raw)], strict=True):
+                found[i] = raw[a:b]
+        return found
+
     def _with_space(self, parts: list[str], index: np.ndarray) -> list[bytes]:
         found = [self._known.get(p) for p in parts]
         missing = [i for i, f in enumerate(found) if f is None]
         counts = np.bincount(index, minlength=len(parts))
-        for i, ids in zip(missing, self._ids([" " + parts[i] for i in missing])):
+        for i, ids in zip(missing, self._ids_after_space([parts[i] for i in missing])):
             found[i] = ids
             if counts[i] > 1 and len(self._known) < _KEPT_PARTS:
                 self._known[parts[i]] = ids
