@@ -71,27 +71,28 @@ def scripts_of(words: pa.Array) -> np.ndarray:
     return _SCRIPT[np.searchsorted(_FIRST, points, side="right") - 1]
 
 
-def features_of(words: pa.Array, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashed n-grams of all words end to end, and len + 1 offsets. The word's ends are bytes of their own."""
+def features_of(words: pa.Array, bits: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For each n-gram length the hashed n-grams of all words end to end, and len + 1
+    offsets. A word's ends are bytes of their own."""
     framed = pc.binary_join_element_wise("\x02", words, "\x03", "")
     data, offsets = byte_view(framed)
-    ends = np.repeat(offsets[1:], np.diff(offsets))
-    word = np.repeat(np.arange(len(words)), np.diff(offsets))
-    found, owner = [], []
+    sizes = np.diff(offsets)
+    ends = np.repeat(offsets[1:], sizes)
+    place = np.arange(len(data))
     code = np.zeros(len(data), np.uint64)
     for n in range(1, max(_GRAMS) + 1):
-        shifted = np.zeros(len(data), np.uint64)
-        shifted[: len(data) - n + 1] = data[n - 1 :]
-        code = code * np.uint64(0x100000001B3) + shifted + np.uint64(n)
-        if n in _GRAMS:
-            inside = np.flatnonzero(np.arange(len(data)) + n <= ends)
-            mixed = (code[inside] * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - bits)
-            found.append(mixed.astype(np.int64))
-            owner.append(word[inside])
-    owner = np.concatenate(owner)
-    order = np.argsort(owner, kind="stable")
-    bounds = np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=len(words)))])
-    return np.concatenate(found)[order], bounds
+        code *= np.uint64(0x100000001B3)
+        code[: len(data) - n + 1] += data[n - 1 :] + np.uint64(n)
+        inside = place + n <= ends
+        mixed = (code[inside] * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - bits)
+        yield mixed.astype(np.int64), np.concatenate([[0], np.cumsum(np.maximum(sizes - n + 1, 0))])
+
+
+def _some(words: pa.Array, columns: int) -> Iterator[slice]:
+    """Slices of words, so few that a number per n-gram and column stays small."""
+    size = max(500, 80_000 // max(4, columns))
+    for start in range(0, len(words), size):
+        yield slice(start, min(start + size, len(words)))
 
 
 def train(docs: DataFrame, *, language: str = "lang", train_docs: int = 20_000, bits: int = 17) -> Model:
@@ -120,16 +121,19 @@ def train(docs: DataFrame, *, language: str = "lang", train_docs: int = 20_000,
                 owner = np.repeat(of_text, np.diff(offsets))
                 uses = np.bincount(owner * len(distinct) + index, minlength=len(place) * len(distinct))
                 uses = uses.reshape(len(place), len(distinct))[:, kept]
-                grams, bounds = features_of(clean, bits)
                 letters = pc.utf8_length(clean).to_numpy(zero_copy_only=False)
                 script = scripts_of(clean)
+                both = np.zeros((len(place), (1 << bits) + len(SCRIPTS)))
                 for lang, n in enumerate(uses):
-                    per_gram = np.bincount(grams, np.repeat(n, np.diff(bounds)), 1 << bits)
-                    per_script = np.bincount(script, n * letters, len(SCRIPTS))
-                    both = np.concatenate([per_gram, per_script])
-                    at = np.flatnonzero(both)
+                    both[lang, 1 << bits :] = np.bincount(script, n * letters, len(SCRIPTS))
+                for part in _some(clean, 1):
+                    for grams, bounds in features_of(clean[part.start : part.stop], bits):
+                        for lang, n in enumerate(uses):
+                            both[lang, : 1 << bits] += np.bincount(grams, np.repeat(n[part], np.diff(bounds)), 1 << bits)
+                for lang, row in enumerate(both):
+                    at = np.flatnonzero(row)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(at), lang, np.int32)), pa.array(at.astype(np.int32)), pa.array(both[at])],
+                        [pa.array(np.full(len(at), lang, np.int32)), pa.array(at.astype(np.int32)), pa.array(row[at])],
                         ["lang", "at", "n"],
                     )
 
@@ -174,8 +178,12 @@ def viterbi(scores: np.ndarray, offsets: np.ndarray, penalty: float) -> np.ndarr
 
 def word_scores(words: pa.Array, model: Model) -> np.ndarray:
     """Score of each distinct, non-empty word in each language."""
-    grams, bounds = features_of(words, model.bits)
-    scores = _WEIGHT * segment_sums(model.log_probs[grams].astype(np.float64), bounds)
+    count = len(model.languages)
+    scores = np.zeros((len(words), count))
+    for part in _some(words, count):
+        for grams, bounds in features_of(words[part.start : part.stop], model.bits):
+            scores[part] += segment_sums(model.log_probs[grams].astype(np.float64), bounds)
+    scores *= _WEIGHT
     can = model.candidates[scripts_of(words)]
     # Languages that do not use the script lose by far; if none does, the word is for none.
     scores = np.where(can, scores, scores.min(1, keepdims=True) - 50.0)
