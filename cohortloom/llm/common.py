@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from cohortloom.operators.staging import shared_folder
 
 #: Text that one step inside a task handles at once, in bytes; one longer text is a step by itself.
-STEP_BYTES = 8 << 20
+STEP_BYTES = 4 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -50,6 +50,7 @@ def steps(batch: pa.RecordBatch, column: str, most: int = STEP_BYTES) -> Iterato
         stop = max(start + 1, int(np.searchsorted(ends, base + most, side="right")))
         yield batch.slice(start, stop - start)
         start = stop
+    pa.default_memory_pool().release_unused()  # an idle worker should not hold what it has used
 
 
 def split_words(texts: pa.Array, lower: bool = True) -> tuple[pa.Array, np.ndarray]:

@@ -57,7 +57,7 @@ def statistics(texts: pa.Array) -> np.ndarray:
     data, ends = byte_view(texts)
     sizes = np.diff(ends)
     per_kind = np.bincount(
-        np.repeat(np.arange(n) * len(_KINDS), sizes) + _KIND[data], minlength=n * len(_KINDS)
+        np.repeat(np.arange(n, dtype=np.int32) * len(_KINDS), sizes) + _KIND[data], minlength=n * len(_KINDS)
     ).reshape(n, len(_KINDS))
     kind = {name: per_kind[:, i].astype(float) for i, name in enumerate(_KINDS)}
 

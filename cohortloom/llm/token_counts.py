@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cohortloom.llm.common import new_folder, open_file, steps
+from cohortloom.llm.common import STEP_BYTES, new_folder, open_file, steps
 from cohortloom.llm.tokens import PartEncoder
 from cohortloom.operators.staging import staged
 
@@ -39,7 +39,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int) -
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = PartEncoder(tokenizer)
         for whole in batches:
-            for batch in steps(whole, "text"):
+            for batch in steps(whole, "text", 2 * STEP_BYTES):
                 ids, ends = encoder.encode(batch.column("text"))
                 data = pa.py_buffer(ids.astype("<u2").tobytes())
                 offsets = pa.py_buffer((2 * ends).astype(np.int32).tobytes())
