@@ -84,8 +84,8 @@ def templates(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.A
 def window_hashes(codes: np.ndarray, size: int) -> np.ndarray:
     """The hash of the ``size`` codes from each place on (not valid near a text's end)."""
     rolled = codes.copy()
-    for j in range(1, size):
-        rolled[: len(codes) - j] = rolled[: len(codes) - j] * _MULTIPLIER + codes[j:]
+    for j in range(1, min(size, len(codes))):
+        rolled[:-j] = rolled[:-j] * _MULTIPLIER + codes[j:]
     return mixed(rolled + np.uint64(size))
 
 

@@ -226,7 +226,7 @@ def predict(texts: pa.Array, model: Model, penalty: float, spans: bool) -> dict[
         begins = np.ones(len(keep), bool)
         begins[1:] = (text_of[1:] != text_of[:-1]) | (labels[1:] != labels[:-1])
         first = np.flatnonzero(begins)
-        last = np.append(first[1:], len(keep)) - 1
+        last = np.append(first[1:], len(keep))[: len(first)] - 1
         inside = keep - offsets[:-1][text_of] if len(keep) else keep
         names_of = names[labels[first]] if count else np.full(len(first), "und", object)
         parts = pa.StructArray.from_arrays(

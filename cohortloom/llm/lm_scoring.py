@@ -118,7 +118,7 @@ def learn_words(counts: DataFrame, texts: int, *, known_words: int, own_class: i
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(np.arange(_FIRST_WORD, dtype=np.int32)),
-                    pa.array(np.bincount(cls, c, _FIRST_WORD)),
+                    pa.array(np.bincount(cls, c, _FIRST_WORD).astype(float)),
                     pa.array(np.bincount(cls, minlength=_FIRST_WORD).astype(float)),
                 ],
                 ["class", "c", "n"],
@@ -164,6 +164,10 @@ def encode(docs: DataFrame, known: Words, training: Column) -> DataFrame:
                 cls = np.where(drawn, spelling_classes(distinct), _FIRST_WORD + place)
                 logs = np.append(log_counts, 0.0)[place]
                 owner = np.repeat(np.arange(n), np.diff(ends))
+
+                def per_row(of_word: np.ndarray, owner=owner, index=index, n=n) -> np.ndarray:
+                    return np.bincount(owner, of_word[index], n).astype(float)
+
                 rare = np.flatnonzero(place[index] < 0)
                 pairs, uses = np.unique(owner[rare] * max(1, len(distinct)) + index[rare], return_counts=True)
                 rare_owner, rare_word = np.divmod(pairs, max(1, len(distinct)))
@@ -182,9 +186,9 @@ def encode(docs: DataFrame, known: Words, training: Column) -> DataFrame:
                     "n_tokens": pa.array(np.diff(bounds)),
                     "classes": pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(closed)),
                     "n_known": pa.array(np.bincount(owner, place[index] >= 0, n).astype(np.int64) + (own.texts > 0)),
-                    "log_counts": pa.array(np.bincount(owner, logs[index], n) + np.log10(own.texts + 1.0)),
-                    "class_loss": pa.array(np.bincount(owner, np.where(drawn, sizes[np.minimum(cls, _FIRST_WORD - 1)], 0.0)[index], n)),
-                    "drawn_log": pa.array(np.bincount(owner, np.where(drawn, logs, 0.0)[index], n)),
+                    "log_counts": pa.array(per_row(logs) + np.log10(own.texts + 1.0)),
+                    "class_loss": pa.array(per_row(np.where(drawn, sizes[np.minimum(cls, _FIRST_WORD - 1)], 0.0))),
+                    "drawn_log": pa.array(per_row(np.where(drawn, logs, 0.0))),
                     "rare": rare_words,
                     "rare_n": rare_uses,
                 }

@@ -44,8 +44,8 @@ def shingle_sets(texts: pa.Array, words_each: int) -> list[np.ndarray]:
     distinct, index = numbered(words)
     h = string_hashes(distinct)[index] if len(index) else np.zeros(0, np.uint64)
     rolled = h.copy()
-    for j in range(1, words_each):
-        rolled[: len(h) - j] = rolled[: len(h) - j] * _MULTIPLIER + h[j:]
+    for j in range(1, min(words_each, len(h))):
+        rolled[:-j] = rolled[:-j] * _MULTIPLIER + h[j:]
     rolled = mixed(rolled)
     sets = []
     for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
