@@ -35,9 +35,10 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def build(tables: Tables, run: Run, out: str, spec: ReportSpec = DEFAULT) -> None:
+def build(tables: Tables, run: Run, out: str, spec: ReportSpec = DEFAULT, **options: bool) -> None:
+    """Store the report; ``options`` are those of ``plans.report.report``."""
     inputs = plan.sized(Inputs(tables, run, spec))
-    replace_report(plan.report(inputs), out, run.sites)
+    replace_report(plan.report(inputs, **options), out, run.sites)
 
 
 def main(argv: Sequence[str] | None = None) -> None:
@@ -54,13 +55,19 @@ def main(argv: Sequence[str] | None = None) -> None:
     args.add_argument("--as-of", required=True, help="the moment the report speaks of, ISO 8601")
     args.add_argument("--sites", help="comma-separated station ids; default: all")
     args.add_argument("--caseless", action="store_true", help="compare text ignoring case")
+    args.add_argument("--latest-only", action="store_true", help="each person's newest event of a kind")
+    args.add_argument("--show-rank", action="store_true", help="with the event's rank")
+    args.add_argument("--person-rank", action="store_true", help="with the rank in the person's report")
+    args.add_argument("--time-zone", default="UTC", help="of stored times that have a zone; default: UTC")
     given = args.parse_args(argv)
 
     sites = tuple(int(s) for s in given.sites.split(",")) if given.sites else None
     spark = configure(SparkSession.builder.appName("cohort-event-report").getOrCreate())
+    spark.conf.set("spark.sql.session.timeZone", given.time_zone)
     places = Tables.places_under(given.tables) | dict(p.split("=", 1) for p in given.place)
     tables = Tables(spark, places, sites=sites, caseless=given.caseless)
-    build(tables, Run.at(dt.datetime.fromisoformat(given.as_of), sites), given.out)
+    options = {k: getattr(given, k) for k in ("latest_only", "show_rank", "person_rank")}
+    build(tables, Run.at(dt.datetime.fromisoformat(given.as_of), sites), given.out, **options)
 
 
 if __name__ == "__main__":

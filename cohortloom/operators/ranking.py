@@ -14,6 +14,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, StringType
 
 from cohortloom.operators.staging import staged
 
@@ -33,10 +34,33 @@ def ties(names: Sequence[str]) -> list[Column]:
     return [F.col(n).asc_nulls_first() for n in names]
 
 
+def _collated(df: DataFrame) -> dict[str, DataType]:
+    """Text columns compared by another rule than their bytes, with their types."""
+    return {
+        f.name: f.dataType
+        for f in df.schema.fields
+        if isinstance(f.dataType, StringType) and f.dataType != StringType()
+    }
+
+
+def _as_written(df: DataFrame) -> list[Column]:
+    """Sort keys that tell spellings apart which compare as equal."""
+    return [F.col(c).cast("string").asc_nulls_first() for c in _collated(df)]
+
+
+def counted_copies(df: DataFrame, columns: Sequence[str], number: Column, name: str) -> DataFrame:
+    """Distinct values of ``columns`` with the ``number`` of their copies. Only rows of the same
+    spelling are copies: values that a collation calls equal are still rows of their own."""
+    collated = {c: kind for c, kind in _collated(df).items() if c in columns}
+    plain = df.withColumns({c: F.col(c).cast("string") for c in collated}) if collated else df
+    counted = plain.groupBy(*columns).agg(number.alias(name))
+    return counted.withColumns({c: F.col(c).cast(t) for c, t in collated.items()}) if collated else counted
+
+
 def plain_row_numbers(
     df: DataFrame, group: Sequence[str], order: Sequence[Column], name: str
 ) -> DataFrame:
-    window = Window.partitionBy(*group).orderBy(*order)
+    window = Window.partitionBy(*group).orderBy(*order, *_as_written(df))
     return df.withColumn(name, F.row_number().over(window).cast("long"))
 
 
@@ -66,12 +90,13 @@ def row_numbers(
         return _within_task(df, group, order, name, copies, deal_out=False)
 
     deal_out = copies is not None and _has_many_copies(df, copies)
-    counted = df.groupBy(*group).count().where(F.col("count") > hot_rows)
+    rows = F.count(F.lit(1)) if copies is None else F.sum(copies)
+    counted = df.groupBy(*group).agg(rows.alias("_rows")).where(F.col("_rows") > hot_rows)
     if counted.isEmpty():
         return _within_task(df, group, order, name, copies, deal_out)
 
-    # At most total / hot_rows groups: a proven bound for the broadcasts below.
-    hot = staged(counted.drop("count"), "hot-groups")
+    # At most total / hot_rows groups, copies counted: a proven bound for the broadcasts below.
+    hot = staged(counted.drop("_rows"), "hot-groups")
     same = _same_group(group)
     cold_rows = df.alias("l").join(F.broadcast(hot).alias("r"), same, "left_anti")
     hot_side = df.alias("l").join(F.broadcast(hot).alias("r"), same, "left_semi")
@@ -91,7 +116,7 @@ def _within_task(
     """Each group in one task."""
     if copies is None:
         return plain_row_numbers(df, group, order, name)
-    before = _rows_before(group, order, copies)
+    before = _rows_before(group, [*order, *_as_written(df)], copies)
     numbered = df.withColumn("_first", before + 1).withColumnRenamed(copies, "_copies")
     return _spread_copies(numbered, name, deal_out).select(*_without(df, copies), name)
 
@@ -130,7 +155,8 @@ def _over_slices(
 
     # Copies have one sort key and could not be cut apart: count them instead.
     number = F.count(F.lit(1)) if copies is None else F.sum(copies)
-    unique = df.groupBy(*columns).agg(number.alias("_copies"))
+    unique = counted_copies(df, columns, number, "_copies")
+    order = [*order, *_as_written(unique)]
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     sliced = unique.repartitionByRange(parts, *keys, *order).withColumn(
         "_slice", F.spark_partition_id()

@@ -75,7 +75,8 @@ def report(
     Plain, it never computes a rank: the rank is not shown and the rows are
     distinct, so the streams are stacked at the thin grain and made distinct
     once, at the end. ``latest_only`` keeps each stream's newest event per
-    person; ``show_rank`` and ``person_rank`` add rank columns.
+    person; ``show_rank`` and ``person_rank`` add rank columns. A person rank counts
+    within a site, so it does not depend on which sites are built together.
     """
     if show_rank or person_rank or latest_only:
         rows = _ranked_rows(inputs, show_rank or person_rank, person_rank, latest_only)
@@ -89,7 +90,7 @@ def report(
     if person_rank:
         order = ranking.ties(["recency", *schemas.REPORT_COLUMNS])
         rows = rows if inputs.run.hot_rows is None else staged(rows, "report-rows")
-        rows = ranking.row_numbers(rows, ["person_name"], order, "person_rank", inputs.run.hot_rows)
+        rows = ranking.row_numbers(rows, ["site", "person_name"], order, "person_rank", inputs.run.hot_rows)
     if not show_rank:
         rows = rows.drop("recency")
     return rows.distinct()

@@ -49,7 +49,7 @@ class Grain:
     def of(self, df: DataFrame, what: str) -> DataFrame:
         """One side, named ``what``, of a fan-out join at this grain."""
         if self.counted:
-            return df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias(f"{what}_copies"))
+            return ranking.counted_copies(df, df.columns, F.count(F.lit(1)), f"{what}_copies")
         return df.distinct() if self.thin else df
 
     def when(self, ts: Column) -> Column:

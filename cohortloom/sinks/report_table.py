@@ -1,4 +1,4 @@
-"""The persisted report: replaced per site, read back whole.
+"""The persisted report, under the names report clients expect: replaced per site, read back whole.
 
 A place is a folder (it contains a slash) or the name of a catalog table.
 """
@@ -10,16 +10,19 @@ from pyspark.sql import functions as F
 
 from cohortloom import schemas
 
+_SITE = schemas.CLIENT_NAMES["site"]
+
 
 def replace_report(rows: DataFrame, place: str, sites: tuple[int, ...] | None = None) -> None:
     """Replace the stored rows of ``sites`` (all if None) by ``rows``. Other
     sites' rows are not touched, and a rerun gives the same stored report."""
-    spark, rows = rows.sparkSession, _storable(rows)
+    spark = rows.sparkSession
+    rows = _storable(rows).withColumnsRenamed(schemas.CLIENT_NAMES)
     if "/" in place:
         _replace_folders(rows, place, sites)
     elif sites is None or not spark.catalog.tableExists(place):
-        kept = rows if sites is None else rows.where(F.col("site").isin(*sites))
-        writer = _packed(kept).write.mode("overwrite").partitionBy("site")
+        kept = rows if sites is None else rows.where(F.col(_SITE).isin(*sites))
+        writer = _packed(kept).write.mode("overwrite").partitionBy(_SITE)
         writer.format("parquet").saveAsTable(place)
     else:
         described = spark.sql(f"DESCRIBE EXTENDED {place}").where("col_name = 'Location'")
@@ -31,8 +34,8 @@ def replace_report(rows: DataFrame, place: str, sites: tuple[int, ...] | None =
 def read_report(spark: SparkSession, place: str) -> DataFrame:
     """All stored rows, unique, in the report's column order."""
     stored = spark.read.parquet(place) if "/" in place else spark.table(place)
-    ours = [c for c in schemas.CLIENT_NAMES if c in stored.columns]
-    return stored.select(*ours).withColumn("site", F.col("site").cast("int")).distinct()
+    ours = [c for c in schemas.CLIENT_NAMES.values() if c in stored.columns]
+    return stored.select(*ours).withColumn(_SITE, F.col(_SITE).cast("int")).distinct()
 
 
 def _storable(rows: DataFrame) -> DataFrame:
@@ -44,27 +47,27 @@ def _storable(rows: DataFrame) -> DataFrame:
 def _packed(rows: DataFrame) -> DataFrame:
     """The rebalance hint lets AQE split a large site over several files and
     pack small ones; sorting within files lets a search by name skip row groups."""
-    return rows.hint("rebalance", "site").sortWithinPartitions(
-        "site", F.col("person_name").asc_nulls_first(), F.col("event_date").desc_nulls_last()
+    return rows.hint("rebalance", _SITE).sortWithinPartitions(
+        _SITE, F.col("PatientName").asc_nulls_first(), F.col("EventDate").desc_nulls_last()
     )
 
 
 def _replace_folders(rows: DataFrame, folder: str, sites: tuple[int, ...] | None) -> None:
     if sites is None:
-        _packed(rows).write.mode("overwrite").partitionBy("site").parquet(folder)
+        _packed(rows).write.mode("overwrite").partitionBy(_SITE).parquet(folder)
         return
 
     seen = Observation()
-    out = _packed(rows.where(F.col("site").isin(*sites))).observe(
-        seen, F.collect_set("site").alias("sites")
+    out = _packed(rows.where(F.col(_SITE).isin(*sites))).observe(
+        seen, F.collect_set(_SITE).alias("sites")
     )
     (
         out.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("site")
+        .partitionBy(_SITE)
         .parquet(folder)
     )
     # A dynamic overwrite leaves the old folder of a site that has no rows now.
-    empty = rows.sparkSession.createDataFrame([], rows.drop("site").schema)
+    empty = rows.sparkSession.createDataFrame([], rows.drop(_SITE).schema)
     for site in sorted(set(sites) - set(seen.get["sites"] or [])):
-        empty.write.mode("overwrite").parquet(f"{folder.rstrip('/')}/site={site}")
+        empty.write.mode("overwrite").parquet(f"{folder.rstrip('/')}/{_SITE}={site}")

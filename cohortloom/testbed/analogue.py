@@ -126,7 +126,7 @@ class Analogue:
 
     def specimen_lines(self) -> DataFrame:
         part = self.raw("part").withColumn("l_partkey", F.col("p_partkey"))
-        return self.lines().where("l_returnflag != 'A'").join(part, "l_partkey")
+        return self.lines().join(part, "l_partkey")
 
     def events(self) -> DataFrame:
         kind = """CASE event_type WHEN 'click' THEN 1 WHEN 'error' THEN 2 WHEN 'purchase' THEN 3
@@ -164,10 +164,11 @@ class Analogue:
                 "l_partkey AS CPTSID",
                 "nullif(l_returnflag, 'N') AS Comments",
             ),
-            "v_diagnosis": lambda: self.lines()
-            .where("l_returnflag = 'A'")
-            .selectExpr(
-                *who, "l_orderkey AS VisitSID", "l_suppkey AS ICD10SID", "l_linenumber AS ICD9SID"
+            "v_diagnosis": lambda: self.lines().selectExpr(
+                *who,
+                unmet("l_returnflag = 'A'", "l_orderkey", "VisitSID"),
+                "l_suppkey AS ICD10SID",
+                "l_linenumber AS ICD9SID",
             ),
             "radiology_exam": lambda: self.lines().selectExpr(
                 "Sta3n",
@@ -198,16 +199,17 @@ class Analogue:
                 taken,
                 "o_orderdate + INTERVAL 2 DAYS AS DateTimeSpecimenReceived",
             ),
-            "cyto_organ_morphology": lambda: self.lines()
-            .where("l_returnflag = 'R'")
-            .selectExpr(*cyto_case, "l_linenumber AS MorphologyFieldIEN"),
+            "cyto_organ_morphology": lambda: self.lines().selectExpr(
+                unmet("l_returnflag = 'R'", "o_orderkey", "CytopathologyIEN"),
+                *cyto_case[1:],
+                "l_linenumber AS MorphologyFieldIEN",
+            ),
             "morphology": lambda: self.per_site(
                 self.inline(MORPHOLOGIES, "MorphologyIEN, Morphology, SnomedCode")
             ),
-            "cyto_specimen": lambda: self.lines()
-            .where("l_linestatus = 'O'")
-            .selectExpr(
-                *cyto_case,
+            "cyto_specimen": lambda: self.lines().selectExpr(
+                unmet("l_linestatus = 'O'", "o_orderkey", "CytopathologyIEN"),
+                *cyto_case[1:],
                 """CASE l_returnflag WHEN 'A' THEN 'ASPIRATE' WHEN 'R' THEN 'SMEAR' END
                    AS CollectionSample""",
                 "l_partkey AS TopographyFieldIEN",
@@ -226,12 +228,13 @@ class Analogue:
                 "o_orderdate + INTERVAL 1 DAYS AS DateTimeSpecimenReceived",
             ),
             "surg_specimen": lambda: self.specimen_lines().selectExpr(
-                *surg_case, "p_name AS Specimen"
+                unmet("l_returnflag != 'A'", "o_orderkey", "SurgicalPathologyIEN"),
+                *surg_case[1:],
+                "p_name AS Specimen",
             ),
-            "surg_morphology": lambda: self.lines()
-            .where("l_linestatus = 'F'")
-            .selectExpr(
-                *surg_case,
+            "surg_morphology": lambda: self.lines().selectExpr(
+                unmet("l_linestatus = 'F'", "o_orderkey", "SurgicalPathologyIEN"),
+                *surg_case[1:],
                 "l_suppkey AS MorphologyFieldIEN",
                 "'FIELD ' || l_linenumber AS MorphologyField",
             ),
@@ -251,7 +254,7 @@ class Analogue:
             "patient": lambda: self.persons().selectExpr(
                 *who,
                 """CASE WHEN c_acctbal > 9500 THEN NULL WHEN c_acctbal > 9000 THEN 'ZZ' || c_name
-                        ELSE c_name END AS PatientName""",
+                        ELSE 'Person ' || (c_custkey div 10) END AS PatientName""",  # shared also across sites
                 "c_mktsegment || '-' || c_custkey AS PatientSSN",
                 "30 + CAST(floor(c_acctbal / 200) AS INT) AS Age",
                 """CASE WHEN c_mktsegment IN ('AUTOMOBILE', 'MACHINERY') THEN 'M' ELSE 'F' END
@@ -275,5 +278,11 @@ class Analogue:
         return Tables(self._spark, places, **more)
 
 
+def unmet(condition: str, key: str, name: str) -> str:
+    """``key``, or where the condition fails a key that nothing else has: every row
+    takes part, and some find no match."""
+    return f"CASE WHEN {condition} THEN {key} ELSE -1 - {key} END AS {name}"
+
+
 def run(**more) -> Run:
     return Run.at(AS_OF, **more)

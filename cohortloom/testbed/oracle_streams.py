@@ -43,8 +43,9 @@ SOURCES: dict[str, str] = {
                nullif(l_returnflag, 'N') AS comments, p_name, p_type
         FROM lines JOIN part ON l_partkey = p_partkey""",
     "diagnoses": """
-        SELECT site, o_custkey AS person_id, l_orderkey AS visit, l_suppkey AS icd10, l_linenumber AS icd9
-        FROM lines WHERE l_returnflag = 'A'""",
+        SELECT site, o_custkey AS person_id, l_suppkey AS icd10, l_linenumber AS icd9,
+               CASE WHEN l_returnflag = 'A' THEN l_orderkey ELSE -1 - l_orderkey END AS visit
+        FROM lines""",
     "exams": """
         SELECT l.site, l.l_orderkey AS visit, c.result
         FROM lines l JOIN visits v ON v.o_orderkey = l.l_orderkey AND v.site = l.site
@@ -120,12 +121,14 @@ SOURCES: dict[str, str] = {
                s.sample AS rank_key, s.p_name AS topography,
                CASE WHEN v.o_orderstatus <> 'P' THEN v.o_orderdate END AS rank_ts
         FROM visits v
-        LEFT JOIN (SELECT l_orderkey, site, l_linenumber FROM lines WHERE l_returnflag = 'R') b
+        LEFT JOIN (SELECT CASE WHEN l_returnflag = 'R' THEN l_orderkey ELSE -1 - l_orderkey END AS l_orderkey,
+                          site, l_linenumber FROM lines) b
                ON b.l_orderkey = v.o_orderkey AND b.site = v.site
         LEFT JOIN morphs m ON m.id = b.l_linenumber AND m.site = b.site
-        JOIN (SELECT l_orderkey, site, p_name, p_brand,
+        JOIN (SELECT CASE WHEN l_linestatus = 'O' THEN l_orderkey ELSE -1 - l_orderkey END AS l_orderkey,
+                     site, p_name, p_brand,
                      CASE l_returnflag WHEN 'A' THEN 'ASPIRATE' WHEN 'R' THEN 'SMEAR' END AS sample
-              FROM lines JOIN part ON p_partkey = l_partkey WHERE l_linestatus = 'O') s
+              FROM lines JOIN part ON p_partkey = l_partkey) s
                ON s.l_orderkey = v.o_orderkey AND s.site = v.site""",
     "breast_cyto_rows": "SELECT * EXCLUDE (topography) FROM cyto WHERE topography LIKE '%ring%'",
     "cervical_cyto_rows": """
@@ -141,11 +144,11 @@ SOURCES: dict[str, str] = {
                NULL::VARCHAR AS code2, NULL::VARCHAR AS flag, s.p_name AS rank_key,
                CASE WHEN v.o_orderstatus <> 'P' THEN v.o_orderdate END AS rank_ts
         FROM visits v
-        LEFT JOIN (SELECT l_orderkey, site, p_name FROM lines JOIN part ON p_partkey = l_partkey
-                   WHERE l_returnflag <> 'A') s
+        LEFT JOIN (SELECT CASE WHEN l_returnflag <> 'A' THEN l_orderkey ELSE -1 - l_orderkey END AS l_orderkey,
+                          site, p_name FROM lines JOIN part ON p_partkey = l_partkey) s
                ON s.l_orderkey = v.o_orderkey AND s.site = v.site
-        LEFT JOIN (SELECT l_orderkey, site, l_suppkey, 'FIELD ' || l_linenumber AS field
-                   FROM lines WHERE l_linestatus = 'F') m
+        LEFT JOIN (SELECT CASE WHEN l_linestatus = 'F' THEN l_orderkey ELSE -1 - l_orderkey END AS l_orderkey,
+                          site, l_suppkey, 'FIELD ' || l_linenumber AS field FROM lines) m
                ON m.l_orderkey = v.o_orderkey AND m.site = v.site
         LEFT JOIN suppliers f ON f.s_suppkey = m.l_suppkey AND f.site = m.site""",
     "breast_surg_rows": """
@@ -193,7 +196,7 @@ SOURCES |= {
                CAST(e.event_ts AS DATE) AS event_date, e.label, e.detail, e.code1, e.code2, e.flag,
                e.recency
         FROM all_events e
-        JOIN (SELECT *, CASE WHEN c_acctbal <= 9000 THEN c_name
+        JOIN (SELECT *, CASE WHEN c_acctbal <= 9000 THEN 'Person ' || (c_custkey // 10)
                              WHEN c_acctbal <= 9500 THEN 'ZZ' || c_name END AS name
               FROM persons) p ON p.c_custkey = e.person_id AND p.site = e.site
         JOIN visits o ON o.o_custkey = p.c_custkey AND o.site = p.site
@@ -229,6 +232,9 @@ def _both(stream: str) -> str:
 _REPORT = (
     "site, person_name, person_national_id, age_at_event, event_date, label, detail, code1, code2, flag"
 )
+_STORED = """site AS Sta3n, person_name AS PatientName, person_national_id AS PatientSSN,
+    age_at_event AS AgeAtEvent, event_date AS EventDate, label AS ProcedureName, detail AS Diagnosis,
+    code1 AS Code1, code2 AS Code2, flag AS Abnormal"""
 _ORDER = ", ".join(
     f"{c} ASC NULLS FIRST" for c in ["recency", *_REPORT.split(", ")]
 )
@@ -248,9 +254,12 @@ STREAMS: dict[str, str] = {
         ORDER BY person_name ASC NULLS FIRST, event_date DESC NULLS LAST""",
     "report_latest_only": f"SELECT DISTINCT {_REPORT} FROM report_rows WHERE recency = 1",
     "report_with_ranks": f"""SELECT DISTINCT {_REPORT}, recency,
-        row_number() OVER (PARTITION BY person_name ORDER BY {_ORDER}) AS person_rank
+        row_number() OVER (PARTITION BY site, person_name ORDER BY {_ORDER}) AS person_rank
         FROM report_rows""",
-    "sink_replace_read": f"SELECT DISTINCT {_REPORT} FROM report_rows",
+    "report_nightly": f"SELECT DISTINCT {_REPORT} FROM report_rows",
+    "report_one_site": f"SELECT DISTINCT {_REPORT} FROM report_rows WHERE site = 2",
+    "sink_replace_read": f"SELECT DISTINCT {_STORED} FROM report_rows",
+    "sink_replace_site": f"SELECT DISTINCT {_STORED} FROM report_rows",
 }
 
 

@@ -6,6 +6,7 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from cohortloom.jobs.nightly import configure
 from cohortloom.operators.staging import shared_folder
@@ -17,11 +18,14 @@ from cohortloom.testbed import analogue
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def inputs(spark: SparkSession, sf_dir: str, *names: str) -> streams.Inputs:
-    """The analogue as builder inputs, restricted to some sections if named."""
+def inputs(
+    spark: SparkSession, sf_dir: str, *names: str, sites: tuple[int, ...] | None = None
+) -> streams.Inputs:
+    """The analogue as builder inputs, restricted to some sections or sites if named."""
     configure(spark)
     spec = analogue.SPEC.only(*names) if names else analogue.SPEC
-    return streams.Inputs(analogue.Analogue(spark, sf_dir).tables(), analogue.run(), spec)
+    tables = analogue.Analogue(spark, sf_dir).tables(sites=sites)
+    return streams.Inputs(tables, analogue.run(sites=sites), spec)
 
 
 def _stream(name: str, *only: str) -> Query:
@@ -42,8 +46,27 @@ def replace_and_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_report(spark, folder)
 
 
+def nightly(spark: SparkSession, sf_dir: str, sites: tuple[int, ...] | None = None) -> DataFrame:
+    """The report as the job builds it: with measured join sides."""
+    return plan.report(plan.sized(inputs(spark, sf_dir, sites=sites)))
+
+
+def replace_site_and_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Site 2 is stored with old labels and built again; the rows of other sites that the
+    second build brings along are not to be stored."""
+    folder = f"{shared_folder(spark).rstrip('/')}/report-{uuid.uuid4().hex}"
+    rows, own = report(spark, sf_dir), F.col("site") == 2
+    changed = F.concat(F.lit("OLD "), "label")
+    replace_report(rows.withColumn("label", F.when(own, changed).otherwise(F.col("label"))), folder)
+    replace_report(rows.withColumn("label", F.when(own, F.col("label")).otherwise(changed)), folder, (2,))
+    return read_report(spark, folder)
+
+
 def queries() -> dict[str, Query]:
     return {
+        "report_nightly": nightly,
+        "report_one_site": lambda s, d: nightly(s, d, (2,)),
+        "sink_replace_site": replace_site_and_read,
         "stream_radiology": _stream("procedures", "breast"),
         "stream_procedure": _stream("procedures", "cervical"),
         "stream_observation": _stream("observations"),

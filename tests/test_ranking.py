@@ -87,3 +87,11 @@ def test_first_rows_are_limited_before_the_shuffle(spark):
     first = ranking.first_rows(df, ["person"], [ranking.newest_first("ts"), *ranking.ties(["text"])], "n")
     assert "WindowGroupLimit" in first._jdf.queryExecution().executedPlan().toString()
     assert {r.n for r in first.collect()} == {1}
+
+
+def test_copies_of_a_hot_group_are_dealt_to_many_tasks(spark):
+    df = spark.range(400).selectExpr("1 AS person", "id AS ts", "900L AS n_copies")
+    got = ranking.row_numbers(df, ["person"], ranking.ties(["ts"]), "n", hot_rows=1000, copies="n_copies")
+    per_task = [r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(per_task) == 360_000 and max(per_task) < 200_000
+    assert got.agg(F.min("n"), F.max("n"), F.count_distinct("n")).first() == (1, 360_000, 360_000)

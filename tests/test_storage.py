@@ -57,7 +57,8 @@ def test_read_back_has_the_report_schema(spark, tmp_path):
     report = plan.report(two_sites().inputs(spark, sites=None))
     replace_report(report, folder)
     back = read_report(spark, folder)
-    assert back.columns == schemas.REPORT_COLUMNS
+    report = plan.client_names(report)
+    assert back.columns == report.columns == [schemas.CLIENT_NAMES[c] for c in schemas.REPORT_COLUMNS]
     assert [f.dataType for f in back.schema] == [f.dataType for f in report.schema]
     assert back.exceptAll(report).isEmpty() and report.exceptAll(back).isEmpty()
 
@@ -104,11 +105,21 @@ def test_caseless_ranks(spark, hot_rows):
         assert [r.recency for r in rows] == [1, 2, 3]
 
 
+@pytest.mark.parametrize("hot_rows", [None, 100, 1])
+def test_spellings_are_rows_of_their_own(spark, hot_rows):
+    clinic = Clinic().person()
+    for value in ("POS", "pos", "POS"):
+        clinic.lab("HPV", value, "2023-05-01 08:00:00")
+    given = clinic.inputs(spark, caseless=True, hot_rows=hot_rows)
+    rows = streams.ranked(given, "labs").collect()
+    assert sorted((r.detail, r.recency) for r in rows) == [("POS", 1), ("POS", 2), ("pos", 3)]
+
+
 def test_caseless_report_is_stored_as_plain_text(spark, tmp_path):
     folder = str(tmp_path / "report")
     clinic = Clinic().person().factor("x", "wh mammogram")
     replace_report(plan.report(clinic.inputs(spark, caseless=True)), folder, (612,))
-    assert dict(read_report(spark, folder).dtypes)["label"] == "string"
+    assert dict(read_report(spark, folder).dtypes)["ProcedureName"] == "string"
 
 
 def test_staging_uses_the_named_folder(spark):
