@@ -319,7 +319,7 @@ def join_left_chain_partial(spark, d):
 
 @entry(
     statement(
-        """SELECT DISTINCT p.site, p.c_custkey AS person_id, p.c_name AS person_name,
+        """SELECT DISTINCT p.site, p.c_custkey AS person_id, 'Person ' || (c_custkey // 10) AS person_name,
                   CAST(30 + floor(p.c_acctbal / 200) AS INTEGER) AS age
            FROM persons p
            JOIN visits o ON o.o_custkey = p.c_custkey AND o.site = p.site
@@ -473,6 +473,35 @@ def recency_rank(spark, d):
     return ranking.row_numbers(rows, ["o_custkey"], order)
 
 
+@entry(
+    """SELECT event_type, day, row_number() OVER (PARTITION BY event_type ORDER BY day DESC) AS recency
+       FROM (SELECT event_type, CAST(ts AS DATE) AS day FROM events)"""
+)
+def recency_rank_hot(spark, d):
+    """Five groups, each large enough to be cut into slices, with counted copies."""
+    rows = _raw(spark, d, "events").select("event_type", F.col("ts").cast("date").alias("day"))
+    counted = ranking.counted_copies(rows, rows.columns, F.count(F.lit(1)), "copies")
+    order = [ranking.newest_first("day")]
+    return ranking.row_numbers(counted, ["event_type"], order, hot_rows=100, copies="copies")
+
+
+@entry(
+    """SELECT text, day, row_number() OVER (PARTITION BY lower(text) ORDER BY day DESC, text) AS recency
+       FROM (SELECT CASE WHEN event_id % 2 = 0 THEN upper(event_type) ELSE event_type END AS text,
+                    CAST(ts AS DATE) AS day FROM events)"""
+)
+def rank_caseless(spark, d):
+    """Groups that ignore case, in two spellings; each spelling keeps its rows."""
+    text = F.expr("CASE WHEN event_id % 2 = 0 THEN upper(event_type) ELSE event_type END")
+    rows = _raw(spark, d, "events").select(
+        text.cast("string collate UTF8_LCASE").alias("text"), F.col("ts").cast("date").alias("day")
+    )
+    counted = ranking.counted_copies(rows, rows.columns, F.count(F.lit(1)), "copies")
+    order = [ranking.newest_first("day")]
+    numbered = ranking.row_numbers(counted, ["text"], order, hot_rows=100, copies="copies")
+    return numbered.withColumn("text", F.col("text").cast("string"))
+
+
 _LINE_TIES = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate"]
 
 
@@ -573,7 +602,7 @@ def _entities(spark, d) -> list[DataFrame]:
         _raw(spark, d, "orders").select("o_custkey", "o_orderpriority"),
         _raw(spark, d, "events").select("user_id", "event_type"),
         _raw(spark, d, "lineitem").select("l_suppkey", "l_returnflag"),
-        _raw(spark, d, "supplier").select(F.col("s_nationkey").cast("long"), F.lit("MACHINERY")),
+        _raw(spark, d, "supplier").select(F.col("s_nationkey").cast("long"), F.lit("SUPPLIER")),
     ]
 
 
@@ -582,7 +611,7 @@ _CUSTOMER = """SELECT CAST(c_nationkey AS BIGINT) AS id, nullif(c_mktsegment, 'B
 _FOUR = f"""{_CUSTOMER} UNION SELECT o_custkey, o_orderpriority FROM orders
             UNION SELECT user_id, event_type FROM events
             UNION SELECT l_suppkey, l_returnflag FROM lineitem"""
-_FIVE = f"{_FOUR} UNION SELECT CAST(s_nationkey AS BIGINT), 'MACHINERY' FROM supplier"
+_FIVE = f"{_FOUR} UNION SELECT CAST(s_nationkey AS BIGINT), 'SUPPLIER' FROM supplier"
 
 
 @entry(_FOUR)
