@@ -31,6 +31,11 @@ def first_known(first: Column, second: Column, type_of_first: str) -> Column:
     return F.coalesce(first, second.cast(type_of_first)).cast(type_of_first)
 
 
+def day(ts: Column) -> Column:
+    """The date of a time."""
+    return ts.cast("date")
+
+
 def moment(as_of: dt.datetime) -> Column:
     return F.lit(as_of.isoformat(sep=" ")).cast("timestamp_ntz")
 

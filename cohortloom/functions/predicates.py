@@ -20,6 +20,21 @@ def like_any(text: Column, patterns: Sequence[str]) -> Column:
     return any_of([text.like(p) for p in patterns])
 
 
+def unlike(text: Column, *patterns: str) -> Column:
+    """Text like none of the patterns; a null text is not kept."""
+    return reduce(lambda a, b: a & b, [~text.like(p) for p in patterns])
+
+
+def other_than(value: Column, left_out: str) -> Column:
+    """Known values but one."""
+    return value != left_out
+
+
+def without_reason(reason: Column) -> Column:
+    """Ids of 0 and less stand for no reason; an unknown one is not kept."""
+    return reason <= 0
+
+
 def in_text_set(text: Column, chosen: TextSet) -> Column:
     parts = [text.isin(*chosen.exact)] if chosen.exact else []
     return any_of(parts + [text.like(p) for p in chosen.patterns])

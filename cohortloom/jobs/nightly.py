@@ -13,6 +13,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import SparkSession
 
+from cohortloom.operators.staging import run_folder
 from cohortloom.plans import report as plan
 from cohortloom.plans.streams import Inputs
 from cohortloom.sinks.report_table import replace_report
@@ -37,8 +38,9 @@ def configure(spark: SparkSession) -> SparkSession:
 
 def build(tables: Tables, run: Run, out: str, spec: ReportSpec = DEFAULT, **options: bool) -> None:
     """Store the report; ``options`` are those of ``plans.report.report``."""
-    inputs = plan.sized(Inputs(tables, run, spec))
-    replace_report(plan.report(inputs, **options), out, run.sites)
+    with run_folder(SparkSession.active()):  # staged names and ids do not outlive the job
+        inputs = plan.sized(Inputs(tables, run, spec))
+        replace_report(plan.report(inputs, **options), out, run.sites)
 
 
 def main(argv: Sequence[str] | None = None) -> None:

@@ -89,14 +89,16 @@ def row_numbers(
     if hot_rows is None:
         return _within_task(df, group, order, name, copies, deal_out=False)
 
-    deal_out = copies is not None and _has_many_copies(df, copies)
-    rows = F.count(F.lit(1)) if copies is None else F.sum(copies)
-    counted = df.groupBy(*group).agg(rows.alias("_rows")).where(F.col("_rows") > hot_rows)
-    if counted.isEmpty():
+    # One job says whether a group is hot and whether copies have to be dealt out.
+    number = F.lit(1) if copies is None else F.col(copies)
+    counted = df.groupBy(*group).agg(F.sum(number).alias("_rows"), F.max(number).alias("_most"))
+    largest = counted.agg(F.max("_rows").alias("rows"), F.max("_most").alias("most")).first()
+    deal_out = (largest["most"] or 0) > _COPIES_PER_TASK_ROW
+    if (largest["rows"] or 0) <= hot_rows:
         return _within_task(df, group, order, name, copies, deal_out)
 
     # At most total / hot_rows groups, copies counted: a proven bound for the broadcasts below.
-    hot = staged(counted.drop("_rows"), "hot-groups")
+    hot = staged(counted.where(F.col("_rows") > hot_rows).select(*group), "hot-groups")
     same = _same_group(group)
     cold_rows = df.alias("l").join(F.broadcast(hot).alias("r"), same, "left_anti")
     hot_side = df.alias("l").join(F.broadcast(hot).alias("r"), same, "left_semi")

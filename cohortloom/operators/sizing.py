@@ -11,6 +11,7 @@ from pyspark.sql.types import StringType
 
 MAX_ROWS = 2_000_000
 MAX_BYTES = 256 * 1024 * 1024
+MAX_TOTAL_BYTES = 512 * 1024 * 1024
 
 
 def measured(frames: Mapping[str, DataFrame]) -> dict[str, tuple[int, int]]:
@@ -40,12 +41,17 @@ def measured(frames: Mapping[str, DataFrame]) -> dict[str, tuple[int, int]]:
 
 
 def broadcastable(
-    frames: Mapping[str, DataFrame], max_rows: int = MAX_ROWS, max_bytes: int = MAX_BYTES
+    frames: Mapping[str, DataFrame],
+    max_rows: int = MAX_ROWS,
+    max_bytes: int = MAX_BYTES,
+    max_total: int = MAX_TOTAL_BYTES,
 ) -> frozenset[str]:
-    """Names of the frames whose measured size is within both bounds. The
-    others get no hint and join by shuffle, with AQE splitting skew."""
-    return frozenset(
-        name
-        for name, (rows, size) in measured(frames).items()
-        if rows <= max_rows and size <= max_bytes
-    )
+    """Names of the frames whose measured size is within both bounds, the smallest first as
+    long as all of them together, which the driver and each executor hold, stay within
+    ``max_total``. The others get no hint and join by shuffle, with AQE splitting skew."""
+    chosen, total = set(), 0
+    for name, (rows, size) in sorted(measured(frames).items(), key=lambda m: (m[1][1], m[0])):
+        if rows <= max_rows and size <= max_bytes and total + size <= max_total:
+            chosen.add(name)
+            total += size
+    return frozenset(chosen)

@@ -4,9 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+_RUN_FOLDER = "cohortloom.run.folder"
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``.
@@ -28,6 +32,22 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once and read it back, so later passes and lost executors
     start from the files and not from the sources."""
     spark = df.sparkSession
-    path = f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    folder = spark.conf.get(_RUN_FOLDER, None) or shared_folder(spark)
+    path = f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def run_folder(spark: SparkSession) -> Iterator[str]:
+    """Everything staged meanwhile lies below one folder of its own, which is removed at the
+    end, also after a failure. Results must be stored elsewhere by then."""
+    path = f"{shared_folder(spark).rstrip('/')}/run-{uuid.uuid4().hex}"
+    spark.conf.set(_RUN_FOLDER, path)
+    try:
+        yield path
+    finally:
+        spark.conf.unset(_RUN_FOLDER)
+        context = spark.sparkContext
+        folder = context._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from cohortloom import schemas
 from cohortloom.functions import expressions as x
+from cohortloom.functions import predicates as p
 from cohortloom.operators import ranking, sizing
 from cohortloom.operators.joins import salted_join
 from cohortloom.operators.staging import staged
@@ -39,9 +40,9 @@ def eligible_persons(inputs: streams.Inputs, repeats: bool = False) -> DataFrame
     spec = inputs.spec
     persons = inputs.tables["patient"].where(
         F.col("PatientName").isNotNull()
-        & ~F.col("PatientName").like(spec.test_person_pattern)
+        & p.unlike(F.col("PatientName"), spec.test_person_pattern)
         & (F.col("Gender") == spec.gender)
-        & (F.col("DeceasedFlag") != spec.deceased_flag)
+        & p.other_than(F.col("DeceasedFlag"), spec.deceased_flag)
     )
     keys = ["Sta3n", "PatientSID"]
     rows = enrolled(inputs)
@@ -79,6 +80,8 @@ def report(
     within a site, so it does not depend on which sites are built together.
     """
     if show_rank or person_rank or latest_only:
+        if inputs.eligible is None:  # every stream and the names read them
+            inputs = replace(inputs, eligible=staged(eligible_persons(inputs), "eligible-persons"))
         rows = _ranked_rows(inputs, show_rank or person_rank, person_rank, latest_only)
     else:
         day = replace(inputs, grain=streams.REPORT, persons=_eligible(inputs))
@@ -114,6 +117,8 @@ def _ranked_rows(
     events = events if numbered else events.drop("recency")
     persons = eligible_persons(inputs, repeats=True) if repeats else _eligible(inputs)
     persons = persons.withColumnsRenamed({"Sta3n": "site", "PatientSID": "person_id"})
+    if "eligible" in inputs.run.broadcast and not repeats:
+        return events.join(F.broadcast(persons), ["site", "person_id"])
     return salted_join(
         events, persons, ["site", "person_id"], inputs.run.person_salts, ["event_ts", *_SHOWN]
     )
@@ -122,8 +127,8 @@ def _ranked_rows(
 def _shown(inputs: streams.Inputs, rows: DataFrame, extra: list[str]) -> DataFrame:
     """Report columns of the rows whose label may be shown."""
     return (
-        rows.where(~F.col("label").like(inputs.spec.dropped_label_pattern))
-        .withColumn("event_date", F.col("event_ts").cast("date"))
+        rows.where(p.unlike(F.col("label"), inputs.spec.dropped_label_pattern))
+        .withColumn("event_date", x.day(F.col("event_ts")))
         .withColumn("age_at_event", x.age_at(F.col("age"), F.col("event_date"), inputs.run.as_of))
         .select(*schemas.REPORT_COLUMNS, *extra)
     )
@@ -150,18 +155,17 @@ def sized(inputs: streams.Inputs) -> streams.Inputs:
     eligible persons, which every stream joins, from a staged copy. Sides within
     the broadcast bounds are marked; a single station's persons usually are.
 
-    For a build of named sites the visits with a selected procedure are staged
-    and measured too. If they are few, diagnoses and exams of other visits, most
-    of both tables, are dropped before they are shuffled."""
+    The selected procedures and specimens are staged too. Diagnoses, exams and
+    morphologies that meet none of them, most of these tables, are dropped first:
+    before any shuffle where the visits or cases are few, else by a semi-join."""
     held = {n: inputs.tables[n] for n in schemas.DIMENSIONS if n in inputs.tables}
     inputs = _marked(inputs, sizing.broadcastable(held))
     inputs = replace(inputs, eligible=staged(eligible_persons(inputs), "eligible-persons"))
+    inputs = streams.with_selections(inputs)
     found = {"eligible": inputs.eligible}
-    if inputs.run.sites is not None and "procedures" in streams.present(inputs.spec):
-        found["visits"] = staged(streams.selected_visits(inputs), "selected-visits")
-    small = sizing.broadcastable(found)
-    visits = found["visits"] if "visits" in small else None
-    return replace(_marked(inputs, small), visits=visits)
+    for stream, rows in inputs.selected.items():
+        found[f"{stream}_keys"] = rows.select(*streams.SELECTIONS[stream][1]).distinct()
+    return _marked(inputs, sizing.broadcastable(found))
 
 
 def _marked(inputs: streams.Inputs, small: frozenset[str]) -> streams.Inputs:

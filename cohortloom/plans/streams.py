@@ -19,8 +19,8 @@ fan-out joins, on the few rows a code set selected, not on their products.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
-from dataclasses import dataclass, replace
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass, field, replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -37,6 +37,8 @@ from cohortloom.spec import ReportSpec, Run, Section
 
 _PERSON = ["Sta3n", "PatientSID"]
 _VISIT = ["Sta3n", "VisitSID"]
+_CYTOLOGY_CASE = ["Sta3n", "CytopathologyIEN", "LabDataIEN"]
+_SURGICAL_CASE = ["Sta3n", "SurgicalPathologyIEN", "LabDataIEN"]
 _VALUES = ["event_ts", "label", "detail", "code1", "code2", "flag"]
 
 
@@ -53,7 +55,7 @@ class Grain:
         return df.distinct() if self.thin else df
 
     def when(self, ts: Column) -> Column:
-        return ts.cast("date") if self.by_day else ts
+        return x.day(ts) if self.by_day else ts
 
 
 FULL = Grain()
@@ -70,7 +72,7 @@ class Inputs:
     grain: Grain = FULL
     persons: DataFrame | None = None  # Sta3n, PatientSID and columns events then carry
     eligible: DataFrame | None = None  # the report's persons, if already computed
-    visits: DataFrame | None = None  # visits with a selected procedure, if few
+    selected: Mapping[str, DataFrame] = field(default_factory=dict)  # staged rows, see SELECTIONS
 
     @property
     def carried(self) -> list[str]:
@@ -90,14 +92,27 @@ class Inputs:
         where the dimension was measured small, else left to Catalyst and AQE."""
         return F.broadcast(df) if name in self.run.broadcast else df
 
+    def selection(self, stream: str, sections: Sequence[Section]) -> DataFrame:
+        """What the code sets of ``sections`` select for ``stream``, as staged if it is."""
+        if stream not in self.selected:
+            return SELECTIONS[stream][0](self, sections)
+        return self.selected[stream].where(F.col("section").isin([s.name for s in sections]))
+
+    def met(self, df: DataFrame, stream: str) -> DataFrame:
+        """``df`` without rows that no selected row of ``stream`` can meet, where those are known
+        ahead of the joins. Broadcast where the keys were measured small; else ``df``
+        is shuffled for it once, and only what is left is shuffled again."""
+        if stream not in self.selected:
+            return df
+        keys = SELECTIONS[stream][1]
+        wanted = self.selected[stream].select(*keys).distinct()
+        return df.join(self.lookup(f"{stream}_keys", wanted), keys, "left_semi")
+
     def of_visits(self, df: DataFrame) -> DataFrame:
-        """``df`` without visits no selected procedure can meet, where that is
-        known ahead of the joins; saves shuffling them."""
+        """``df`` of visits with a selected procedure, where those are known."""
         if self.spec.switches.drop_missing_ids:
             df = df.where(F.col("VisitSID") > 0)
-        if self.visits is None:
-            return df
-        return df.join(F.broadcast(self.visits), _VISIT, "left_semi")
+        return self.met(df, "procedures")
 
     def recent(self, df: DataFrame, ts: Column) -> DataFrame:
         """The look-back on a stored time, where it applies to all streams."""
@@ -183,7 +198,7 @@ def exam_results(inputs: Inputs) -> DataFrame:
     codes = inputs.lookup("radiology_diagnostic_code", t["radiology_diagnostic_code"])
     exams = (
         inputs.of_visits(t["radiology_exam"])
-        .where(F.col("RadiologyHoldCancelReasonSID") <= 0)
+        .where(p.without_reason(F.col("RadiologyHoldCancelReasonSID")))
         .join(registered, ["RadiologyRegisteredExamSID", "Sta3n"])
         .join(codes, ["RadiologyDiagnosticCodeSID", "Sta3n"])
         .select("Sta3n", "VisitSID", F.col("RadiologyDiagnosticCode").alias("result"))
@@ -200,8 +215,8 @@ def diagnoses(inputs: Inputs) -> DataFrame:
     return inputs.grain.of(inputs.of_visits(ids), "diagnosis")
 
 
-def selected_procedures(inputs: Inputs, sections: Sequence[Section]) -> DataFrame:
-    """Procedures in a section's code set, one row per section."""
+def coded_procedures(inputs: Inputs, sections: Sequence[Section]) -> DataFrame:
+    """Procedures in a section's code set, one row per section, with times as stored."""
     codes = classified(
         inputs.tables["cpt"],
         sections,
@@ -209,7 +224,7 @@ def selected_procedures(inputs: Inputs, sections: Sequence[Section]) -> DataFram
         label=lambda s: x.labelled("CPT ", F.col("CPTName")),
         needs_exam=lambda s: F.lit(s.needs_exam),
     ).select("CPTSID", "Sta3n", "section", "label", "needs_exam")
-    rows = (
+    return (
         inputs.recent(inputs.tables["v_procedure"], F.col("VisitDateTime"))
         .join(inputs.lookup("cpt", codes), ["CPTSID", "Sta3n"])
         .select(
@@ -218,29 +233,38 @@ def selected_procedures(inputs: Inputs, sections: Sequence[Section]) -> DataFram
             "Sta3n",
             "PatientSID",
             "VisitSID",
-            inputs.grain.when(F.col("VisitDateTime")).alias("event_ts"),
+            F.col("VisitDateTime").alias("event_ts"),
             "label",
             # With an exam the result text is shown; comments would only keep
             # otherwise equal rows apart.
             F.when(~F.col("needs_exam"), F.col("Comments")).alias("comments"),
         )
     )
+
+
+def selected_procedures(inputs: Inputs, sections: Sequence[Section]) -> DataFrame:
+    """The coded procedures of the wanted persons."""
+    rows = inputs.selection("procedures", sections)
+    rows = rows.withColumn("event_ts", inputs.grain.when(F.col("event_ts")))
     rows = inputs.of_persons(rows, "VisitSID", "event_ts", "label", "comments")
     return inputs.grain.of(rows, "procedure")
 
 
-def selected_visits(inputs: Inputs) -> DataFrame:
-    """Visits with a procedure of any section."""
-    sections = [s for s in inputs.spec.sections if s.procedures]
-    return selected_procedures(inputs, sections).select(*_VISIT).distinct()
+def described(inputs: Inputs, rows: DataFrame) -> DataFrame:
+    """``rows`` of diagnosis ids with the descriptions, where there are any, as code1 and code2."""
+    icd10 = inputs.tables["icd10_description"].select("Sta3n", "ICD10SID", "ICD10Description")
+    icd9 = inputs.tables["icd9_description"].select("Sta3n", "ICD9SID", "ICD9Description")
+    return (
+        rows.join(inputs.lookup("icd10_description", icd10), ["Sta3n", "ICD10SID"], "left")
+        .join(inputs.lookup("icd9_description", icd9), ["Sta3n", "ICD9SID"], "left")
+        .withColumn("code1", x.labelled("ICD10 ", F.col("ICD10Description")))
+        .withColumn("code2", x.labelled("ICD9 ", F.col("ICD9Description")))
+    )
 
 
 def procedures(inputs: Inputs) -> DataFrame:
     sections = [s for s in inputs.spec.sections if s.procedures]
     with_exam = [s for s in sections if s.needs_exam]
-    icd10 = inputs.tables["icd10_description"].select("Sta3n", "ICD10SID", "ICD10Description")
-    icd9 = inputs.tables["icd9_description"].select("Sta3n", "ICD9SID", "ICD9Description")
-
     rows = selected_procedures(inputs, sections).join(
         diagnoses(inputs), [*_PERSON, "VisitSID"], "left"
     )
@@ -250,13 +274,10 @@ def procedures(inputs: Inputs) -> DataFrame:
         rows = rows.withColumn("result", x.no_text())
 
     rows = (
-        rows.join(inputs.lookup("icd10_description", icd10), ["Sta3n", "ICD10SID"], "left")
-        .join(inputs.lookup("icd9_description", icd9), ["Sta3n", "ICD9SID"], "left")
+        described(inputs, rows)
         .withColumn(
             "detail", F.when(F.col("needs_exam"), F.col("result")).otherwise(F.col("comments"))
         )
-        .withColumn("code1", x.labelled("ICD10 ", F.col("ICD10Description")))
-        .withColumn("code2", x.labelled("ICD9 ", F.col("ICD9Description")))
         .withColumn(
             "flag",
             by_section(
@@ -379,34 +400,38 @@ def _case_times(inputs: Inputs) -> list[Column]:
     ]
 
 
-def cytology(inputs: Inputs) -> DataFrame:
-    t, spec, grain = inputs.tables, inputs.spec, inputs.grain
-    sections = [s for s in spec.sections if s.topography]
-    case = ["Sta3n", "CytopathologyIEN", "LabDataIEN"]
-
+def cytology_specimens(inputs: Inputs, sections: Sequence[Section]) -> DataFrame:
+    """Specimens taken from a section's topographies, one row per section."""
+    t = inputs.tables
     sites = classified(
         t["topography"],
         sections,
         lambda s: p.in_text_set(F.col("Topography"), s.topography),
         code1=lambda s: x.labelled("SNOMED ", F.col("SNOMEDCode")),
     ).withColumnRenamed("TopographyIEN", "TopographyFieldIEN")
-    specimens = grain.of(
+    partial = inputs.spec.switches.keep_partial_labels
+    return (
         t["cyto_specimen"]
         .join(inputs.lookup("topography", sites), ["TopographyFieldIEN", "Sta3n"])
         .select(
-            *case,
+            *_CYTOLOGY_CASE,
             "section",
             "CollectionSample",
-            x.pair(
-                F.col("CollectionSample"), F.col("Topography"), spec.switches.keep_partial_labels
-            ).alias("label"),
+            x.pair(F.col("CollectionSample"), F.col("Topography"), partial).alias("label"),
             "code1",
-        ),
-        "specimen",
+        )
     )
+
+
+def cytology(inputs: Inputs) -> DataFrame:
+    t, spec, grain = inputs.tables, inputs.spec, inputs.grain
+    sections = [s for s in spec.sections if s.topography]
+    case = _CYTOLOGY_CASE
+
+    specimens = grain.of(inputs.selection("cytology", sections), "specimen")
     found = t["morphology"].withColumnRenamed("MorphologyIEN", "MorphologyFieldIEN")
     morphologies = grain.of(
-        t["cyto_organ_morphology"]
+        inputs.met(t["cyto_organ_morphology"], "cytology")
         .join(inputs.lookup("morphology", found), ["MorphologyFieldIEN", "Sta3n"], "left")
         .select(
             *case,
@@ -428,22 +453,24 @@ def cytology(inputs: Inputs) -> DataFrame:
     return _event(inputs, rows, F.col("rank_ts"), F.col("CollectionSample"))
 
 
+def surgical_specimens(inputs: Inputs, sections: Sequence[Section]) -> DataFrame:
+    """Specimens with a section's names, one row per section."""
+    return classified(
+        inputs.tables["surg_specimen"],
+        sections,
+        lambda s: p.in_text_set(F.col("Specimen"), s.specimens),
+    )
+
+
 def surgical(inputs: Inputs) -> DataFrame:
     t, spec, grain = inputs.tables, inputs.spec, inputs.grain
     sections = [s for s in spec.sections if s.specimens]
-    case = ["Sta3n", "SurgicalPathologyIEN", "LabDataIEN"]
+    case = _SURGICAL_CASE
 
-    specimens = grain.of(
-        classified(
-            t["surg_specimen"],
-            sections,
-            lambda s: p.in_text_set(F.col("Specimen"), s.specimens),
-        ),
-        "specimen",
-    )
+    specimens = grain.of(inputs.selection("surgical", sections), "specimen")
     fields = t["surg_morphology_field"]
     morphologies = grain.of(
-        t["surg_morphology"]
+        inputs.met(t["surg_morphology"], "surgical")
         .join(
             inputs.lookup("surg_morphology_field", fields), ["MorphologyFieldIEN", "Sta3n"], "left"
         )
@@ -493,6 +520,24 @@ _NEEDS: dict[str, Callable[[Section], object]] = {
 }
 
 
+#: Streams with fan-out joins: the rows their code sets select, and the keys other facts meet them by.
+SELECTIONS: dict[str, tuple[Callable[[Inputs, Sequence[Section]], DataFrame], list[str]]] = {
+    "procedures": (coded_procedures, _VISIT),
+    "cytology": (cytology_specimens, _CYTOLOGY_CASE),
+    "surgical": (surgical_specimens, _SURGICAL_CASE),
+}
+
+
+def with_selections(inputs: Inputs) -> Inputs:
+    """The inputs with the selected rows staged: their facts are read once, here."""
+    found = {}
+    for stream, (select, _) in SELECTIONS.items():
+        sections = [s for s in inputs.spec.sections if _NEEDS[stream](s)]
+        if sections:
+            found[stream] = staged(select(inputs, sections), f"selected-{stream}")
+    return replace(inputs, selected=found)
+
+
 def present(spec: ReportSpec) -> list[str]:
     """Streams that at least one section of ``spec`` selects from."""
     return [n for n, needs in _NEEDS.items() if any(needs(s) for s in spec.sections)]

@@ -142,7 +142,7 @@ def filter_not_like(spark, d):
     return (
         _raw(spark, d, "customer")
         .select("c_custkey", F.nullif("c_mktsegment", F.lit("BUILDING")).alias("segment"))
-        .where(segment.isNotNull() & ~segment.like("AUTO%") & ~segment.like("%HOUSE%"))
+        .where(segment.isNotNull() & p.unlike(segment, "AUTO%", "%HOUSE%"))
     )
 
 
@@ -154,7 +154,7 @@ def filter_not_equal(spark, d):
     return (
         _raw(spark, d, "customer")
         .select("c_custkey", F.nullif("c_mktsegment", F.lit("BUILDING")).alias("segment"))
-        .where(F.col("segment") != "MACHINERY")
+        .where(p.other_than(F.col("segment"), "MACHINERY"))
     )
 
 
@@ -164,7 +164,7 @@ def filter_not_equal(spark, d):
 )
 def filter_threshold(spark, d):
     reason = F.floor(F.nullif("s_acctbal", F.lit(73.0)) / 1000).cast("long").alias("reason")
-    return _raw(spark, d, "supplier").select("s_suppkey", reason).where(F.col("reason") <= 0)
+    return _raw(spark, d, "supplier").select("s_suppkey", reason).where(p.without_reason(F.col("reason")))
 
 
 @entry(
@@ -237,17 +237,9 @@ def join_left_fanout(spark, d):
     )
 )
 def join_left_dim_chain(spark, d):
-    t = inputs(spark, d).tables
-    return (
-        t["v_diagnosis"]
-        .join(t["icd10_description"], ["Sta3n", "ICD10SID"], "left")
-        .join(t["icd9_description"], ["Sta3n", "ICD9SID"], "left")
-        .select(
-            F.col("Sta3n").alias("site"),
-            F.col("VisitSID").alias("visit"),
-            x.labelled("ICD10 ", F.col("ICD10Description")).alias("code1"),
-            x.labelled("ICD9 ", F.col("ICD9Description")).alias("code2"),
-        )
+    given = inputs(spark, d)
+    return streams.described(given, streams.diagnoses(given)).select(
+        F.col("Sta3n").alias("site"), F.col("VisitSID").alias("visit"), "code1", "code2"
     )
 
 
@@ -431,8 +423,7 @@ def flag_not_in_null(spark, d):
 
 @entry("SELECT event_id, CAST(ts AS DATE) AS event_date FROM events")
 def cast_event_date(spark, d):
-    day = F.col("ts").cast("date")
-    return _raw(spark, d, "events").select("event_id", day.alias("event_date"))
+    return _raw(spark, d, "events").select("event_id", x.day(F.col("ts")).alias("event_date"))
 
 
 @entry(
@@ -664,7 +655,7 @@ def distinct_report_rows(spark, d):
         F.col("event_type").alias("label"),
         F.nullif("event_type", F.lit("click")).alias("flag"),
     )
-    return events.join(persons, "user_id").drop("user_id").distinct()
+    return unions.united([events.join(persons, "user_id").drop("user_id")])
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -45,9 +45,9 @@ def test_report_equals_the_ranked_union_form(inputs):
 
 
 def test_report_with_measured_sides_is_the_same(inputs):
-    sized = plan.sized(replace(inputs, run=replace(inputs.run, sites=(0, 1, 2, 3, 4))))
-    assert {"eligible", "visits"} <= sized.run.broadcast
-    assert sized.visits is not None
+    sized = plan.sized(inputs)
+    assert {"eligible", *(f"{s}_keys" for s in streams.SELECTIONS)} <= sized.run.broadcast
+    assert set(sized.selected) == set(streams.SELECTIONS)
     assert same_rows(plan.report(inputs), plan.report(sized))
     assert same_rows(plan.report(inputs, latest_only=True), plan.report(sized, latest_only=True))
 
@@ -90,6 +90,32 @@ def test_facts_are_read_once_for_both_sections(inputs):
     assert text.count("FileScan") == one.count("FileScan")
 
 
+@pytest.mark.parametrize("sites", [None, (2,)])
+def test_facts_are_reduced_before_they_are_shuffled(spark, sites):
+    """Diagnoses, exams and morphologies: semi-join below the first exchange, by broadcast
+    where the keys are few. Where they are many, the rows are the same."""
+    given = stream_queries.inputs(spark, SF_DIR, sites=sites)
+    sized = plan.sized(given)
+    for rows in (streams.diagnoses(sized), streams.exam_results(sized)):
+        assert "LeftSemi, BuildRight" in physical(rows)
+    whole = physical(plan.report(sized))
+    assert whole.count("LeftSemi, BuildRight") >= 4
+    many = replace(sized, run=replace(sized.run, broadcast=frozenset()))
+    assert same_rows(plan.report(given), plan.report(many))
+
+
+def test_ranks_need_two_jobs_a_stream(spark, inputs, monkeypatch):
+    """Building a ranked stream writes it once and looks at its groups once."""
+    calls = []
+    from cohortloom.operators import ranking
+
+    monkeypatch.setattr(streams, "staged", lambda df, name: calls.append(name) or df)
+    monkeypatch.setattr(ranking, "staged", lambda df, name: calls.append(name) or df)
+    for name in streams.BUILDERS:
+        streams.ranked(inputs, name)
+    assert calls == list(streams.BUILDERS)
+
+
 def test_filters_and_columns_reach_the_scan(spark, inputs):
     scan = [
         line

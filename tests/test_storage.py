@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
 from cohortloom import schemas
 from cohortloom.jobs import nightly
 from cohortloom.operators import sizing
-from cohortloom.operators.staging import shared_folder, staged
+from cohortloom.operators.staging import run_folder, shared_folder, staged
 from cohortloom.plans import report as plan
 from cohortloom.plans import streams
 from cohortloom.sinks.report_table import read_report, replace_report
@@ -136,6 +138,8 @@ def test_sizes_are_measured_before_a_broadcast(spark):
     assert sizing.measured({"small": small, "wide": wide}) == {"small": (10, 360), "wide": (10, 10320)}
     frames = {"small": small, "wide": wide, "long": spark.range(1000)}
     assert sizing.broadcastable(frames, max_rows=100, max_bytes=1000) == {"small"}
+    assert sizing.broadcastable(frames) == {"small", "wide", "long"}
+    assert sizing.broadcastable(frames, max_total=10_700) == {"small", "wide"}
 
 
 def test_first_build_of_a_table_keeps_to_its_sites(spark):
@@ -147,13 +151,22 @@ def test_many_visits_are_not_broadcast(spark, monkeypatch):
     clinic = Clinic().person().code(7, "OBSTETRIC", "VISIT")
     for visit in range(1, 6):
         clinic.procedure(7, visit=visit).diagnosis(visit, visit=visit)
-    assert plan.sized(clinic.inputs(spark)).visits is not None
-    monkeypatch.setattr(sizing.broadcastable, "__defaults__", (4, sizing.MAX_BYTES))
+    assert "procedures_keys" in plan.sized(clinic.inputs(spark)).run.broadcast
+    monkeypatch.setattr(sizing.broadcastable, "__defaults__", (4, sizing.MAX_BYTES, sizing.MAX_TOTAL_BYTES))
     many = plan.sized(clinic.inputs(spark))
-    assert many.visits is None and "visits" not in many.run.broadcast
+    assert "procedures_keys" not in many.run.broadcast and "procedures" in many.selected
     assert {r.code1 for r in plan.report(many).collect()} == {f"ICD10 D{v}" for v in range(1, 6)}
 
 
+def test_staged_rows_are_removed_at_the_end_of_a_run(spark):
+    with pytest.raises(ValueError), run_folder(spark) as folder:
+        assert staged(spark.range(3), "names").count() == 3
+        assert [name.startswith("names-") for name in os.listdir(folder)] == [True]
+        raise ValueError
+    assert not os.path.exists(folder)
+    assert staged(spark.range(3), "names").count() == 3
+
+
 def test_nightly_job(spark, tmp_path):
     clinic = two_sites()
     for name in schemas.SOURCES:
