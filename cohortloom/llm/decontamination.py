@@ -13,7 +13,8 @@ windows that cannot join; the join itself decides, whatever the benchmark's size
 
 Defined results: null, empty and short texts have no window, nor have items of fewer
 than ``shortest`` tokens: they cannot be told from ordinary prose. Items between that and
-``window`` are one window of their own length. Equal rows give equal results,
+``window`` are one window of their own length. Quoted inside a sentence, an item's capitalised
+first word looks like a name; its first window is known in both forms. Equal rows give equal results,
 one per row; null ids are kept. Only ids and texts are read.
 """
 
@@ -47,9 +48,12 @@ _MULTIPLIER = np.uint64(0x9FB21C651E98DF25)
 _OUTER = r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$"
 
 
-def templates(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.Array, np.ndarray]:
+def templates(texts: pa.Array, inside: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.Array, np.ndarray]:
     """Template code of each token, whether it is a plain word, the texts' offsets, and
-    the distinct plain forms with each token's index among them (its slot value)."""
+    the distinct plain forms with each token's index among them (its slot value).
+
+    A text's first token opens a sentence, or does not if the text stands ``inside`` one.
+    """
     words, bounds = split_words(texts, lower=False)
     raw, index = numbered(words)
     core = pc.replace_substring_regex(raw, _OUTER, "")
@@ -68,8 +72,8 @@ def templates(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.A
 
     starts = np.zeros(len(index) + 1, bool)
     starts[bounds[:-1]] = True
-    opening = starts[: len(index)].copy()
-    opening[1:] |= stops[:-1]
+    opening = np.full(len(index), False) if inside else starts[: len(index)].copy()
+    opening[1:] |= stops[:-1] & ~starts[1 : len(index)]
     after_number = np.zeros(len(index), bool)
     after_number[1:] = number[:-1] & ~starts[1 : len(index)]
     unit &= after_number & full
@@ -92,10 +96,13 @@ def window_hashes(codes: np.ndarray, size: int) -> np.ndarray:
 _WINDOWS = "id long, text_key long, row long, hash long, at long, size int, n_windows long, slots array<string>"
 
 
-def _windows(texts: DataFrame, sizes_of, window: int, literals: int, bits: np.ndarray | None) -> DataFrame:
+def _windows(
+    texts: DataFrame, sizes_of, literals: int, bits: np.ndarray | None = None, quoted: bool = False
+) -> DataFrame:
     """A row per window (of ``bits`` if given) of ``texts`` (id, text_key, text).
 
-    ``sizes_of`` gives the window sizes to take from texts of given lengths.
+    ``sizes_of`` gives the window sizes to take from texts of given lengths. With
+    ``quoted``, a first window that differs inside a sentence has a row for that form too.
     """
     shared = None if bits is None else texts.sparkSession.sparkContext.broadcast(bits)
 
@@ -103,16 +110,22 @@ def _windows(texts: DataFrame, sizes_of, window: int, literals: int, bits: np.nd
         task, rows = TaskContext.get().partitionId() << 40, 0
         for whole in batches:
             for batch in steps(whole, "text"):
-                codes, plain, bounds, forms, index = templates(batch.column("text"))
+                opened = templates(batch.column("text"))
+                forms_of_text = [opened, templates(batch.column("text"), inside=True)] if quoted else [opened]
+                bounds = opened[2]
                 owner = np.repeat(np.arange(batch.num_rows), np.diff(bounds))
-                plains = np.concatenate([[0], np.cumsum(plain)])
-                for size, of_texts in sizes_of(np.diff(bounds)):
+                every = [(s, of, *form) for s, of in sizes_of(np.diff(bounds)) for form in forms_of_text]
+                for size, of_texts, codes, plain, _, forms, index in every:
                     hashes = window_hashes(codes, size)
                     place = np.arange(len(codes))
+                    plains = np.concatenate([[0], np.cumsum(plain)])
                     valid = (place + size <= bounds[1:][owner]) & of_texts[owner]
                     ends = np.minimum(place + size, len(codes))
                     valid &= plains[ends] - plains[place] >= min(literals, size)
-                    per_text = np.bincount(owner, valid, batch.num_rows).astype(np.int64)
+                    if codes is opened[0]:
+                        per_text = np.bincount(owner, valid, batch.num_rows).astype(np.int64)
+                    else:
+                        valid &= (place == bounds[:-1][owner]) & (codes != opened[0])
                     if shared is not None:
                         prefix = hashes >> np.uint64(64 - _BITS)
                         valid &= (shared.value[prefix >> np.uint64(3)] >> (prefix & np.uint64(7)).astype(np.uint8)) & 1 == 1
@@ -150,7 +163,7 @@ def contaminated(
             yield size, lengths == size
 
     items = benchmark.select(F.col("item_id").cast("long").alias("id"), text_key().alias("text_key"), "text")
-    asked = staged(_windows(items, item_sizes, window, literals, None), "benchmark-windows")
+    asked = staged(_windows(items, item_sizes, literals, quoted=True), "benchmark-windows")
     present = sorted(r["size"] for r in asked.select("size").distinct().collect())  # at most ``window`` numbers
     asked = asked.select(
         F.col("id").alias("item_id"), F.col("row").alias("item"), "hash", F.col("at").alias("item_at"),
@@ -166,7 +179,7 @@ def contaminated(
             yield size, lengths >= size
 
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), text_key().alias("text_key"), "text")
-    hits = _windows(texts, all_sizes, window, literals, bits)
+    hits = _windows(texts, all_sizes, literals, bits)
     if sizing.broadcastable({"asked": asked}):
         asked = F.broadcast(asked)
     pairs = F.arrays_zip("item_slots", "slots")

@@ -187,6 +187,10 @@ def test_contamination_with_other_numbers_and_names(spark):
     docs = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, item_id string")
     got = sorted((r.doc_id, r.item_id, r.exact) for r in decontamination.contaminated(docs, items).collect())
     assert got == [(1, 1, True), (1, 1, True), (2, 1, False), (7, 4, True)]
+    # Quoted inside a sentence, the first word of an item looks like a name.
+    rows = [(1, "they say Seven plain words stand in this item"), (2, "they say: Seven plain words stand in this item"), (3, "they say Eight plain words stand in this item")]
+    got = decontamination.contaminated(spark.createDataFrame(rows, "doc_id long, text string"), items).collect()
+    assert sorted((r.doc_id, r.item_id, r.exact) for r in got) == [(1, 4, True), (2, 4, True), (3, 4, False)]
     assert decontamination.contaminated(docs.limit(0), items).count() == 0
     assert decontamination.contaminated(docs, items.limit(0)).count() == 0
 
