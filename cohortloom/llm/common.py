@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Iterator
 
@@ -50,7 +51,16 @@ def steps(batch: pa.RecordBatch, column: str, most: int = STEP_BYTES) -> Iterato
         stop = max(start + 1, int(np.searchsorted(ends, base + most, side="right")))
         yield batch.slice(start, stop - start)
         start = stop
-    pa.default_memory_pool().release_unused()  # an idle worker should not hold what it has used
+    give_back()
+
+
+def give_back() -> None:
+    """Unused memory of this worker goes back to the system: one that waits should not hold
+    what it has used. Where the C library cannot do it, only Arrow's is given back."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
 
 
 def split_words(texts: pa.Array, lower: bool = True) -> tuple[pa.Array, np.ndarray]:
