@@ -10,6 +10,7 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 
 _RUN_FOLDER = "cohortloom.run.folder"
+_DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -30,11 +31,19 @@ def shared_folder(spark: SparkSession) -> str:
 
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once and read it back, so later passes and lost executors
-    start from the files and not from the sources."""
+    start from the files and not from the sources.
+
+    The shuffles of the write are of no use once the table stands; their files go at once
+    and not when the driver happens to collect its garbage."""
     spark = df.sparkSession
     folder = spark.conf.get(_RUN_FOLDER, None) or shared_folder(spark)
     path = f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(_DROP_SHUFFLES, "false")
+    spark.conf.set(_DROP_SHUFFLES, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_DROP_SHUFFLES, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
