@@ -5,7 +5,8 @@ and names (capitalised words inside a sentence) become typed placeholders. Windo
 of ``window`` template tokens with at least ``literals`` plain words are hashed and
 joined between documents and benchmark. Aligned windows of a document and an item
 are one match if their slots agree: the same benchmark value always stands for the same
-document value. A document is contaminated by an item if its consistent matches cover
+document value. With ``verbatim`` (as the registered query and the pipeline ask), windows whose
+slots all equal the item's match whatever conflicts elsewhere. A document is contaminated by an item if its consistent matches cover
 ``tokens`` benchmark tokens in aligned windows (or the whole item, if shorter).
 
 A bit table of a fixed size over the benchmark's window hashes lets tasks drop
@@ -26,7 +27,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortloom.llm.common import mixed, numbered, split_words, steps, string_hashes, text_key
@@ -152,10 +153,18 @@ def _windows(
 
 
 def contaminated(
-    docs: DataFrame, benchmark: DataFrame, *, window: int = 8, literals: int = 4, tokens: int = 13, shortest: int = 5
+    docs: DataFrame,
+    benchmark: DataFrame,
+    *,
+    window: int = 8,
+    literals: int = 4,
+    tokens: int = 13,
+    shortest: int = 5,
+    verbatim: bool = False,
 ) -> DataFrame:
     """doc_id, text_key, item_id, matched_windows, item_windows and exact (no slot differs) of
-    each document row and item that match."""
+    each document row and item that match. With ``verbatim``, a conflict of slots costs only
+    the differing windows that hold the value in conflict, else all of the alignment's."""
 
     def item_sizes(lengths: np.ndarray):
         yield window, lengths >= window
@@ -187,13 +196,24 @@ def contaminated(
         hits.drop("n_windows", "size")
         .join(asked, "hash")
         .groupBy("row", "id", "text_key", "item", "item_id", "item_windows", (F.col("at") - F.col("item_at")).alias("shift"))
-        .agg(F.collect_set("item_at").alias("places"), F.array_distinct(F.flatten(F.collect_list(pairs))).alias("pairs"))
+        .agg(F.collect_list(F.struct(F.col("item_at").alias("at"), pairs.alias("pairs"))).alias("windows"))
+        .withColumn("pairs", F.array_distinct(F.flatten("windows.pairs")))
+        .withColumn("values", F.array_sort("pairs.item_slots"))
+        # Benchmark values that stand for several document values.
+        .withColumn("unsure", F.filter("values", lambda v, i: (i > 0) & (v == F.get("values", i - 1))))
     )
-    ours = F.size(F.array_distinct(F.transform("pairs", lambda p: p["item_slots"])))
-    consistent = aligned.where(ours == F.size("pairs"))
-    same = F.forall("pairs", lambda p: p["item_slots"].eqNullSafe(p["slots"]))
+
+    def same(of: Column) -> Column:
+        return F.forall(of, lambda p: p["item_slots"].eqNullSafe(p["slots"]))
+
+    if verbatim:
+        kept = F.filter("windows", lambda w: same(w["pairs"]) | ~F.arrays_overlap(w["pairs"]["item_slots"], "unsure"))
+        consistent = aligned.withColumn("windows", kept).where(F.size("windows") > 0)
+    else:
+        consistent = aligned.where(F.size("unsure") == 0)
     per_item = consistent.groupBy("row", "id", "text_key", "item", "item_id", "item_windows").agg(
-        F.size(F.array_distinct(F.flatten(F.collect_list("places")))).alias("matched"), F.bool_and(same).alias("exact")
+        F.size(F.array_distinct(F.flatten(F.collect_list("windows.at")))).alias("matched"),
+        F.bool_and(same(F.col("pairs"))).alias("exact"),
     )
     enough = F.least(F.col("item_windows"), F.lit(tokens - window + 1))
     return per_item.where(F.col("matched") >= enough).select(

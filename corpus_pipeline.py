@@ -52,7 +52,7 @@ def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def drop_benchmark_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
-    found = decontamination.contaminated(docs, table(spark, sf_dir, "benchmark"))
+    found = decontamination.contaminated(docs, table(spark, sf_dir, "benchmark"), verbatim=True)
     return _matching(docs, found.select("doc_id", "text_key").distinct(), "left_anti")
 
 
