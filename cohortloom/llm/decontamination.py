@@ -12,9 +12,12 @@ slots all equal the item's match whatever conflicts elsewhere. A document is con
 A bit table of a fixed size over the benchmark's window hashes lets tasks drop
 windows that cannot join; the join itself decides, whatever the benchmark's size.
 
-Defined results: null, empty and short texts have no window, nor have items of fewer
-than ``shortest`` tokens: they cannot be told from ordinary prose. Items between that and
-``window`` are one window of their own length. Quoted inside a sentence, an item's capitalised
+Windows of fewer plain words, and items of fewer than ``shortest`` tokens, are hashed and joined
+as written: without placeholders. So are windows whose first token may be a name or unit in one
+text and a plain word in the other.
+
+Defined results: null and empty texts have no window. Items of fewer than ``window`` tokens are
+one window of their own length. Quoted inside a sentence, an item's capitalised
 first word looks like a name; its first window is known in both forms. Equal rows give equal results,
 one per row; null ids are kept. Only ids and texts are read.
 """
@@ -22,6 +25,7 @@ one per row; null ids are kept. Only ids and texts are read.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -44,14 +48,25 @@ UNITS = (
 ).split()
 
 _NUMBER, _UNIT, _NAME, _AMOUNT = (np.uint64(x) for x in (11, 13, 17, 19))
+_LITERAL = np.uint64(1 << 32)  # sets hashes of tokens as written apart
 _BITS = 22  # 2**22 bits: the size of the bit table
 _MULTIPLIER = np.uint64(0x9FB21C651E98DF25)
 _OUTER = r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$"
 
 
-def templates(texts: pa.Array, inside: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.Array, np.ndarray]:
-    """Template code of each token, whether it is a plain word, the texts' offsets, and
-    the distinct plain forms with each token's index among them (its slot value).
+@dataclass(frozen=True)
+class Tokens:
+    codes: np.ndarray  # template code of each token
+    words: np.ndarray  # its code without placeholders
+    plain: np.ndarray  # whether it is a plain word
+    unsteady: np.ndarray  # whether what stands before it decides if it is plain
+    bounds: np.ndarray  # the texts' offsets
+    forms: pa.Array  # distinct lower-cased tokens
+    index: np.ndarray  # each token's place among them: its slot value
+
+
+def templates(texts: pa.Array, inside: bool = False) -> Tokens:
+    """The tokens of all texts.
 
     A text's first token opens a sentence, or does not if the text stands ``inside`` one.
     """
@@ -77,33 +92,38 @@ def templates(texts: pa.Array, inside: bool = False) -> tuple[np.ndarray, np.nda
     opening[1:] |= stops[:-1] & ~starts[1 : len(index)]
     after_number = np.zeros(len(index), bool)
     after_number[1:] = number[:-1] & ~starts[1 : len(index)]
+    unsteady = title | unit
     unit &= after_number & full
     name = title & ~opening
     plain = ~(number | amount | unit | name)
+    as_written = codes.copy()
     for mask, code in ((name, _NAME), (amount, _AMOUNT), (number, _NUMBER), (unit, _UNIT)):
         codes[mask] = code
     kept = np.concatenate([[0], np.cumsum(full)])
-    return codes[full], plain[full], kept[bounds], lower, index[full]
+    return Tokens(codes[full], as_written[full], plain[full], unsteady[full], kept[bounds], lower, index[full])
 
 
-def window_hashes(codes: np.ndarray, size: int) -> np.ndarray:
+def window_hashes(codes: np.ndarray, size: int, kind: np.uint64 = np.uint64(0)) -> np.ndarray:
     """The hash of the ``size`` codes from each place on (not valid near a text's end)."""
     rolled = codes.copy()
     for j in range(1, min(size, len(codes))):
         rolled[:-j] = rolled[:-j] * _MULTIPLIER + codes[j:]
-    return mixed(rolled + np.uint64(size))
+    return mixed(rolled + np.uint64(size) + kind)
 
 
-_WINDOWS = "id long, text_key long, row long, hash long, at long, size int, n_windows long, slots array<string>"
+_WINDOWS = "id long, text_key long, row long, hash long, at long, size int, literal boolean, n_tokens long, slots array<string>"
 
 
 def _windows(
-    texts: DataFrame, sizes_of, literals: int, bits: np.ndarray | None = None, quoted: bool = False
+    texts: DataFrame, sizes_of, literals: int, shortest: int, bits: np.ndarray | None = None, quoted: bool = False
 ) -> DataFrame:
     """A row per window (of ``bits`` if given) of ``texts`` (id, text_key, text).
 
-    ``sizes_of`` gives the window sizes to take from texts of given lengths. With
-    ``quoted``, a first window that differs inside a sentence has a row for that form too.
+    ``sizes_of`` gives, for texts of given lengths, the window sizes to take, whether
+    literally (without placeholders), and from which texts. ``quoted`` is for the benchmark: a first
+    window that differs inside a sentence has a row for that form too, and windows are taken
+    literally only where their template may not be found: of few plain words, shorter than
+    ``shortest``, or with a first token that what stands before it makes plain or not.
     """
     shared = None if bits is None else texts.sparkSession.sparkContext.broadcast(bits)
 
@@ -113,27 +133,31 @@ def _windows(
             for batch in steps(whole, "text"):
                 opened = templates(batch.column("text"))
                 forms_of_text = [opened, templates(batch.column("text"), inside=True)] if quoted else [opened]
-                bounds = opened[2]
-                owner = np.repeat(np.arange(batch.num_rows), np.diff(bounds))
-                every = [(s, of, *form) for s, of in sizes_of(np.diff(bounds)) for form in forms_of_text]
-                for size, of_texts, codes, plain, _, forms, index in every:
-                    hashes = window_hashes(codes, size)
-                    place = np.arange(len(codes))
-                    plains = np.concatenate([[0], np.cumsum(plain)])
+                bounds = opened.bounds
+                lengths = np.diff(bounds)
+                owner = np.repeat(np.arange(batch.num_rows), lengths)
+                place = np.arange(len(opened.codes))
+                every = [(*kind, form) for kind in sizes_of(lengths) for form in (forms_of_text[:1] if kind[1] else forms_of_text)]
+                for size, literal, of_texts, form in every:
+                    hashes = window_hashes(form.words, size, _LITERAL) if literal else window_hashes(form.codes, size)
                     valid = (place + size <= bounds[1:][owner]) & of_texts[owner]
-                    ends = np.minimum(place + size, len(codes))
-                    valid &= plains[ends] - plains[place] >= min(literals, size)
-                    if codes is opened[0]:
-                        per_text = np.bincount(owner, valid, batch.num_rows).astype(np.int64)
-                    else:
-                        valid &= (place == bounds[:-1][owner]) & (codes != opened[0])
+                    ends = np.minimum(place + size, len(place))
+                    if not literal:
+                        valid &= _sums(form.plain, place, ends) >= min(literals, size)
+                        if form is not opened:
+                            valid &= (place == bounds[:-1][owner]) & (form.codes != opened.codes)
+                    elif quoted and size >= shortest:
+                        fewest = np.minimum(*(_sums(x.plain, place, ends) for x in forms_of_text))
+                        valid &= opened.unsteady | (fewest < min(literals, size))
                     if shared is not None:
                         prefix = hashes >> np.uint64(64 - _BITS)
                         valid &= (shared.value[prefix >> np.uint64(3)] >> (prefix & np.uint64(7)).astype(np.uint8)) & 1 == 1
                     at = np.flatnonzero(valid)
                     if not len(at):
                         continue
-                    slots = [forms.take(pa.array(index[a : a + size][~plain[a : a + size]])) for a in at]
+                    # A literal match needs no document values: they are the item's.
+                    spans = [slice(a, a + size) if quoted or not literal else slice(0) for a in at]
+                    slots = [form.forms.take(pa.array(form.index[x][~form.plain[x]])) for x in spans]
                     counts = np.concatenate([[0], np.cumsum([len(s) for s in slots])])
                     of = owner[at]
                     arrays = [
@@ -143,15 +167,22 @@ def _windows(
                         pa.array(hashes[at].astype(np.int64)),
                         pa.array(at - bounds[:-1][of]),
                         pa.array(np.full(len(at), size, np.int32)),
-                        pa.array(per_text[of]),
+                        pa.array(np.full(len(at), literal)),
+                        pa.array(lengths[of]),
                         pa.ListArray.from_arrays(pa.array(counts, pa.int32()), pa.concat_arrays([x.cast(pa.string()) for x in slots])),
                     ]
-                    yield pa.RecordBatch.from_arrays(arrays, ["id", "text_key", "row", "hash", "at", "size", "n_windows", "slots"])
+                    yield pa.RecordBatch.from_arrays(arrays, names)
                 rows += batch.num_rows
 
+    names = [c.split()[0] for c in _WINDOWS.split(", ")]
     return texts.mapInArrow(work, _WINDOWS)
 
 
+def _sums(marks: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    before = np.concatenate([[0], np.cumsum(marks)])
+    return before[ends] - before[starts]
+
+
 def contaminated(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -167,16 +198,18 @@ def contaminated(
     the differing windows that hold the value in conflict, else all of the alignment's."""
 
     def item_sizes(lengths: np.ndarray):
-        yield window, lengths >= window
-        for size in range(shortest, window):
-            yield size, lengths == size
+        for size in range(1, window + 1):
+            of = lengths >= window if size == window else lengths == size
+            yield size, True, of
+            if size >= min(shortest, window):
+                yield size, False, of
 
     items = benchmark.select(F.col("item_id").cast("long").alias("id"), text_key().alias("text_key"), "text")
-    asked = staged(_windows(items, item_sizes, literals, quoted=True), "benchmark-windows")
-    present = sorted(r["size"] for r in asked.select("size").distinct().collect())  # at most ``window`` numbers
+    asked = staged(_windows(items, item_sizes, literals, shortest, quoted=True), "benchmark-windows")
+    present = sorted(map(tuple, asked.select("size", "literal").distinct().collect()))  # at most 2 x ``window``
     asked = asked.select(
-        F.col("id").alias("item_id"), F.col("row").alias("item"), "hash", F.col("at").alias("item_at"),
-        F.col("n_windows").alias("item_windows"), F.col("slots").alias("item_slots"),
+        F.col("id").alias("item_id"), F.col("row").alias("item"), "hash", F.col("at").alias("item_at"), "size",
+        "literal", F.col("n_tokens").alias("item_tokens"), F.col("slots").alias("item_slots"),
     )
     prefix = F.shiftrightunsigned("hash", 64 - _BITS).cast("int")
     found = asked.select(prefix.alias("p")).distinct().toArrow()["p"].to_numpy()  # at most 2**_BITS numbers
@@ -184,18 +217,19 @@ def contaminated(
     np.bitwise_or.at(bits, found >> 3, (1 << (found & 7)).astype(np.uint8))
 
     def all_sizes(lengths: np.ndarray):
-        for size in present:
-            yield size, lengths >= size
+        for size, literal in present:
+            yield size, literal, lengths >= size
 
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), text_key().alias("text_key"), "text")
-    hits = _windows(texts, all_sizes, literals, bits)
+    hits = _windows(texts, all_sizes, literals, shortest, bits)
     if sizing.broadcastable({"asked": asked}):
         asked = F.broadcast(asked)
-    pairs = F.arrays_zip("item_slots", "slots")
+    pairs = F.arrays_zip("item_slots", F.when(F.col("literal"), F.col("item_slots")).otherwise(F.col("slots")).alias("slots"))
+    of_item = ["row", "id", "text_key", "item", "item_id", "item_tokens"]
     aligned = (
-        hits.drop("n_windows", "size")
+        hits.drop("n_tokens", "size", "literal")
         .join(asked, "hash")
-        .groupBy("row", "id", "text_key", "item", "item_id", "item_windows", (F.col("at") - F.col("item_at")).alias("shift"))
+        .groupBy(*of_item, "size", (F.col("at") - F.col("item_at")).alias("shift"))
         .agg(F.collect_list(F.struct(F.col("item_at").alias("at"), pairs.alias("pairs"))).alias("windows"))
         .withColumn("pairs", F.array_distinct(F.flatten("windows.pairs")))
         .withColumn("values", F.array_sort("pairs.item_slots"))
@@ -211,16 +245,15 @@ def contaminated(
         consistent = aligned.withColumn("windows", kept).where(F.size("windows") > 0)
     else:
         consistent = aligned.where(F.size("unsure") == 0)
-    per_item = consistent.groupBy("row", "id", "text_key", "item", "item_id", "item_windows").agg(
-        F.size(F.array_distinct(F.flatten(F.collect_list("windows.at")))).alias("matched"),
-        F.bool_and(same(F.col("pairs"))).alias("exact"),
-    )
-    enough = F.least(F.col("item_windows"), F.lit(tokens - window + 1))
-    return per_item.where(F.col("matched") >= enough).select(
+    places = F.array_distinct(F.flatten(F.collect_list("windows.at")))
+    per_item = consistent.groupBy(*of_item, "size").agg(places.alias("places"), F.bool_and(same(F.col("pairs"))).alias("exact"))
+    covered = F.array_distinct(F.flatten(F.transform("places", lambda at: F.sequence(at, at + F.col("size") - 1))))
+    enough = F.least(F.col("item_tokens"), F.lit(tokens))
+    return per_item.where(F.size(covered) >= enough).select(
         F.col("id").alias("doc_id"),
         "text_key",
         "item_id",
-        F.col("matched").cast("long").alias("matched_windows"),
-        "item_windows",
+        F.size("places").cast("long").alias("matched_windows"),
+        (F.col("item_tokens") - F.col("size") + 1).alias("item_windows"),
         "exact",
     )

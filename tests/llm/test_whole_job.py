@@ -18,3 +18,17 @@ def test_one_conflict_of_slots_costs_only_its_windows(spark, monkeypatch):
     assert [(r.doc_id, r.item_id, r.exact) for r in got] == [(1, 1, False)]
     monkeypatch.setattr(corpus_pipeline, "table", lambda *_: items)
     assert [r.doc_id for r in corpus_pipeline.drop_benchmark_texts(spark, docs, "").collect()] == [2]
+
+
+def test_items_of_few_plain_words_and_covered_tokens(spark):
+    long = "we found that Anna Bert Carl Dora Emil Fritz Gerd went to the old market square and then bought some bread"
+    texts = {1: "Who wrote Romeo and Juliet?", 2: "Compute 3 x 4 + 5 x 6 - 7 x 8", 3: "東京の人口は何人ですか。", 4: "Name three oceans", 5: long, 6: ""}
+    items = spark.createDataFrame(list(texts.items()), "item_id long, text string")
+    passage = " ".join(long.split()[1:14])  # its first windows hold fewer than 4 plain words
+    rows = [(10 * i, t) for i, t in texts.items()]
+    rows += [(11, "They ask: who wrote Romeo and Juliet, today."), (12, "Who wrote Faust and Emilia?"), (21, "Compute 3 x 4 + 5 x 6 - 7 x 9"), (41, "now name three oceans please"), (42, "name three seas"), (51, f"it is said: {passage} at noon"), (52, " ".join(long.split()[1:13])), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = [(10, 1), (11, 1), (20, 2), (30, 3), (40, 4), (41, 4), (50, 5), (51, 5)]
+    for verbatim in (False, True):
+        got = decontamination.contaminated(docs, items, verbatim=verbatim).collect()
+        assert sorted((r.doc_id, r.item_id) for r in got) == want and all(r.exact for r in got)
