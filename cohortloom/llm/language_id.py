@@ -7,8 +7,7 @@ Viterbi pass over a text's words, with a penalty for each change of language,
 labels the words; runs of a label are spans, and the language with most letters
 is the text's.
 
-The n-gram counts are summed by Spark over a sample of labelled rows, drawn by a hash, of
-about ``train_docs`` rows. The model is languages x 2**``bits`` numbers.
+The n-gram counts are summed by Spark over all labelled rows. The model is languages x 2**``bits`` numbers.
 
 Defined results: null text, or text without a letter, is ``und`` with score 0
 and no spans. Words in a script that no learned language uses count for none; a
@@ -95,7 +94,7 @@ def _some(words: pa.Array, columns: int) -> Iterator[slice]:
         yield slice(start, min(start + size, len(words)))
 
 
-def train(docs: DataFrame, *, language: str = "lang", train_docs: int = 20_000, bits: int = 17) -> Model:
+def train(docs: DataFrame, *, language: str = "lang", bits: int = 17) -> Model:
     """Learn from ``docs`` (text and language); the rows' other columns are not read."""
     known = docs.where(F.col("text").isNotNull() & F.col(language).isNotNull())
     known = known.select("text", F.col(language).cast("string").alias("language"))
@@ -103,11 +102,10 @@ def train(docs: DataFrame, *, language: str = "lang", train_docs: int = 20_000,
     languages = tuple(sorted(counts))
     if not languages:
         return Model((), np.zeros((1 << bits, 0)), np.zeros((len(SCRIPTS), 0), bool), bits, 0)
-    share = min(1.0, train_docs / sum(counts.values()))
-    drawn = F.pmod(F.xxhash64("text", F.lit(17)), F.lit(1_000_000)) < F.lit(int(share * 1_000_000))
     place = {name: i for i, name in enumerate(languages)}
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        both = np.zeros((len(place), (1 << bits) + len(SCRIPTS)))
         for whole in batches:
             for batch in steps(whole, "text"):
                 words, offsets = split_words(batch.column("text"), lower=False)
@@ -123,21 +121,22 @@ def train(docs: DataFrame, *, language: str = "lang", train_docs: int = 20_000,
                 uses = uses.reshape(len(place), len(distinct))[:, kept]
                 letters = pc.utf8_length(clean).to_numpy(zero_copy_only=False)
                 script = scripts_of(clean)
-                both = np.zeros((len(place), (1 << bits) + len(SCRIPTS)))
                 for lang, n in enumerate(uses):
-                    both[lang, 1 << bits :] = np.bincount(script, n * letters, len(SCRIPTS))
+                    both[lang, 1 << bits :] += np.bincount(script, n * letters, len(SCRIPTS))
                 for part in _some(clean, 1):
                     for grams, bounds in features_of(clean[part.start : part.stop], bits):
                         for lang, n in enumerate(uses):
-                            both[lang, : 1 << bits] += np.bincount(grams, np.repeat(n[part], np.diff(bounds)), 1 << bits)
-                for lang, row in enumerate(both):
-                    at = np.flatnonzero(row)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(at), lang, np.int32)), pa.array(at.astype(np.int32)), pa.array(row[at])],
-                        ["lang", "at", "n"],
-                    )
-
-    summed = known.where(drawn).mapInArrow(count, "lang int, at int, n double").groupBy("lang", "at").agg(F.sum("n").alias("n"))
+                            if n[part].any():
+                                both[lang, : 1 << bits] += np.bincount(grams, np.repeat(n[part], np.diff(bounds)), 1 << bits)
+        # Once per task: what is shuffled does not grow with the task's texts.
+        for lang, row in enumerate(both):
+            at = np.flatnonzero(row)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(at), lang, np.int32)), pa.array(at.astype(np.int32)), pa.array(row[at])],
+                ["lang", "at", "n"],
+            )
+
+    summed = known.mapInArrow(count, "lang int, at int, n double").groupBy("lang", "at").agg(F.sum("n").alias("n"))
     found = summed.toArrow()  # at most languages x (2**bits + scripts) rows
     uses = np.zeros(((1 << bits) + len(SCRIPTS), len(languages)))
     uses[found["at"].to_numpy(), found["lang"].to_numpy()] = found["n"].to_numpy()

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from cohortloom.llm import decontamination
+from cohortloom.llm import decontamination, language_id
 
 QUESTION = "If Alice buys 12 kg of apples and gives 5 kg of them to Bob how many kg does Alice have left after 12 days"
 
@@ -32,3 +32,14 @@ def test_items_of_few_plain_words_and_covered_tokens(spark):
     for verbatim in (False, True):
         got = decontamination.contaminated(docs, items, verbatim=verbatim).collect()
         assert sorted((r.doc_id, r.item_id) for r in got) == want and all(r.exact for r in got)
+
+
+def test_every_labelled_row_teaches_its_language(spark):
+    """100,000 rows of one language, half of them one text, and a row each of twelve more."""
+    common = spark.range(100_000).selectExpr("id AS doc_id", "if(id % 2 = 0, 'the same text again', concat('plain words and ', id, ' more')) AS text", "'en' AS lang")
+    rare = spark.createDataFrame([(-i, f"{chr(96 + i) * 3}{i}q zw{chr(96 + i)}vj", f"x{i}") for i in range(1, 13)], "doc_id long, text string, lang string")
+    docs = common.unionByName(rare)
+    model = language_id.train(docs)
+    assert len(model.languages) == 13 and model.candidates.any(0).all()
+    got = language_id.label(docs.where("doc_id < 6"), model).collect()
+    assert len(got) == 18 and all(r.lang_pred == r.lang for r in got)
