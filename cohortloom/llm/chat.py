@@ -3,7 +3,9 @@
 Chat logs often store a conversation again after each turn. Every prefix of every
 conversation gets a rolling hash; a conversation whose whole hash is the hash of
 a proper prefix of another is dropped by an anti-join, of equal ones the smallest
-id stays, and the rest is rendered.
+id stays, and the rest is rendered: ``rendered_parts`` in texts of bounded size, of which an
+ordinary conversation has one, ``rendered`` as one text each. One value holds at most 2 GB, so
+a conversation beyond that has parts only.
 
 The rolling hash of the first i turns is the exclusive or of 2 x 64-bit hashes of
 (place, role, text): adding a turn changes it by that turn alone, so it is a
@@ -81,10 +83,13 @@ def maximal(chats: DataFrame) -> DataFrame:
     return whole.join(shorter, ["n_turns", "h1", "h2"], "left_anti").select("conv_id", "n_turns", "copies")
 
 
-def rendered(chats: DataFrame, opening: str = "<|", closing: str = "|>", end: str = "<|end|>") -> DataFrame:
-    """The maximal conversations as one text each: every turn is its role in marks, a
-    line end, its text, the end mark and a line end."""
-    kept = maximal(chats)
+def rendered_parts(
+    chats: DataFrame, opening: str = "<|", closing: str = "|>", end: str = "<|end|>", part_bytes: int = 16 << 20
+) -> DataFrame:
+    """conv_id, n_turns, copies, part (from 0) and rendered of the maximal conversations: every
+    turn is its role in marks, a line end, its text, the end mark and a line end. A turn that
+    begins within the first ``part_bytes`` of its conversation is in part 0, and so on."""
+    kept = staged(maximal(chats), "chat-kept")
     turn = F.concat(
         F.lit(opening),
         F.coalesce("role", F.lit("unknown")),
@@ -92,15 +97,44 @@ def rendered(chats: DataFrame, opening: str = "<|", closing: str = "|>", end: st
         F.coalesce("text", F.lit("")),
         F.lit(end + "\n"),
     )
-    lines = (
-        chats.join(kept.select("conv_id"), "conv_id", "left_semi")
-        .select("conv_id", "turn", "role", F.sha2("text", 256).alias("digest"), turn.alias("line"))
-        .distinct()
-    )
+    of_kept = chats.join(kept.select("conv_id"), "conv_id", "left_semi")
+    lines = of_kept.select("conv_id", "turn", "role", F.sha2("text", 256).alias("digest"), turn.alias("line"))
+    sizes = lines.groupBy("conv_id").agg(F.sum(F.octet_length("line")).alias("bytes"))
+    long = staged(sizes.where(F.col("bytes") > part_bytes).select("conv_id"), "chat-long")
+    if long.isEmpty():
+        runs = lines.distinct().withColumn("part", F.lit(0).cast("long"))
+    else:
+        short = lines.join(long, "conv_id", "left_anti").distinct().withColumn("part", F.lit(0).cast("long"))
+        runs = short.unionByName(_in_parts(lines.join(long, "conv_id", "left_semi").distinct(), part_bytes))
     # Structs are compared field by field, nulls first: the order of the turns.
     ordered = F.array_sort(F.collect_list(F.struct(*_ORDER, "line")))
-    texts = lines.groupBy("conv_id").agg(F.concat_ws("", F.transform(ordered, lambda x: x["line"])).alias("rendered"))
+    texts = runs.groupBy("conv_id", "part").agg(F.concat_ws("", F.transform(ordered, lambda x: x["line"])).alias("rendered"))
     return kept.join(texts, "conv_id").select(
-        "conv_id", F.col("n_turns").cast("long"), F.col("copies").cast("long"), "rendered"
+        "conv_id", F.col("n_turns").cast("long"), F.col("copies").cast("long"), "part", "rendered"
     )
 
+
+def _in_parts(lines: DataFrame, part_bytes: int) -> DataFrame:
+    """``lines`` with their part, by the bytes before them: added up slice by slice, as the hashes are."""
+    order = [F.col(c).asc_nulls_first() for c in _ORDER]
+    parts = int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sliced = lines.repartitionByRange(parts, F.col("conv_id"), *order)
+    sliced = staged(sliced.withColumn("slice", F.spark_partition_id()), "chat-lines")
+    earlier = Window.partitionBy("conv_id").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    within = Window.partitionBy("conv_id", "slice").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sliced.groupBy("conv_id", "slice").agg(F.sum(F.octet_length("line")).alias("n"))
+    shifts = sizes.select("conv_id", "slice", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("shift"))
+    before = F.col("shift") + F.coalesce(F.sum(F.octet_length("line")).over(within), F.lit(0))
+    raw = sliced.join(shifts, ["conv_id", "slice"]).withColumn("raw", F.floor(before / part_bytes).cast("long"))
+    # A turn longer than a part leaves numbers out: the parts there are count from 0.
+    present = raw.select("conv_id", "raw").distinct()
+    numbers = present.withColumn("part", F.row_number().over(Window.partitionBy("conv_id").orderBy("raw")).cast("long") - 1)
+    return raw.join(numbers, ["conv_id", "raw"]).select("conv_id", *_ORDER, "line", "part")
+
+
+def rendered(chats: DataFrame, opening: str = "<|", closing: str = "|>", end: str = "<|end|>") -> DataFrame:
+    """The maximal conversations as one text each, put together from their parts."""
+    parts = rendered_parts(chats, opening, closing, end)
+    ordered = F.array_sort(F.collect_list(F.struct("part", "rendered")))
+    whole = F.concat_ws("", F.transform(ordered, lambda x: x["rendered"])).alias("rendered")
+    return parts.groupBy("conv_id", "n_turns", "copies").agg(whole)

@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
-from cohortloom.llm import decontamination, language_id
+import zlib
+from collections import Counter
+
+import numpy as np
+
+from cohortloom.llm import chat, decontamination, language_id, packing, queries
 
 QUESTION = "If Alice buys 12 kg of apples and gives 5 kg of them to Bob how many kg does Alice have left after 12 days"
 
@@ -43,3 +48,20 @@ def test_every_labelled_row_teaches_its_language(spark):
     assert len(model.languages) == 13 and model.candidates.any(0).all()
     got = language_id.label(docs.where("doc_id < 6"), model).collect()
     assert len(got) == 18 and all(r.lang_pred == r.lang for r in got)
+
+
+def test_a_long_conversation_is_rendered_in_bounded_parts(spark):
+    rows = [(1, i, "user" if i % 3 else None, f"turn {i} " + "é" * (i % 7)) for i in range(400)]
+    rows += [(2, 0, "user", "hi"), (1, 5, "user", rows[5][3]), (1, None, "user", "first"), (3, 0, "user", "x" * 5000)]
+    chats = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    whole = {r.conv_id: r for r in chat.rendered(chats).collect()}
+    turns = ["<|user|>\nfirst<|end|>\n"] + [f"<|{role or 'unknown'}|>\n{text}<|end|>\n" for _, _, role, text in rows[:400]]
+    assert whole[1].rendered == "".join(turns) and whole[1].n_turns == 401
+    parts = sorted(chat.rendered_parts(chats, part_bytes=500).collect(), key=lambda r: (r.conv_id, r.part))
+    longest = max(len(t.encode()) for t in turns)
+    assert all(len(r.rendered.encode()) < 500 + longest for r in parts if r.conv_id == 1)
+    for conv, row in whole.items():
+        mine = [r for r in parts if r.conv_id == conv]
+        assert [r.part for r in mine] == list(range(len(mine))) and len(mine) == (1 if conv != 1 else len(mine))
+        assert "".join(r.rendered for r in mine) == row.rendered and {r.n_turns for r in mine} == {row.n_turns}
+    assert len(parts) > 10
