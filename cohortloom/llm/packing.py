@@ -9,7 +9,8 @@ group size is a parameter, so no group grows with the corpus.
 
 Only lengths and checksums are shuffled; ``sequences`` carries the ids as well.
 
-Defined results: a null text is empty, so its document is the closing id
+Defined results: ids are those of the tokenizer as its file gives it, so a special token's
+literal in a text becomes its id. A null text is empty, so its document is the closing id
 alone; a null doc_id stays null; equal rows are packed each for itself; no row
 gives no sequence. Other columns are not read.
 """
@@ -39,7 +40,7 @@ def cut_pieces(
     """A row per piece of at most ``capacity`` ids; only a document's last piece is shorter."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, rows = PartEncoder(tokenizer), 0
+        encoder, rows = PartEncoder(tokenizer, special_as_text=False), 0
         task = np.uint64(TaskContext.get().partitionId()) << np.uint64(40)
         for whole in batches:
             for batch in steps(whole, "text", 2 * STEP_BYTES):

@@ -2,7 +2,9 @@
 
 The pre-tokenizer always begins a new piece at a space that a visible
 character follows, so a text's ids are the ids of the parts between such
-spaces. Parts repeat a lot; each distinct one is encoded once per step.
+spaces. Parts repeat a lot; each distinct one is encoded once per step. Where special
+tokens are not taken as text, a text that holds one is encoded as a whole: white space
+before it ends a piece.
 """
 
 from __future__ import annotations
@@ -26,14 +28,16 @@ _ODD_SPACE = r" (?:$|[\s\x0B\x1C-\x1F\x{85}\p{Z}])"
 class PartEncoder:
     """Encodes texts; keeps the ids of parts that came more than once, up to a bound."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, special_as_text: bool = True):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-        self._tokenizer.encode_special_tokens = True
+        self._tokenizer.encode_special_tokens = special_as_text
+        added = self._tokenizer.get_added_tokens_decoder().values()
+        self._whole = [t.content for t in added if t.content and not (special_as_text and t.special)]
         self._known: dict[str, bytes] = {}
         # Tokens that begin with a space, which byte-level vocabularies write as this letter.
         vocabulary = self._tokenizer.get_vocab()
@@ -48,8 +52,12 @@ class PartEncoder:
         """The ids (uint32) of all texts end to end, and len + 1 offsets. Null: no ids."""
         texts = pc.fill_null(texts, "")
         odd = pc.match_substring_regex(texts, _ODD_SPACE)
-        if pc.any(odd).as_py():
-            parts = pa.array([_SPACE.split(t) for t in texts.to_pylist()], pa.list_(pa.string()))
+        whole = pa.array(np.zeros(len(texts), bool))
+        for token in self._whole:
+            whole = pc.or_(whole, pc.match_substring(texts, token))
+        if pc.any(pc.or_(odd, whole)).as_py():
+            split = [[t] if w else _SPACE.split(t) for t, w in zip(texts.to_pylist(), whole.to_pylist())]
+            parts = pa.array(split, pa.list_(pa.string()))
         else:
             parts = pc.split_pattern(texts, " ")
         offsets = parts.offsets.to_numpy().astype(np.int64)

@@ -50,6 +50,18 @@ def test_every_labelled_row_teaches_its_language(spark):
     assert len(got) == 18 and all(r.lang_pred == r.lang for r in got)
 
 
+def test_packed_ids_are_those_of_the_unmodified_tokenizer(spark):
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(queries.tokenizer_path())
+    texts = ["a <|endoftext|> b", "a  <|endoftext|>  b c", "<|endoftext|>", "x<|endoftext|>y z\n <|endoftext|>", "no literal here", "a <|endoftext |> b", "", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    ids = [[*plain.encode(t or "", add_special_tokens=False).ids, 1] for t in texts]
+    want = Counter((i, len(x), zlib.crc32(np.array(x, np.uint32).tobytes())) for i, x in enumerate(ids))
+    got = packing.packed(docs, queries.tokenizer_path()).collect()
+    assert Counter((r.doc_id, r.doc_tokens, r.ids_crc32) for r in got) == want
+
+
 def test_a_long_conversation_is_rendered_in_bounded_parts(spark):
     rows = [(1, i, "user" if i % 3 else None, f"turn {i} " + "é" * (i % 7)) for i in range(400)]
     rows += [(2, 0, "user", "hi"), (1, 5, "user", rows[5][3]), (1, None, "user", "first"), (3, 0, "user", "x" * 5000)]
