@@ -18,9 +18,10 @@ from cohortloom.operators.staging import staged
 
 
 def keep_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts in a learned language; text without letters is rejected."""
+    """Texts in a learned language; rejected are texts without letters, or with none in a script that
+    a learned language uses (score 0)."""
     model = language_id.train(docs)
-    return language_id.label(docs, model).where("lang_pred <> 'und'").select(_names(docs))
+    return language_id.label(docs, model).where("lang_pred <> 'und' AND lang_score > 0").select(_names(docs))
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

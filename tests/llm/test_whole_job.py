@@ -77,3 +77,13 @@ def test_a_long_conversation_is_rendered_in_bounded_parts(spark):
         assert [r.part for r in mine] == list(range(len(mine))) and len(mine) == (1 if conv != 1 else len(mine))
         assert "".join(r.rendered for r in mine) == row.rendered and {r.n_turns for r in mine} == {row.n_turns}
     assert len(parts) > 10
+
+
+def test_texts_of_no_learned_script_leave_the_language_stage(spark):
+    import corpus_pipeline
+
+    rows = [(i, "the cat and the dog are here", "en") for i in range(20)]
+    rows += [(30, "кошка и собака здесь", None), (31, "кошка and the dog", None), (32, "123 !!!", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    kept = {r.doc_id for r in corpus_pipeline.keep_known_language(spark, docs, "").collect()}
+    assert kept == {*range(20), 31}
