@@ -27,6 +27,13 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Drop an intermediate table that its successor has replaced."""
+    context = spark.sparkContext
+    folder = context._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def remainder(column: str, divisor: int) -> Column:
     """crc32 of the value as text, modulo ``divisor``; a null counts as empty text."""
     text = F.coalesce(F.col(column).cast("string"), F.lit(""))
