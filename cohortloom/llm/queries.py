@@ -15,8 +15,11 @@ from cohortloom.llm import (
     near_dedup,
     packing,
     quality,
+    spelling,
+    suffix_dedup,
     token_counts,
     topk,
+    vector_codes,
     warc,
 )
 from cohortloom.llm.common import new_folder, remainder, table
@@ -94,6 +97,19 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.pmod("vec_id", F.lit(50)) == 0)
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
+
+
+def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = suffix_dedup.deduplicated(table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.digest(*vector_codes.coded(table(spark, sf_dir, "embeddings")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_hmm_lm": op1_hmm_lm,
@@ -106,6 +122,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_token_counts": op8_token_counts,
         "op9_near_dedup": op9_near_dedup,
         "op10_topk": op10_topk,
+        "op11_spelling_variants": op11_spelling_variants,
+        "op12_suffix_dedup": op12_suffix_dedup,
+        "op13_vector_codes": op13_vector_codes,
     }
 
 
@@ -168,5 +187,85 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank
 """
 
 
+_SQL_SUFFIX_DEDUP = """
+WITH d AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, CAST(strlen(coalesce(text, '')) AS BIGINT) AS n FROM documents
+), w AS (
+  SELECT doc_id, i, substr(h, 2 * i + 1, 200) AS s
+  FROM (SELECT doc_id, h, unnest(range(n - 99)) AS i FROM d WHERE n >= 100)
+), r AS (
+  SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY s ORDER BY doc_id, i) AS nth FROM w) WHERE nth > 1
+), g AS (
+  SELECT doc_id, i, CASE WHEN i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) <= 100 THEN 0 ELSE 1 END AS fresh FROM r
+), c AS (
+  SELECT doc_id, span, min(i) AS a, max(i) + 100 AS b
+  FROM (SELECT doc_id, i, sum(fresh) OVER (PARTITION BY doc_id ORDER BY i) AS span FROM g) GROUP BY doc_id, span
+), k AS (
+  SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS before FROM c
+), m AS (
+  SELECT d.doc_id, any_value(d.n) AS n, CAST(coalesce(sum(k.b - k.a), 0) AS BIGINT) AS gone, count(k.a) AS spans,
+         coalesce(string_agg(substr(d.h, 2 * k.before + 1, 2 * (k.a - k.before)), '' ORDER BY k.a), '')
+           || substr(any_value(d.h), 2 * coalesce(max(k.b), 0) + 1) AS kept
+  FROM d LEFT JOIN k ON d.doc_id = k.doc_id GROUP BY d.doc_id
+)
+SELECT doc_id, n AS n_bytes, gone AS n_removed, spans AS n_spans, sha256(unhex(kept)) AS kept_sha256 FROM m
+"""
+
+_CODE_PARTS, _CODE_ENTRIES, _CODE_ROUNDS = 8, 16, 6
+
+
+def _sql_vector_codes() -> str:
+    """The rounds written out one after another; every round compares all parts with all entries."""
+    places = range(1, 1 + 64 // _CODE_PARTS)  # a part of the test tables' vectors has eight components
+    distance = " + ".join(f"(p.x[{i}] - b.x[{i}]) * (p.x[{i}] - b.x[{i}])" for i in places)
+    sums = ", ".join(f"CAST(sum(x[{i}]) AS BIGINT) AS s{i}" for i in places)
+    means = ", ".join(f"CAST(floor((s{i} - ((s{i} % n) + n) % n) / n) AS BIGINT)" for i in places)
+    text = " || ',' || ".join(f"CAST(x[{i}] AS VARCHAR)" for i in places)
+
+    def assign(r: int, book: str) -> str:
+        return f"""a{r} AS (
+  SELECT vec_id, label, part, x, entry, d FROM (
+    SELECT *, row_number() OVER (PARTITION BY vec_id, part ORDER BY d, entry) AS nth FROM (
+      SELECT p.vec_id, p.label, p.part, p.x, b.entry, {distance} AS d FROM p JOIN {book} AS b ON p.part = b.part))
+  WHERE nth = 1)"""
+
+    steps, book = [], "b0"
+    for r in range(1, _CODE_ROUNDS + 1):
+        steps.append(assign(r, book))
+        steps.append(f"m{r} AS (SELECT part, entry, count(*) AS n, {sums} FROM a{r} GROUP BY part, entry)")
+        steps.append(f"""b{r} AS (
+  SELECT o.part, o.entry, CASE WHEN m.n IS NULL THEN o.x ELSE [{means}] END AS x
+  FROM {book} AS o LEFT JOIN m{r} AS m ON o.part = m.part AND o.entry = m.entry)""")
+        book = f"b{r}"
+    steps.append(assign(_CODE_ROUNDS + 1, book))
+    return f"""
+WITH v AS (
+  SELECT CAST(vec_id AS BIGINT) AS vec_id, label,
+         list_transform(embedding, lambda x: CAST(floor(4096 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), p AS (
+  SELECT vec_id, label, part, v[part * {len(places)} + 1 : (part + 1) * {len(places)}] AS x
+  FROM v, (SELECT unnest(range({_CODE_PARTS})) AS part) AS parts
+), b0 AS (
+  SELECT p.part, f.entry, p.x
+  FROM p JOIN (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS entry FROM v) AS f ON p.vec_id = f.vec_id
+  WHERE f.entry < {_CODE_ENTRIES}
+), {", ".join(steps)}, coded AS (
+  SELECT vec_id, label, string_agg(format('{{:02x}}', entry), '' ORDER BY part) AS code, CAST(sum(d) AS BIGINT) AS error
+  FROM a{_CODE_ROUNDS + 1} GROUP BY vec_id, label
+)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+       (SELECT sha256(string_agg({text}, ',' ORDER BY part, entry)) FROM {book}) AS codebooks_sha256
+FROM coded
+"""
+
+
 def oracle() -> dict[str, str]:
-    return {"op3_warc": _SQL_WARC, "op6_chat": _SQL_CHAT, "op10_topk": _SQL_TOPK}
+    return {
+        "op3_warc": _SQL_WARC,
+        "op6_chat": _SQL_CHAT,
+        "op10_topk": _SQL_TOPK,
+        "op12_suffix_dedup": _SQL_SUFFIX_DEDUP,
+        "op13_vector_codes": _sql_vector_codes(),
+    }
