@@ -7,11 +7,14 @@ from its class by its training count plus one, with one more place for all unsee
 words. So the model covers every word, what has to be known per state stays
 bounded, and the counts of all words stay in a distributed table.
 
-Training. Spark counts all words of the training texts. The states start from a few
-local iterations on a sample of ``start_docs`` texts; then each Baum-Welch iteration
-runs over all training texts: a task adds up expected counts, Spark sums them
-by class. For that, texts are cut into runs of ``run_tokens`` tokens, and a run that
-is not a text's first starts from a state distribution of its own.
+Training. Spark counts all words of the training texts. Baum-Welch begins with hashed noise and
+runs over all training texts ``iterations`` times, by the incremental form of the algorithm: the texts are
+dealt into ``shards`` by a hash of id and text; a step takes expected counts over one shard (a task adds
+up its rows, Spark sums tasks by class), replaces that shard's former counts, and sets the states from the
+counts of all shards. An iteration reads each text once, whole, and the states move on ``shards``
+times. Texts are cut into runs of ``run_tokens`` tokens, and a run that is not a
+text's first starts from a state distribution of its own. Sums are taken in doubles, so a score
+does not depend on how the input is partitioned, but for rounding.
 
 Scoring runs the scaled forward recursion over each whole text, uncut, in doubles.
 Counts of the ``known_words`` most frequent words are at hand in each task; rarer words
@@ -35,13 +38,14 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortloom.llm.common import STEP_BYTES, byte_view, mixed, numbered, split_words, steps
+from cohortloom.llm.common import byte_view, mixed, new_folder, numbered, split_words, steps
 from cohortloom.operators.staging import staged
 
 _END = 0  # the class of the end token
 _SPELLINGS = 1024
 _FIRST_WORD = 1 + _SPELLINGS  # the class of the most frequent word
 _SMOOTH = 30.0  # expected counts a state gets from the overall distribution
+_STEP_TOKENS = 1 << 18  # tokens of one step inside a task; one longer text is a step by itself
 _BUCKETS = 16  # per doubling of a count, where the frequent words are cut off
 
 
@@ -139,10 +143,10 @@ def learn_words(counts: DataFrame, texts: int, *, known_words: int, own_class: i
     return Words(words, counted, own, class_counts, class_words, total + texts, distinct + ends, texts)
 
 
-def encode(docs: DataFrame, known: Words, training: Column) -> DataFrame:
+def encode(docs: DataFrame, known: Words, training: Column, shards: int) -> DataFrame:
     """A row per text with its classes, the sums over its frequent words, and its rare words.
 
-    row, doc_id, held_out, n_tokens, classes; n_known and log_counts (sum of
+    row, doc_id, held_out, shard (-1 if held out), n_tokens, classes; n_known and log_counts (sum of
     log10(c + 1)) over the end and frequent words; class_loss (sum of log10 of the
     class sizes of words drawn from a class); rare and rare_n.
     """
@@ -183,6 +187,7 @@ def encode(docs: DataFrame, known: Words, training: Column) -> DataFrame:
                     "row": pa.array(task + rows + np.arange(n)),
                     "doc_id": batch.column("doc_id"),
                     "held_out": held,
+                    "shard": batch.column("shard"),
                     "n_tokens": pa.array(np.diff(bounds)),
                     "classes": pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(closed)),
                     "n_known": pa.array(np.bincount(owner, place[index] >= 0, n).astype(np.int64) + (own.texts > 0)),
@@ -196,10 +201,12 @@ def encode(docs: DataFrame, known: Words, training: Column) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
     schema = (
-        "row long, doc_id long, held_out boolean, n_tokens long, classes array<int>, n_known long, "
+        "row long, doc_id long, held_out boolean, shard int, n_tokens long, classes array<int>, n_known long, "
         "log_counts double, class_loss double, drawn_log double, rare array<string>, rare_n array<int>"
     )
-    return docs.select(F.col("doc_id").cast("long"), "text", (~training).alias("held_out")).mapInArrow(work, schema)
+    dealt = F.when(training, F.pmod(F.xxhash64("doc_id", "text"), F.lit(shards))).otherwise(-1).cast("int")
+    kept = docs.select(F.col("doc_id").cast("long"), "text", (~training).alias("held_out"), dealt.alias("shard"))
+    return kept.mapInArrow(work, schema)
 
 
 def runs_of(column: pa.Array, run_tokens: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -227,10 +234,10 @@ def expected_counts(codes: np.ndarray, offsets: np.ndarray, first: np.ndarray, s
     starts, sizes = offsets[:-1][order], lengths[order]
     longest = int(sizes[0]) if len(sizes) else 0
     active = np.searchsorted(-sizes, -np.arange(longest), side="left")
-    emits, moves = states.emits.astype(np.float32), states.moves.astype(np.float32)
-    forward = np.empty((len(codes), k), np.float32)
-    scale = np.empty(len(codes), np.float32)
-    alpha = np.where(first[order][:, None], states.first, states.again).astype(np.float32)
+    emits, moves = states.emits, states.moves
+    forward = np.empty((len(codes), k))
+    scale = np.empty(len(codes))
+    alpha = np.where(first[order][:, None], states.first, states.again)
     for t in range(longest):
         n = active[t]
         rows = starts[:n] + t
@@ -239,7 +246,7 @@ def expected_counts(codes: np.ndarray, offsets: np.ndarray, first: np.ndarray, s
         a /= total[:, None]
         alpha[:n], forward[rows], scale[rows] = a, a, total
     moved = np.zeros((k, k))
-    beta = np.ones((len(sizes), k), np.float32)
+    beta = np.ones((len(sizes), k))
     for t in range(longest - 1, 0, -1):
         n = active[t]
         rows = starts[:n] + t
@@ -288,60 +295,56 @@ def maximised(first: np.ndarray, again: np.ndarray, moved: np.ndarray, per_class
     return States(normal(first + 1.0), normal(again + 1.0), normal(moved + 1.0 + 10.0 * np.eye(k)), emits)
 
 
-def start_states(known: Words, k: int, codes: np.ndarray, offsets: np.ndarray, first: np.ndarray, iterations: int) -> States:
-    """States from hashed noise, improved on a sample."""
+def start_states(known: Words, k: int) -> States:
+    """States of hashed noise around the classes' shares."""
     background = (known.class_counts + 1.0) / (known.class_counts + 1.0).sum()
     place = np.arange(len(background) * k, dtype=np.uint64)
     noise = mixed(place + np.uint64(1)).astype(np.float64).reshape(-1, k) / 2.0**64
     emits = background[:, None] * (0.5 + noise)
     emits /= emits.sum(0)
-    states = States(np.full(k, 1 / k), np.full(k, 1 / k), np.full((k, k), 0.02 / k) + 0.98 * np.eye(k), emits)
-    for _ in range(iterations):
-        states = maximised(*expected_counts(codes, offsets, first, states), background)
-    return states
+    return States(np.full(k, 1 / k), np.full(k, 1 / k), np.full((k, k), 0.02 / k) + 0.98 * np.eye(k), emits)
 
 
-def train_states(
-    encoded: DataFrame, known: Words, *, k: int = 8, iterations: int = 3, start_docs: int = 2000, start_iterations: int = 12, run_tokens: int = 256
-) -> States:
-    """Baum-Welch over all training rows of ``encoded``, a written table."""
-    spark = encoded.sparkSession
-    background = (known.class_counts + 1.0) / (known.class_counts + 1.0).sum()
-    training = encoded.where(~F.col("held_out")).select("row", "n_tokens", "classes")
-    share = min(1.0, start_docs / max(1, known.texts))
-    drawn = training.where(F.pmod(F.xxhash64("row"), F.lit(1 << 20)) < F.lit(int(share * (1 << 20))))
-    # Bounded: about start_docs texts, of each its first 1,000 tokens.
-    sample = drawn.select(F.slice("classes", 1, 1000).alias("classes")).limit(2 * start_docs).toArrow()["classes"].combine_chunks()
-    sample = sample if isinstance(sample, pa.Array) else sample.chunk(0)
-    states = start_states(known, k, *runs_of(sample, run_tokens), start_iterations)
+def expected_totals(texts: DataFrame, states: States, run_tokens: int) -> np.ndarray:
+    """Expected counts over all rows of ``texts``: a row per class, the two starts, and the moves."""
+    cells, k = states.emits.shape
+    shared = texts.sparkSession.sparkContext.broadcast(vars(states))
 
-    cells = len(background)
-    columns = ", ".join(f"s{j} double" for j in range(k))
-    for _ in range(iterations):
-        shared = spark.sparkContext.broadcast(vars(states))
-
-        def count(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            own = States(**shared.value)
-            # Rows after the classes: the two starts and the moves.
-            total = np.zeros((cells + 2 + k, k))
-            for batch in batches:
-                column = batch.column("classes")
-                for part in _parts(column, 1 << 20):
-                    first, again, moved, per_class = expected_counts(*runs_of(part, run_tokens), own)
-                    total[:cells] += per_class
-                    total[cells] += first
-                    total[cells + 1] += again
-                    total[cells + 2 :] += moved
-            at = np.flatnonzero(total.any(1))
-            arrays = [pa.array(at.astype(np.int32)), *(pa.array(total[at, j]) for j in range(k))]
-            yield pa.RecordBatch.from_arrays(arrays, ["at", *(f"s{j}" for j in range(k))])
-
-        sums = training.select("classes").mapInArrow(count, f"at int, {columns}").groupBy("at").agg(*(F.sum(f"s{j}").alias(f"s{j}") for j in range(k)))
-        found = sums.toArrow()  # a row per class: bounded by the model, not by the corpus
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = States(**shared.value)
         total = np.zeros((cells + 2 + k, k))
-        total[found["at"].to_numpy()] = np.stack([found[f"s{j}"].to_numpy() for j in range(k)], axis=1)
-        states = maximised(total[cells], total[cells + 1], total[cells + 2 :], total[:cells], background)
-        shared.unpersist()
+        for batch in batches:
+            for part in _parts(batch.column("classes"), _STEP_TOKENS):
+                first, again, moved, per_class = expected_counts(*runs_of(part, run_tokens), own)
+                total[:cells] += per_class
+                total[cells] += first
+                total[cells + 1] += again
+                total[cells + 2 :] += moved
+        at = np.flatnonzero(total.any(1))
+        arrays = [pa.array(at.astype(np.int32)), *(pa.array(total[at, j]) for j in range(k))]
+        yield pa.RecordBatch.from_arrays(arrays, ["at", *(f"s{j}" for j in range(k))])
+
+    columns = ", ".join(f"s{j} double" for j in range(k))
+    added = (F.sum(f"s{j}").alias(f"s{j}") for j in range(k))
+    found = texts.select("classes").mapInArrow(count, f"at int, {columns}").groupBy("at").agg(*added).toArrow()
+    shared.unpersist()
+    total = np.zeros((cells + 2 + k, k))  # bounded by the model, not by the corpus
+    total[found["at"].to_numpy()] = np.stack([found[f"s{j}"].to_numpy() for j in range(k)], axis=1)
+    return total
+
+
+def train_states(encoded: DataFrame, known: Words, *, k: int = 8, shards: int = 4, iterations: int = 3, run_tokens: int = 256) -> States:
+    """Baum-Welch over all training rows of ``encoded``, a table written by shard."""
+    background = (known.class_counts + 1.0) / (known.class_counts + 1.0).sum()
+    states = start_states(known, k)
+    cells = len(background)
+    totals = np.zeros((shards, cells + 2 + k, k))
+    for step in range(shards * iterations):
+        shard = step % shards
+        totals[shard] = expected_totals(encoded.where(F.col("shard") == shard), states, run_tokens)
+        total = totals.sum(0)
+        if total.any():  # the first shards of a few texts may have none
+            states = maximised(total[cells], total[cells + 1], total[cells + 2 :], total[:cells], background)
     return states
 
 
@@ -364,10 +367,12 @@ def score_texts(encoded: DataFrame, counts: DataFrame, known: Words, states: Sta
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = States(**shared.value)
         for batch in batches:
-            bounds = batch.column("classes").offsets.to_numpy().astype(np.int64)
-            codes = batch.column("classes").flatten().to_numpy()
-            logs = log_likelihoods(codes, bounds - bounds[0], own)
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in passed), pa.array(logs)], [*passed, "states_log"])
+            logs = []
+            for part in _parts(batch.column("classes"), _STEP_TOKENS):
+                bounds = part.offsets.to_numpy().astype(np.int64)
+                logs.append(log_likelihoods(part.flatten().to_numpy(), bounds - bounds[0], own))
+            found = np.concatenate(logs) if logs else np.zeros(0)
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in passed), pa.array(found)], [*passed, "states_log"])
 
     schema = (
         "row long, doc_id long, held_out boolean, n_tokens long, n_known long, log_counts double, "
@@ -396,12 +401,16 @@ def score_texts(encoded: DataFrame, counts: DataFrame, known: Words, states: Sta
 
 
 def score(
-    docs: DataFrame, training: Column, *, known_words: int = 1 << 18, own_class: int = 1 << 15, k: int = 8, iterations: int = 3
+    docs: DataFrame, training: Column, *, known_words: int = 1 << 18, own_class: int = 1 << 15, k: int = 8, shards: int = 4, iterations: int = 3
 ) -> DataFrame:
     """Learn from the rows where ``training`` holds and score all rows."""
+    spark = docs.sparkSession
     learned = docs.where(training)
     counts = staged(count_words(learned), "word-counts")
     known = learn_words(counts, learned.count(), known_words=known_words, own_class=own_class)
-    encoded = staged(encode(docs, known, training), "encoded-texts")
-    states = train_states(encoded, known, k=k, iterations=iterations)
+    written = encode(docs, known, training, shards)
+    folder = new_folder(spark, "encoded-texts")
+    written.write.partitionBy("shard").parquet(folder)
+    encoded = spark.read.schema(written.schema).parquet(folder)
+    states = train_states(encoded, known, k=k, shards=shards, iterations=iterations)
     return score_texts(encoded, counts, known, states)
