@@ -1,13 +1,16 @@
 """Language identification of whole texts and of spans in mixed-language text.
 
-A word is what is left of a white-space token without its non-letters. Its
-script (by code point ranges) narrows the languages to those that use the script
-in the training rows. Among them it is scored by hashed byte n-grams of the word. A
+A word is what is left of a white-space token from its first letter on without what is neither letter
+nor mark; marks alone are no word. Its script (by the code point range of its first letter) narrows the
+languages to those that use the script for at least a hundredth of their letters in the training rows (less
+is foreign words). Among them it is scored by hashed byte n-grams of the word. A
 Viterbi pass over a text's words, with a penalty for each change of language,
 labels the words; runs of a label are spans, and the language with most letters
 is the text's.
 
 The n-gram counts are summed by Spark over all labelled rows. The model is languages x 2**``bits`` numbers.
+Beside it a task holds a bounded number of scores: texts go in smaller steps the more languages there are, and
+one long text in slices, with the Viterbi values carried on and a bit per word and language kept.
 
 Defined results: null text, or text without a letter, is ``und`` with score 0
 and no spans. Words in a script that no learned language uses count for none; a
@@ -28,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cohortloom.llm.common import byte_view, numbered, segment_sums, split_words, steps
+from cohortloom.llm.common import STEP_BYTES, byte_view, numbered, segment_sums, split_words, steps
 
 #: First code points of script ranges and their script.
 SCRIPT_RANGES = (
@@ -46,6 +49,7 @@ _FIRST = np.array([p for p, _ in SCRIPT_RANGES])
 _SCRIPT = np.array([SCRIPTS.index(name) for _, name in SCRIPT_RANGES])
 _GRAMS = (1, 2, 3, 4)
 _LEAST_SHARE = 0.01  # of a language's letters, for a script to be one of its own
+_SCORES = 1 << 22  # scores of words x languages that are held at once
 _WEIGHT = 0.4  # n-grams of one word overlap: their evidence is not independent
 
 
@@ -59,8 +63,8 @@ class Model:
 
 
 def letters_of(words: pa.Array) -> pa.Array:
-    """Words in lower case without anything but letters and marks."""
-    return pc.replace_substring_regex(pc.utf8_lower(words), r"[^\p{L}\p{M}]+", "")
+    """Words in lower case from their first letter on, without anything but letters and marks."""
+    return pc.replace_substring_regex(pc.utf8_lower(words), r"^[^\p{L}]+|[^\p{L}\p{M}]+", "")
 
 
 def scripts_of(words: pa.Array) -> np.ndarray:
@@ -105,7 +109,7 @@ def train(docs: DataFrame, *, language: str = "lang", bits: int = 17) -> Model:
     place = {name: i for i, name in enumerate(languages)}
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        both = np.zeros((len(place), (1 << bits) + len(SCRIPTS)))
+        both = np.zeros((len(place), (1 << bits) + len(SCRIPTS)), np.uint32)  # a task's counts stay far below
         for whole in batches:
             for batch in steps(whole, "text"):
                 words, offsets = split_words(batch.column("text"), lower=False)
@@ -117,22 +121,28 @@ def train(docs: DataFrame, *, language: str = "lang", bits: int = 17) -> Model:
                     continue
                 of_text = np.array([place[x] for x in batch.column("language").to_pylist()])
                 owner = np.repeat(of_text, np.diff(offsets))
-                uses = np.bincount(owner * len(distinct) + index, minlength=len(place) * len(distinct))
-                uses = uses.reshape(len(place), len(distinct))[:, kept]
-                letters = pc.utf8_length(clean).to_numpy(zero_copy_only=False)
-                script = scripts_of(clean)
-                for lang, n in enumerate(uses):
-                    both[lang, 1 << bits :] += np.bincount(script, n * letters, len(SCRIPTS))
-                for part in _some(clean, 1):
-                    for grams, bounds in features_of(clean[part.start : part.stop], bits):
-                        for lang, n in enumerate(uses):
-                            if n[part].any():
-                                both[lang, : 1 << bits] += np.bincount(grams, np.repeat(n[part], np.diff(bounds)), 1 << bits)
+                pairs, uses = np.unique(owner * len(distinct) + index, return_counts=True)
+                lang_of, word_of = np.divmod(pairs, len(distinct))
+                position = np.full(len(distinct), -1)
+                position[kept] = np.arange(len(kept))
+                word_of = position[word_of]
+                # Language by language, so that no table of languages x words is made.
+                for lang in np.unique(lang_of).tolist():
+                    mine = (lang_of == lang) & (word_of >= 0)
+                    own, n = clean.take(pa.array(word_of[mine])), uses[mine]
+                    if not len(own):
+                        continue
+                    letters = pc.utf8_length(own).to_numpy(zero_copy_only=False)
+                    both[lang, 1 << bits :] += np.bincount(scripts_of(own), n * letters, len(SCRIPTS)).astype(np.uint32)
+                    for part in _some(own, 1):
+                        for grams, bounds in features_of(own[part.start : part.stop], bits):
+                            uses_of = np.bincount(grams, np.repeat(n[part], np.diff(bounds)), 1 << bits)
+                            both[lang, : 1 << bits] += uses_of.astype(np.uint32)
         # Once per task: what is shuffled does not grow with the task's texts.
         for lang, row in enumerate(both):
             at = np.flatnonzero(row)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(at), lang, np.int32)), pa.array(at.astype(np.int32)), pa.array(row[at])],
+                [pa.array(np.full(len(at), lang, np.int32)), pa.array(at.astype(np.int32)), pa.array(row[at].astype(np.float64))],
                 ["lang", "at", "n"],
             )
 
@@ -175,6 +185,35 @@ def viterbi(scores: np.ndarray, offsets: np.ndarray, penalty: float) -> np.ndarr
     return labels
 
 
+def viterbi_in_slices(scores_of, length: int, labels: int, penalty: float, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """As ``viterbi`` for one long text, whose scores are made for ``size`` rows at a time.
+
+    The values are carried from slice to slice; what is kept of a row is a bit per label and the
+    best label before. ``scores_of(start, stop)`` gives scores, and which rows count; both are
+    returned: labels and whether they count.
+    """
+    value = np.zeros(labels, np.float32)
+    kept, source, counts = [], np.zeros(length, np.int32), np.zeros(length, bool)
+    for start in range(0, length, size):
+        scores, counts[start : start + size] = scores_of(start, min(start + size, length))
+        stays = np.zeros(scores.shape, bool)
+        for t, row in enumerate(scores):
+            best = int(value.argmax())
+            changed = value[best] - penalty
+            stays[t] = value >= changed
+            source[start + t] = best
+            value = np.where(stays[t], value, changed) + row
+        kept.append(np.packbits(stays, axis=1))
+    found, state = np.zeros(length, np.int64), int(value.argmax())
+    for start in reversed(range(0, length, size)):
+        stays = np.unpackbits(kept.pop(), axis=1, count=labels).astype(bool)
+        for t in range(len(stays) - 1, -1, -1):
+            found[start + t] = state
+            if not stays[t, state]:
+                state = int(source[start + t])
+    return found, counts
+
+
 def word_scores(words: pa.Array, model: Model) -> np.ndarray:
     """Score of each distinct, non-empty word in each language."""
     count = len(model.languages)
@@ -190,8 +229,9 @@ def word_scores(words: pa.Array, model: Model) -> np.ndarray:
     return scores.astype(np.float32)
 
 
-def predict(texts: pa.Array, model: Model, penalty: float, spans: bool) -> dict[str, pa.Array]:
-    """lang_pred, lang_score and, if asked for, lang_spans of each text."""
+def predict(texts: pa.Array, model: Model, penalty: float, spans: bool, most: int = _SCORES) -> dict[str, pa.Array]:
+    """lang_pred, lang_score and, if asked for, lang_spans of each text. One text of more than ``most``
+    scores (words x languages) is worked on in slices."""
     n = len(texts)
     words, offsets = split_words(texts, lower=False)
     distinct, index = numbered(words)
@@ -207,9 +247,18 @@ def predict(texts: pa.Array, model: Model, penalty: float, spans: bool) -> dict[
     share = np.zeros((n, count))
     labels = np.zeros(len(keep), np.int64)
     if count and len(used):
-        table = word_scores(used, model)
-        counts = table.any(1)[code]
-        labels = viterbi(table[code], bounds, penalty)
+        if n == 1 and len(code) * count > most:
+
+            def scores_of(start: int, stop: int) -> tuple[np.ndarray, np.ndarray]:
+                some, again = np.unique(code[start:stop], return_inverse=True)
+                table = word_scores(used.take(pa.array(some)), model)
+                return table[again], table.any(1)[again]
+
+            labels, counts = viterbi_in_slices(scores_of, len(code), count, penalty, max(1, most // count))
+        else:
+            table = word_scores(used, model)
+            counts = table.any(1)[code]
+            labels = viterbi(table[code], bounds, penalty)
         letters = pc.utf8_length(used).to_numpy(zero_copy_only=False)[code] * counts
         share = np.bincount(text_of * count + labels, letters, n * count).reshape(n, count)
     total = share.sum(1)
@@ -250,8 +299,9 @@ def label(docs: DataFrame, model: Model, *, penalty: float = 8.0, spans: bool =
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Model(**shared.value)
+        most = max(1 << 16, 4 * STEP_BYTES // max(4, len(own.languages)))  # the more languages, the fewer texts at once
         for whole in batches:
-            for batch in steps(whole, "text"):
+            for batch in steps(whole, "text", most):
                 new = predict(batch.column("text"), own, penalty, spans)
                 yield pa.RecordBatch.from_arrays([*batch.columns, *new.values()], [*batch.schema.names, *new])
 
