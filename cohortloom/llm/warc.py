@@ -14,13 +14,15 @@ Defined results: a null payload is empty; a null id is kept as null; equal rows
 give equal records, and an origin each of whose segments occurs m times is m
 records. Pages that repeat the smallest id are all responses. Only the named
 columns are read, so others may have any name. An incomplete or broken record
-is returned with its ``status`` and without payload, not dropped.
+is returned with its ``status`` and without payload, not dropped; so is one whose header holds
+no number where it should (``bad header``), and reading goes on at the next line that begins a record.
 """
 
 from __future__ import annotations
 
 import hashlib
 import io
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -33,6 +35,8 @@ from cohortloom.operators.joins import salted_join
 from cohortloom.operators.staging import staged
 
 _END = "\r\n\r\n"
+_LINE = 1 << 16  # bytes of a line outside a header that are looked at together
+_NUMBERS = ("content-length", "x-page-id", "x-refers-to-page-id", "warc-segment-number", "warc-segment-total-length")
 _ROWS = 2048  # rows per batch given back to Spark
 _SALTS = 16  # tasks over which the copies of one payload are spread
 
@@ -210,29 +214,42 @@ def _reassembled(segments: DataFrame, payloads: bool) -> DataFrame:
 def _scanned(path: str, payloads: bool) -> Iterator[dict]:
     """The records of one file; whole ones decoded, segments as they are."""
     stream = io.BufferedReader(open_stream(path, "gzip" if path.endswith(".gz") else None), 1 << 20)
-    while line := stream.readline():
-        if not line.strip():
-            continue
+    while line := stream.readline(_LINE):
+        if not line.startswith(b"WARC/"):
+            continue  # blank lines, and what is left of a record whose length was wrong
         fields: dict[str, str] = {}
         while (line := stream.readline()).strip():
             key, _, value = line.decode("utf-8", "replace").partition(":")
             fields[key.strip().lower()] = value.strip()
-        length = int(fields.get("content-length", 0))
-        block = stream.read(length)
         kind, name = fields.get("warc-type"), fields.get("warc-record-id")
-        page, back = (int(v) if (v := fields.get(k)) else None for k in ("x-page-id", "x-refers-to-page-id"))
+        number = {key: _number(fields.get(key)) for key in _NUMBERS if key in fields}
+        page = number.get("x-page-id")
+        counted = [v for key, v in number.items() if not key.startswith("x-") and v is not None]
+        if None in number.values() or "content-length" not in number or min(counted) < 0 or number.get("warc-segment-number", 0) >> 31:
+            # The next record is looked for behind this one's block, or from here on if that has no length.
+            stream.read(max(0, number.get("content-length") or 0))
+            yield _broken(name, page, kind, "bad header")
+            continue
+        length = number["content-length"]
+        block = stream.read(length)
         digest = fields.get("warc-payload-digest", "").removeprefix("sha256:")
         if "warc-segment-number" in fields:
-            total = fields.get("warc-segment-total-length")
             yield {
                 "record_id": fields.get("warc-segment-origin-id", name), "page_id": page,
                 "record_type": kind if kind != "continuation" else None, "payload_digest": digest or None,
-                "segment": int(fields["warc-segment-number"]), "total": int(total) if total else None, "block": block,
+                "segment": number["warc-segment-number"], "total": number.get("warc-segment-total-length"), "block": block,
             }
         elif len(block) < length:
             yield _broken(name, page, kind, "wrong length")
         elif kind in ("response", "revisit"):
-            yield _decoded(name, page, kind, back, digest, block, payloads)
+            yield _decoded(name, page, kind, number.get("x-refers-to-page-id"), digest, block, payloads)
+
+
+def _number(text: str | None) -> int | None:
+    """A header's decimal number; None if it is none, or too large for its column."""
+    found = re.fullmatch(r"-?[0-9]{1,19}", text or "")
+    value = int(found[0]) if found else None
+    return value if value is not None and -(1 << 63) <= value < 1 << 63 else None
 
 
 def _broken(name, page_id, kind, status: str) -> dict:
@@ -247,9 +264,11 @@ def _decoded(name, page_id, kind, refers_to, digest: str, block: bytes, payloads
         for k, _, v in (x.partition(":") for x in head.decode("latin-1").split("\r\n")[1:])
     )
     if kind == "revisit":
+        if (stated := _number(fields.get("content-length", "0"))) is None:
+            return _broken(name, page_id, kind, "bad header")
         return {
             "record_id": name, "page_id": page_id, "record_type": kind, "refers_to": refers_to, "status": "ok",
-            "payload_bytes": int(fields.get("content-length", 0)), "payload_digest": digest,
+            "payload_bytes": stated, "payload_digest": digest,
         }
     if fields.get("transfer-encoding", "").lower() == "chunked":
         body = unchunked(body)
