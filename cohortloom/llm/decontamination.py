@@ -1,11 +1,14 @@
 """Benchmark contamination by templates: also questions asked again with other numbers or names.
 
-A token is lower-cased and freed of outer punctuation; numbers, units after a number
+A token is lower-cased and freed of outer punctuation; in scripts without spaces each character is
+a token. Numbers, in digits or as a word of ``NUMBER_WORDS``, units after a number
 and names (capitalised words inside a sentence) become typed placeholders. Windows
 of ``window`` template tokens with at least ``literals`` plain words are hashed and
 joined between documents and benchmark. Aligned windows of a document and an item
 are one match if their slots agree: the same benchmark value always stands for the same
-document value. With ``verbatim`` (as the registered query and the pipeline ask), windows whose
+document value. Words put into or left out of a copy shift what follows, so the alignments of a document and an item
+that match different places of the item are pieces of one copy, whose slots must agree together; where a place of
+the item is matched twice, there are several copies, and each alignment is looked at by itself. With ``verbatim`` (as the registered query and the pipeline ask), windows whose
 slots all equal the item's match whatever conflicts elsewhere. A document is contaminated by an item if its consistent matches cover
 ``tokens`` benchmark tokens in aligned windows (or the whole item, if shorter).
 
@@ -47,6 +50,15 @@ UNITS = (
     "kilometer kilometers kilometre kilometres centimeter centimeters"
 ).split()
 
+#: Numbers as words.
+NUMBER_WORDS = (
+    "zero two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen "
+    "nineteen twenty thirty forty fifty sixty seventy eighty ninety hundred thousand million billion dozen"
+).split()
+
+#: Characters of scripts that are written without spaces.
+_UNSPACED = r"([\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}])"
+
 _NUMBER, _UNIT, _NAME, _AMOUNT = (np.uint64(x) for x in (11, 13, 17, 19))
 _LITERAL = np.uint64(1 << 32)  # sets hashes of tokens as written apart
 _BITS = 22  # 2**22 bits: the size of the bit table
@@ -70,6 +82,9 @@ def templates(texts: pa.Array, inside: bool = False) -> Tokens:
 
     A text's first token opens a sentence, or does not if the text stands ``inside`` one.
     """
+    unspaced = pc.match_substring_regex(texts, _UNSPACED)
+    if pc.any(unspaced).as_py():
+        texts = pc.if_else(unspaced, pc.replace_substring_regex(texts, _UNSPACED, r" \1 "), texts)
     words, bounds = split_words(texts, lower=False)
     raw, index = numbered(words)
     core = pc.replace_substring_regex(raw, _OUTER, "")
@@ -79,7 +94,7 @@ def templates(texts: pa.Array, inside: bool = False) -> Tokens:
         return values.to_numpy(zero_copy_only=False).astype(bool)[index]
 
     full = flag(pc.greater(pc.binary_length(core), 0))
-    number = flag(pc.match_substring_regex(core, r"^\p{N}+([.,:/]\p{N}+)*$"))
+    number = flag(pc.or_(pc.match_substring_regex(core, r"^\p{N}+([.,:/]\p{N}+)*$"), pc.is_in(lower, value_set=pa.array(NUMBER_WORDS))))
     amount = flag(pc.match_substring_regex(core, r"^\p{N}+([.,]\p{N}+)*\p{L}{1,3}$"))
     title = flag(pc.match_substring_regex(core, r"^\p{Lu}[\p{Ll}'’-]+$"))
     unit = flag(pc.is_in(lower, value_set=pa.array(UNITS)))
@@ -226,11 +241,21 @@ def contaminated(
         asked = F.broadcast(asked)
     pairs = F.arrays_zip("item_slots", F.when(F.col("literal"), F.col("item_slots")).otherwise(F.col("slots")).alias("slots"))
     of_item = ["row", "id", "text_key", "item", "item_id", "item_tokens"]
-    aligned = (
+    place = F.struct(F.col("item_at").alias("at"), "size", pairs.alias("pairs"))
+    shifts = (
         hits.drop("n_tokens", "size", "literal")
         .join(asked, "hash")
-        .groupBy(*of_item, "size", (F.col("at") - F.col("item_at")).alias("shift"))
-        .agg(F.collect_list(F.struct(F.col("item_at").alias("at"), pairs.alias("pairs"))).alias("windows"))
+        .groupBy(*of_item, (F.col("at") - F.col("item_at")).alias("shift"))
+        .agg(F.collect_list(place).alias("windows"))
+    )
+    # All that follows is grouped by document row and item first, so it needs no further shuffle.
+    per_copy = shifts.groupBy(*of_item).agg(F.collect_list(F.struct("shift", "windows")).alias("shifts"))
+    matched = F.flatten(F.transform("shifts", lambda s: F.array_distinct(F.transform(s["windows"], lambda w: F.struct(w["at"], w["size"])))))
+    aligned = (
+        per_copy.withColumn("copies", F.size(matched) > F.size(F.array_distinct(matched)))
+        .withColumn("a", F.explode("shifts"))
+        .groupBy(*of_item, F.when(F.col("copies"), F.col("a.shift")).alias("shift"))
+        .agg(F.flatten(F.collect_list("a.windows")).alias("windows"))
         .withColumn("pairs", F.array_distinct(F.flatten("windows.pairs")))
         .withColumn("values", F.array_sort("pairs.item_slots"))
         # Benchmark values that stand for several document values.
@@ -242,18 +267,17 @@ def contaminated(
 
     if verbatim:
         kept = F.filter("windows", lambda w: same(w["pairs"]) | ~F.arrays_overlap(w["pairs"]["item_slots"], "unsure"))
-        consistent = aligned.withColumn("windows", kept).where(F.size("windows") > 0)
+        consistent = aligned.withColumn("windows", kept)
     else:
         consistent = aligned.where(F.size("unsure") == 0)
-    places = F.array_distinct(F.flatten(F.collect_list("windows.at")))
-    per_item = consistent.groupBy(*of_item, "size").agg(places.alias("places"), F.bool_and(same(F.col("pairs"))).alias("exact"))
+    # A size of windows by itself covers the item or not.
+    each = consistent.withColumn("exact", same(F.col("pairs"))).withColumn("w", F.explode("windows"))
+    of_size = each.groupBy(*of_item, "shift", "w.size").agg(F.collect_set("w.at").alias("places"), F.bool_and("exact").alias("exact"))
     covered = F.array_distinct(F.flatten(F.transform("places", lambda at: F.sequence(at, at + F.col("size") - 1))))
     enough = F.least(F.col("item_tokens"), F.lit(tokens))
-    return per_item.where(F.size(covered) >= enough).select(
-        F.col("id").alias("doc_id"),
-        "text_key",
-        "item_id",
-        F.size("places").cast("long").alias("matched_windows"),
-        (F.col("item_tokens") - F.col("size") + 1).alias("item_windows"),
-        "exact",
+    per_item = of_size.where(F.size(covered) >= enough).groupBy(*of_item).agg(
+        F.size(F.array_distinct(F.flatten(F.collect_list("places")))).cast("long").alias("matched_windows"),
+        F.max(F.col("item_tokens") - F.col("size") + 1).alias("item_windows"),
+        F.bool_and("exact").alias("exact"),
     )
+    return per_item.select(F.col("id").alias("doc_id"), "text_key", "item_id", "matched_windows", "item_windows", "exact")
