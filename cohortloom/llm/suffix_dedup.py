@@ -352,7 +352,9 @@ def repeated_cuts(docs: DataFrame, *, length: int = 100, gram: int = 40, most: i
     anchors = staged(anchor_rows(docs, length, gram), "anchors")
     live = anchors.where("NOT again")
     keys = live.groupBy("key").agg(F.count(F.lit(1)).alias("n"), (F.min("ctx") < F.max("ctx")).alias("several"))
-    shared = staged(live.drop("again").join(keys.where("n > 1").select("key", "several"), "key"), "shared-anchors")
+    # Written first, so that the shuffle of the counts is gone when the rows themselves are shuffled.
+    keys = staged(keys.where("n > 1").select("key", "several"), "shared-grams")
+    shared = staged(live.drop("again").join(keys, "key"), "shared-anchors")
     classes = shared.groupBy("key", "ctx").agg(F.min("ord").alias("first"), F.count(F.lit(1)).alias("n"))
     classed = shared.join(classes, ["key", "ctx"])
     rows = staged(
