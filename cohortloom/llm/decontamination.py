@@ -37,7 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortloom.llm.common import mixed, numbered, split_words, steps, string_hashes, text_key
+from cohortloom.llm.common import STEP_BYTES, mixed, numbered, split_words, steps, string_hashes, text_key
 from cohortloom.operators import sizing
 from cohortloom.operators.staging import staged
 
@@ -145,7 +145,7 @@ def _windows(
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, rows = TaskContext.get().partitionId() << 40, 0
         for whole in batches:
-            for batch in steps(whole, "text"):
+            for batch in steps(whole, "text", STEP_BYTES // 2):
                 opened = templates(batch.column("text"))
                 forms_of_text = [opened, templates(batch.column("text"), inside=True)] if quoted else [opened]
                 bounds = opened.bounds
