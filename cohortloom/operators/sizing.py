@@ -5,9 +5,9 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, StructField, StructType
 
 MAX_ROWS = 2_000_000
 MAX_BYTES = 256 * 1024 * 1024
@@ -17,21 +17,20 @@ MAX_TOTAL_BYTES = 512 * 1024 * 1024
 def measured(frames: Mapping[str, DataFrame]) -> dict[str, tuple[int, int]]:
     """Rows and approximate bytes of each frame, in one Spark job.
 
-    Only for lookup tables: every frame is read in full, its text by length.
+    Only for lookup tables: every frame is read in full, text and binaries by length, and
+    arrays, maps and structs by their length as JSON.
     """
     parts = []
     for name, df in frames.items():
-        text = [
-            F.coalesce(F.octet_length(f.name), F.lit(0))
-            for f in df.schema.fields
-            if isinstance(f.dataType, StringType)
+        content = [
+            F.coalesce(F.octet_length(c), F.lit(0)).cast("long") for c in map(_content, df.schema.fields) if c is not None
         ]
-        width = reduce(lambda a, b: a + b, text, F.lit(16 * len(df.columns)))
+        width = reduce(lambda a, b: a + b, content, F.lit(16 * len(df.columns)).cast("long"))
         parts.append(
             df.agg(
                 F.lit(name).alias("name"),
                 F.count(F.lit(1)).alias("n"),
-                F.coalesce(F.sum(width.cast("long")), F.lit(0)).alias("bytes"),
+                F.coalesce(F.sum(width), F.lit(0).cast("long")).alias("bytes"),
             )
         )
     if not parts:
@@ -40,6 +39,15 @@ def measured(frames: Mapping[str, DataFrame]) -> dict[str, tuple[int, int]]:
     return {r["name"]: (r["n"], r["bytes"]) for r in rows}
 
 
+def _content(column: StructField) -> Column | None:
+    """What has no fixed width, as text or bytes."""
+    if isinstance(column.dataType, (StringType, BinaryType)):
+        return F.col(f"`{column.name}`")
+    if isinstance(column.dataType, (ArrayType, MapType, StructType)):
+        return F.to_json(F.struct(F.col(f"`{column.name}`").alias("c")))
+    return None
+
+
 def broadcastable(
     frames: Mapping[str, DataFrame],
     max_rows: int = MAX_ROWS,
