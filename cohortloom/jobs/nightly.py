@@ -40,7 +40,7 @@ def build(tables: Tables, run: Run, out: str, spec: ReportSpec = DEFAULT, **opti
     """Store the report; ``options`` are those of ``plans.report.report``."""
     with run_folder(SparkSession.active()):  # staged names and ids do not outlive the job
         inputs = plan.sized(Inputs(tables, run, spec))
-        replace_report(plan.report(inputs, **options), out, run.sites)
+        replace_report(plan.report(inputs, **options), out, run.sites, unique=True)
 
 
 def main(argv: Sequence[str] | None = None) -> None:

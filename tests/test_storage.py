@@ -14,6 +14,7 @@ from cohortloom.operators.staging import run_folder, shared_folder, staged
 from cohortloom.plans import report as plan
 from cohortloom.plans import streams
 from cohortloom.sinks.report_table import read_report, replace_report
+from cohortloom.sinks.versions import VersionedFolder
 from cohortloom.sources.loader import Tables
 from clinic import Clinic
 
@@ -142,6 +143,15 @@ def test_sizes_are_measured_before_a_broadcast(spark):
     assert sizing.broadcastable(frames, max_total=10_700) == {"small", "wide"}
 
 
+def test_arrays_and_binaries_are_measured_by_content(spark):
+    rows = spark.range(100).select("id", F.array_repeat(F.lit(123456789), 1000).alias("numbers"))
+    packed = spark.range(100).select(F.repeat(F.lit("x"), 5000).cast("binary").alias("raw"))
+    nested = spark.range(100).select(F.struct(F.repeat(F.lit("x"), 5000).alias("t"), "id").alias("s"))
+    sizes = sizing.measured({"rows": rows, "packed": packed, "nested": nested})
+    assert all(size > 100 * 4000 for _, size in sizes.values())
+    assert sizing.broadcastable({"rows": rows, "packed": packed}, max_bytes=400_000) == frozenset()
+
+
 def test_first_build_of_a_table_keeps_to_its_sites(spark):
     replace_report(plan.report(two_sites().inputs(spark, sites=None)), "first_report", (640,))
     assert {row[0] for row in stored(spark, "first_report")} == {640}
@@ -179,3 +189,75 @@ def test_nightly_job(spark, tmp_path):
     assert {row[0] for row in stored(spark, str(tmp_path / "out"))} == {612, 640}
     nightly.main([*run, "--place", f"health_factor={tmp_path}/in/lab_chem/../health_factor"])
     assert {row[0] for row in stored(spark, str(tmp_path / "out"))} == {612, 640}
+
+
+class Dies(Exception):
+    pass
+
+
+def test_a_reader_sees_the_old_or_the_new_rows_only(spark, tmp_path):
+    folder = str(tmp_path / "report")
+    clinic = two_sites()
+    replace_report(plan.report(clinic.inputs(spark, sites=None)), folder)
+    opened = read_report(spark, folder)  # a reader that began before the rebuild
+    before = stored(spark, folder)
+    clinic.factor("NEW", "WH MAMMOGRAM").factor("NEW", "WH MAMMOGRAM", Sta3n=640)
+    replace_report(plan.report(clinic.inputs(spark, sites=None)), folder, (612, 640))
+    after = stored(spark, folder)
+    assert {tuple(r) for r in opened.collect()} == before and len(after) == len(before) + 2
+    assert "Aggregate" not in read_report(spark, folder)._jdf.queryExecution().optimizedPlan().toString()
+
+
+@pytest.mark.parametrize("stage", ["rows", "log"])
+def test_a_killed_rebuild_changes_nothing(spark, tmp_path, monkeypatch, stage):
+    folder = str(tmp_path / "report")
+    clinic = two_sites()
+    replace_report(plan.report(clinic.inputs(spark, sites=None)), folder)
+    before = stored(spark, folder)
+    clinic.factor("NEW", "WH MAMMOGRAM")
+    store = VersionedFolder(spark, folder, "Sta3n")
+
+    if stage == "rows":  # after some partitions have been written
+
+        def add(self, number, entry):
+            raise Dies
+
+        monkeypatch.setattr(VersionedFolder, "_add", add)
+        with pytest.raises(Dies):
+            replace_report(plan.report(clinic.inputs(spark, sites=None)), folder, (612, 640))
+        monkeypatch.undo()
+    else:  # in the middle of the log file
+        (tmp_path / "report" / "log" / f"{store.numbers()[0] + 1:020d}.json").write_text('{"partitions": {"612"')
+    assert stored(spark, folder) == before
+    replace_report(plan.report(clinic.inputs(spark)), folder, (612,))
+    assert len(stored(spark, folder)) == len(before) + 1
+    gone = store.drop_old(keep=1)
+    assert bool(gone) == (stage == "rows") and len(stored(spark, folder)) == len(before) + 1
+
+
+def test_two_writers_of_different_sites_both_count(spark, tmp_path, monkeypatch):
+    folder = str(tmp_path / "report")
+    clinic = two_sites()
+    replace_report(plan.report(clinic.inputs(spark, sites=None)), folder)
+    clinic.factor("NEW", "WH MAMMOGRAM").factor("NEW", "WH MAMMOGRAM", Sta3n=640)
+    first, add = [], VersionedFolder._add
+
+    def late(self, number, entry):
+        if not first:  # the other site's writer comes in between
+            first.append(number)
+            replace_report(plan.report(clinic.inputs(spark, sites=(640,))), folder, (640,))
+        return add(self, number, entry)
+
+    monkeypatch.setattr(VersionedFolder, "_add", late)
+    replace_report(plan.report(clinic.inputs(spark)), folder, (612,))
+    monkeypatch.undo()
+    assert {(r[0], r[5]) for r in stored(spark, folder)} == {(612, "HFT X"), (612, "HFT NEW"), (640, "HFT X"), (640, "HFT NEW")}
+
+
+def test_repeated_rows_are_stored_once_and_old_folders_are_read(spark, tmp_path):
+    rows = plan.report(two_sites().inputs(spark, sites=None))
+    replace_report(rows.unionByName(rows), str(tmp_path / "twice"))
+    assert read_report(spark, str(tmp_path / "twice")).count() == rows.count()
+    old = plan.client_names(rows)
+    old.unionByName(old).write.partitionBy("Sta3n").parquet(str(tmp_path / "old"))
+    assert stored(spark, str(tmp_path / "old")) == stored(spark, str(tmp_path / "twice"))
