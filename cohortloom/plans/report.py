@@ -22,6 +22,8 @@ _SHOWN = ["label", "detail", "code1", "code2", "flag"]
 def enrolled(inputs: streams.Inputs) -> DataFrame:
     """Enrollment rows with the enrolled status: site and person, repeats kept."""
     t, spec = inputs.tables, inputs.spec
+    if spec.switches.enrollment != "any":
+        return _enrolled_by_rule(inputs)
     status = (
         t["enrollment_status"]
         .where(F.col("EnrollmentCategory") == spec.enrolled_category)
@@ -34,6 +36,38 @@ def enrolled(inputs: streams.Inputs) -> DataFrame:
     )
 
 
+def _enrolled_by_rule(inputs: streams.Inputs) -> DataFrame:
+    """Persons whose every, or whose newest, enrollment row has the enrolled status. Of
+    rows with one time an enrolled one is the newer; without any time, any row decides."""
+    t, spec, keys = inputs.tables, inputs.spec, ["Sta3n", "PatientSID"]
+    status = t["enrollment_status"].select("EnrollmentStatusSID", "Sta3n", "EnrollmentCategory").distinct()
+    rows = t["enrollment"].join(
+        inputs.lookup("enrollment_status", status), ["EnrollmentStatusSID", "Sta3n"], "left"
+    )
+    held = F.coalesce(F.col("EnrollmentCategory") == spec.enrolled_category, F.lit(False))
+    if spec.switches.enrollment == "every":
+        decided = F.bool_and(held)
+    else:
+        decided = F.max(F.struct("EnrollmentDateTime", held.alias("held")))["held"]
+    return rows.groupBy(*keys).agg(decided.alias("held")).where("held").select(*keys)
+
+
+def _in_region(inputs: streams.Inputs, persons: DataFrame) -> DataFrame:
+    """``persons`` without those whose newest address has been out of the region for longer
+    than the rule allows. Of addresses with one time, one in the region is the newer."""
+    years = inputs.spec.switches.region_years
+    if years is None:
+        return persons
+    keys = ["Sta3n", "PatientSID"]
+    inside = F.coalesce("InRegion", F.lit(True)).alias("inside")
+    newest = inputs.tables["address"].groupBy(*keys).agg(
+        F.max(F.struct("ChangedDateTime", inside)).alias("newest")
+    )
+    long_ago = F.col("newest.ChangedDateTime") < x.cutoff(inputs.run.as_of, years)
+    gone = newest.where(~F.col("newest.inside") & long_ago).select(*keys)
+    return persons.join(gone, keys, "left_anti")
+
+
 def eligible_persons(inputs: streams.Inputs, repeats: bool = False) -> DataFrame:
     """Persons the report may show. ``repeats`` gives a person once per
     enrolled row, which only a rank over the joined rows can notice."""
@@ -44,6 +78,7 @@ def eligible_persons(inputs: streams.Inputs, repeats: bool = False) -> DataFrame
         & (F.col("Gender") == spec.gender)
         & p.other_than(F.col("DeceasedFlag"), spec.deceased_flag)
     )
+    persons = _in_region(inputs, persons)
     keys = ["Sta3n", "PatientSID"]
     rows = enrolled(inputs)
     # Distinct before a semi-join: its map-side half removes a person's repeats

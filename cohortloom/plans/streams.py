@@ -252,6 +252,8 @@ def selected_procedures(inputs: Inputs, sections: Sequence[Section]) -> DataFram
 
 def described(inputs: Inputs, rows: DataFrame) -> DataFrame:
     """``rows`` of diagnosis ids with the descriptions, where there are any, as code1 and code2."""
+    if inputs.spec.switches.newest_description:
+        return _described_as_of(inputs, rows)
     icd10 = inputs.tables["icd10_description"].select("Sta3n", "ICD10SID", "ICD10Description")
     icd9 = inputs.tables["icd9_description"].select("Sta3n", "ICD9SID", "ICD9Description")
     return (
@@ -262,6 +264,26 @@ def described(inputs: Inputs, rows: DataFrame) -> DataFrame:
     )
 
 
+def _described_as_of(inputs: Inputs, rows: DataFrame) -> DataFrame:
+    """As ``described``, with one description per id: of its versions, the newest that was in effect
+    on the day of the event; a version without a time always was. The versions of an id are one
+    row, so the join keeps a row per row and is as broadcastable as the table was."""
+    for name, key, text, code, prefix in (
+        ("icd10_description", "ICD10SID", "ICD10Description", "code1", "ICD10 "),
+        ("icd9_description", "ICD9SID", "ICD9Description", "code2", "ICD9 "),
+    ):
+        version = F.struct(x.day(F.col("EffectiveDateTime")).alias("since"), F.col(text).alias("text"))
+        versions = inputs.tables[name].groupBy("Sta3n", key).agg(
+            F.array_sort(F.collect_set(version)).alias("versions")  # those without a time first
+        )
+        day = x.day(F.col("event_ts"))
+        known = F.filter("versions", lambda v: v["since"].isNull() | (v["since"] <= day))  # noqa: B023
+        newest = F.get(known, F.size(known) - 1)["text"]
+        rows = rows.join(inputs.lookup(name, versions), ["Sta3n", key], "left")
+        rows = rows.withColumn(code, x.labelled(prefix, newest)).drop("versions")
+    return rows
+
+
 def procedures(inputs: Inputs) -> DataFrame:
     sections = [s for s in inputs.spec.sections if s.procedures]
     with_exam = [s for s in sections if s.needs_exam]
@@ -313,6 +335,44 @@ def _with_exam_results(inputs: Inputs, rows: DataFrame, all_need: bool) -> DataF
 
 
 def observations(inputs: Inputs) -> DataFrame:
+    """Coded observations, without those that are states, which are a stream of their own."""
+    lasting = inputs.spec.switches.states
+    types = _factor_types(inputs)
+    if lasting:
+        types = types.where(F.col("flag").isNull() | ~F.col("flag").isin(*lasting))
+    rows = (
+        inputs.recent(inputs.tables["health_factor"], F.col("HealthFactorDateTime"))
+        .join(inputs.lookup("health_factor_type", types), "HealthFactorTypeSID")
+        .withColumn("event_ts", inputs.grain.when(F.col("HealthFactorDateTime")))
+        .withColumn("detail", F.col("Comments"))
+        .withColumn("code2", x.no_text())
+    )
+    rows = inputs.of_persons(rows, "HealthFactorDateTime", "label", "detail")
+    return _event(inputs, rows, F.col("HealthFactorDateTime"))
+
+
+def states(inputs: Inputs) -> DataFrame:
+    """A person's newest event of each lasting flag, over all years: from the full table where it is
+    given, and whatever look-back the other streams have. Only the newest row of a person and
+    state leaves a task, so a person with many costs no more."""
+    t = inputs.tables
+    types = _factor_types(inputs).where(F.col("flag").isin(*inputs.spec.switches.states))
+    history = t["health_factor_history" if "health_factor_history" in t else "health_factor"]
+    rows = history.join(inputs.lookup("health_factor_type", types), "HealthFactorTypeSID")
+    shown = F.struct(F.col("HealthFactorDateTime").alias("at"), "label", F.col("Comments").alias("detail"), "code1")
+    rows = (
+        rows.groupBy("section", *_PERSON, "flag")
+        .agg(F.max(shown).alias("newest"))
+        .select("section", *_PERSON, "flag", "newest.*")
+        .withColumn("event_ts", inputs.grain.when(F.col("at")))
+        .withColumn("code2", x.no_text())
+    )
+    rows = inputs.of_persons(rows, "at", "label", "detail")
+    return _event(inputs, rows, F.col("at"), F.col("flag"))
+
+
+def _factor_types(inputs: Inputs) -> DataFrame:
+    """The observation types of each section: label, category and flag."""
     sections = [s for s in inputs.spec.sections if s.observations]
     kind, category = F.col("HealthFactorType"), F.col("HealthFactorCategory")
     label, code1 = x.labelled("HFT ", kind), x.labelled("HFC ", category)
@@ -329,7 +389,7 @@ def observations(inputs: Inputs) -> DataFrame:
             return F.coalesce(bare, p.flag(label, s.observation_flags))
         return bare
 
-    types = classified(
+    return classified(
         inputs.tables["health_factor_type"],
         sections,
         selects,
@@ -337,15 +397,6 @@ def observations(inputs: Inputs) -> DataFrame:
         code1=lambda s: code1,
         flag=flagged,
     ).select("HealthFactorTypeSID", "section", "label", "code1", "flag")
-    rows = (
-        inputs.recent(inputs.tables["health_factor"], F.col("HealthFactorDateTime"))
-        .join(inputs.lookup("health_factor_type", types), "HealthFactorTypeSID")
-        .withColumn("event_ts", inputs.grain.when(F.col("HealthFactorDateTime")))
-        .withColumn("detail", F.col("Comments"))
-        .withColumn("code2", x.no_text())
-    )
-    rows = inputs.of_persons(rows, "HealthFactorDateTime", "label", "detail")
-    return _event(inputs, rows, F.col("HealthFactorDateTime"))
 
 
 def labs(inputs: Inputs) -> DataFrame:
@@ -509,6 +560,7 @@ BUILDERS: dict[str, Callable[[Inputs], DataFrame]] = {
     "labs": labs,
     "cytology": cytology,
     "surgical": surgical,
+    "states": states,
 }
 
 _NEEDS: dict[str, Callable[[Section], object]] = {
@@ -517,6 +569,7 @@ _NEEDS: dict[str, Callable[[Section], object]] = {
     "labs": lambda s: s.labs,
     "cytology": lambda s: s.topography,
     "surgical": lambda s: s.specimens,
+    "states": lambda s: s.observations,
 }
 
 
@@ -540,7 +593,8 @@ def with_selections(inputs: Inputs) -> Inputs:
 
 def present(spec: ReportSpec) -> list[str]:
     """Streams that at least one section of ``spec`` selects from."""
-    return [n for n, needs in _NEEDS.items() if any(needs(s) for s in spec.sections)]
+    found = [n for n, needs in _NEEDS.items() if any(needs(s) for s in spec.sections)]
+    return found if spec.switches.states else [n for n in found if n != "states"]
 
 
 def ranked(inputs: Inputs, stream: str, latest_only: bool = False) -> DataFrame:

@@ -73,6 +73,18 @@ SOURCES: dict[str, str] = {
     "enrollment_status": "EnrollmentStatusSID long, Sta3n int, EnrollmentCategory string",
 }
 
+# Tables and columns of our own naming that corrections use where a station has them. A table
+# that is not given is not read; a column a source lacks reads as NULL.
+OPTIONAL_TABLES: dict[str, str] = {
+    "health_factor_history": SOURCES["health_factor"],  # all years, where health_factor has some
+    "address": "Sta3n int, PatientSID long, InRegion boolean, ChangedDateTime timestamp_ntz",
+}
+OPTIONAL_COLUMNS: dict[str, str] = {
+    "icd10_description": "EffectiveDateTime timestamp_ntz",  # of a version of the description
+    "icd9_description": "EffectiveDateTime timestamp_ntz",
+    "enrollment": "EnrollmentDateTime timestamp_ntz",
+}
+
 # Tables small enough in practice to be join lookups; their size is still
 # measured before any broadcast (operators/sizing.py).
 DIMENSIONS: tuple[str, ...] = (
@@ -119,7 +131,12 @@ CLIENT_NAMES: dict[str, str] = {
 
 def struct(table: str) -> StructType:
     """The schema of one source table."""
-    return StructType.fromDDL(SOURCES[table])
+    return StructType.fromDDL(SOURCES.get(table) or OPTIONAL_TABLES[table])
+
+
+def optional(table: str) -> StructType:
+    """The columns one source table may have besides."""
+    return StructType.fromDDL(OPTIONAL_COLUMNS[table]) if table in OPTIONAL_COLUMNS else StructType()
 
 
 def columns(table: str) -> list[str]:

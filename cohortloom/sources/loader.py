@@ -34,7 +34,7 @@ class Tables(Mapping[str, DataFrame]):
         format: str = "parquet",
         options: Mapping[str, str] | None = None,
     ):
-        unknown = set(places) - set(schemas.SOURCES)
+        unknown = set(places) - set(schemas.SOURCES) - set(schemas.OPTIONAL_TABLES)
         if unknown:
             raise ValueError(f"unknown tables: {sorted(unknown)}")
         self._spark = spark
@@ -71,8 +71,10 @@ class Tables(Mapping[str, DataFrame]):
         if self._sites is not None and "Sta3n" in schemas.columns(name):
             df = df.where(site_is(self._sites))
         found = {f.name: f.dataType for f in df.schema.fields}
+        extra = schemas.optional(name).fields
         return df.selectExpr(
-            *[self._column(f, found.get(f.name)) for f in schemas.struct(name).fields]
+            *[self._column(f, found.get(f.name)) for f in schemas.struct(name).fields],
+            *[self._column(f, found[f.name]) if f.name in found else _unknown(f) for f in extra],
         )
 
     def _frame(self, place: Place) -> DataFrame:
@@ -93,6 +95,10 @@ class Tables(Mapping[str, DataFrame]):
         return f"CAST({name} AS {wanted.dataType.simpleString()}) AS {name}"
 
 
+def _unknown(wanted) -> str:
+    return f"CAST(NULL AS {wanted.dataType.simpleString()}) AS {wanted.name}"
+
+
 def site_is(sites: tuple[int, ...]) -> Column:
     """Site filter on the stored column, so that partitions are pruned."""
     return F.col("Sta3n") == sites[0] if len(sites) == 1 else F.col("Sta3n").isin(*sites)

@@ -73,6 +73,14 @@ class Switches:
     lookback_all: bool = False  # apply the look-back to the event time of every stream
     keep_partial_labels: bool = False  # a missing half does not void a two-part label
     drop_missing_ids: bool = False  # visit ids <= 0 mean "unknown" and never join
+    newest_description: bool = False  # of a diagnosis's description versions, the newest at the event
+    enrollment: str = "any"  # enrolled by any row, by "every" row, or by the "newest" dated row
+    states: tuple[str, ...] = ()  # flags that last: a person's newest event of each, from all years
+    region_years: int | None = None  # persons who left the region longer ago are not shown
+
+    def __post_init__(self):
+        if self.enrollment not in ("any", "every", "newest"):
+            raise ValueError(f"unknown rule of enrollment: {self.enrollment}")
 
 
 @dataclass(frozen=True)

@@ -43,6 +43,12 @@ SPEC = ReportSpec(
     )
 )
 
+#: Factors since then are what the analogue's smaller table of factors holds.
+RECENT = "2024-01-16 00:00:00"
+
+_STATUS = """CASE WHEN o_orderstatus = 'F' THEN 1 WHEN o_orderstatus = 'O' THEN 2
+                  WHEN o_orderpriority = '1-URGENT' THEN 4 ELSE 3 END"""
+
 EXAM_CODES = [
     (1, "BI-RADS CATEGORY 0"),
     (2, "BI-RADS CATEGORY 1"),
@@ -137,6 +143,37 @@ class Analogue:
         """Each row once per region, as per-site dimensions have it."""
         return df.withColumn("Sta3n", F.expr("explode(sequence(0, 4))"))
 
+    def corrected(self, *names: str) -> Tables:
+        """The sources, of which ``names`` have what corrections read: description versions, dated
+        enrollments, a full history beside recent factors, addresses."""
+        suppliers = self.suppliers()
+        versions = suppliers.selectExpr(
+            "s_suppkey AS ICD10SID", "Sta3n", "s_name AS ICD10Description",
+            "TIMESTAMP_NTZ '1996-06-01 00:00:00' AS EffectiveDateTime",
+        ).unionByName(
+            suppliers.where("s_suppkey % 2 = 0").selectExpr(
+                "s_suppkey AS ICD10SID", "Sta3n", "s_name || ' II' AS ICD10Description",
+                "TIMESTAMP_NTZ '1999-01-01 08:00:00' AS EffectiveDateTime",
+            )
+        )
+        plain = self.tables()
+        places = {name: plain[name] for name in plain}
+        dated = self.orders().selectExpr(
+            "Sta3n", "PatientSID", f"{_STATUS} AS EnrollmentStatusSID", "o_orderdate AS EnrollmentDateTime"
+        )
+        moves = self.orders().selectExpr(
+            "Sta3n", "PatientSID", "o_orderpriority NOT IN ('2-HIGH', '3-MEDIUM') AS InRegion",
+            "o_orderdate - INTERVAL 2 YEARS AS ChangedDateTime",
+        )
+        richer = {
+            "icd10_description": versions,
+            "enrollment": dated,
+            "health_factor_history": plain["health_factor"],
+            "health_factor": plain["health_factor"].where(f"HealthFactorDateTime > TIMESTAMP_NTZ '{RECENT}'"),
+            "address": moves,
+        }
+        return Tables(self._spark, places | {name: richer[name] for name in names})
+
     def tables(self, **more) -> Tables:
         who = ["Sta3n", "PatientSID"]
         taken = "CASE WHEN o_orderstatus != 'P' THEN o_orderdate END AS DateTimeSpecimenTaken"
@@ -264,9 +301,7 @@ class Analogue:
             ),
             "enrollment": lambda: self.orders().selectExpr(
                 *who,
-                """CASE WHEN o_orderstatus = 'F' THEN 1 WHEN o_orderstatus = 'O' THEN 2
-                        WHEN o_orderpriority = '1-URGENT' THEN 4 ELSE 3 END
-                   AS EnrollmentStatusSID""",
+                f"{_STATUS} AS EnrollmentStatusSID",
             ),
             "enrollment_status": lambda: self.per_site(
                 self.inline(

@@ -208,6 +208,75 @@ SOURCES |= {
 }
 
 
+_ENROLLED = """JOIN visits o ON o.o_custkey = p.c_custkey AND o.site = p.site"""
+_WHO = "o.o_orderstatus = 'P' AND o.o_orderpriority = '1-URGENT'"
+
+
+def _report_of(events: str, enrolled: str, more: str = "TRUE") -> str:
+    """The report's rows from other events, other enrolled persons, and a further condition."""
+    text = SOURCES["report_rows"].replace("all_events e", f"{events} e").replace("e.recency", "1 AS recency")
+    return text.replace(_ENROLLED, f"JOIN {enrolled} o ON o.o_custkey = p.c_custkey AND o.site = p.site").replace(_WHO, more)
+
+
+_HELD = f"CASE WHEN {_WHO.replace('o.', '')} THEN 1 ELSE 0 END AS held"
+_STATE = "flag IN ('MASTECTOMY', 'HYSTERECTOMY')"
+SOURCES |= {
+    "coded_as_of": """
+        SELECT p.*, 'ICD10 ' || CASE
+                   WHEN s.s_suppkey % 2 = 0 AND CAST(p.event_ts AS DATE) >= DATE '1999-01-01' THEN s.s_name || ' II'
+                   WHEN CAST(p.event_ts AS DATE) >= DATE '1996-06-01' THEN s.s_name END AS code1,
+               'ICD9 ' || n.n_name AS code2
+        FROM procedures p
+        LEFT JOIN diagnoses d USING (site, person_id, visit)
+        LEFT JOIN suppliers s ON s.s_suppkey = d.icd10 AND s.site = d.site
+        LEFT JOIN nation n ON n.n_nationkey = d.icd9 AND n.n_regionkey = d.site""",
+    "as_of_rows": SOURCES["procedure_rows"].replace("FROM coded", "FROM coded_as_of"),
+    "procedure_as_of": _ranked("as_of_rows"),
+    "enrolled_newest": f"""
+        SELECT o_custkey, site FROM (
+            SELECT o_custkey, site, held,
+                   row_number() OVER (PARTITION BY o_custkey, site ORDER BY o_orderdate DESC, held DESC) AS nth
+            FROM (SELECT *, {_HELD} FROM visits))
+        WHERE nth = 1 AND held = 1""",
+    "old_and_new_factors": """
+        SELECT 'breast' AS section, * FROM breast_factor_rows
+        UNION ALL SELECT 'cervical' AS section, * FROM cervical_factor_rows""",
+    "state_rows": f"""
+        SELECT section, site, person_id, event_ts, label, detail, code1, code2, flag FROM (
+            SELECT *, row_number() OVER (PARTITION BY section, site, person_id, flag
+                                         ORDER BY event_ts DESC NULLS LAST, label DESC NULLS LAST,
+                                                  detail DESC NULLS LAST, code1 DESC NULLS LAST) AS nth
+            FROM old_and_new_factors WHERE {_STATE})
+        WHERE nth = 1""",
+    "recent_rows": f"""
+        SELECT site, person_id, event_ts, label, detail, code1, code2, flag FROM old_and_new_factors
+        WHERE event_ts > TIMESTAMP '{a.RECENT}' AND (flag IS NULL OR NOT {_STATE})""",
+    "state_events": " UNION ALL ".join(
+        f"SELECT site, person_id, event_ts, label, detail, code1, code2, flag FROM {rows}"
+        for rows in (
+            "radiology_rows", "procedure_rows", "lab_rows", "breast_cyto_rows", "cervical_cyto_rows",
+            "breast_surg_rows", "cervical_surg_rows", "recent_rows", "state_rows",
+        )
+    ),
+    "addresses": """
+        SELECT o_custkey, site, o_orderdate - INTERVAL 2 YEAR AS changed,
+               CASE WHEN o_orderpriority IN ('2-HIGH', '3-MEDIUM') THEN 0 ELSE 1 END AS inside FROM visits""",
+    "moved_away": f"""
+        SELECT o_custkey, site FROM (
+            SELECT *, row_number() OVER (PARTITION BY o_custkey, site ORDER BY changed DESC, inside DESC) AS nth
+            FROM addresses)
+        WHERE nth = 1 AND inside = 0 AND changed < TIMESTAMP '{a.AS_OF}' - INTERVAL 2 YEAR""",
+}
+SOURCES |= {
+    "report_newest": _report_of("all_events", "enrolled_newest"),
+    "report_in_region": _report_of(
+        "state_events",
+        "visits",
+        f"{_WHO} AND NOT EXISTS (SELECT 1 FROM moved_away m WHERE m.o_custkey = p.c_custkey AND m.site = p.site)",
+    ),
+}
+
+
 def statement(select: str) -> str:
     """``select`` preceded by the CTEs it needs, directly or through others."""
     needed: list[str] = []
@@ -256,6 +325,11 @@ STREAMS: dict[str, str] = {
     "report_with_ranks": f"""SELECT DISTINCT {_REPORT}, recency,
         row_number() OVER (PARTITION BY site, person_name ORDER BY {_ORDER}) AS person_rank
         FROM report_rows""",
+    "stream_described_as_of": "SELECT 'cervical' AS section, * FROM procedure_as_of",
+    "stream_states": """SELECT section, site, person_id, event_ts, label, detail, code1, code2, flag,
+        CAST(1 AS BIGINT) AS recency FROM state_rows""",
+    "report_newest_enrollment": f"SELECT DISTINCT {_REPORT} FROM report_newest",
+    "report_states_in_region": f"SELECT DISTINCT {_REPORT} FROM report_in_region",
     "report_nightly": f"SELECT DISTINCT {_REPORT} FROM report_rows",
     "report_one_site": f"SELECT DISTINCT {_REPORT} FROM report_rows WHERE site = 2",
     "sink_replace_read": f"SELECT DISTINCT {_STORED} FROM report_rows",

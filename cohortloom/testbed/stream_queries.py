@@ -62,8 +62,33 @@ def replace_site_and_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_report(spark, folder)
 
 
+def corrected(
+    spark: SparkSession, sf_dir: str, names: tuple[str, ...], sections: tuple[str, ...] = (), **switches
+) -> streams.Inputs:
+    """The analogue with the richer sources ``names`` and some corrections turned on."""
+    configure(spark)
+    spec = (analogue.SPEC.only(*sections) if sections else analogue.SPEC).switched(**switches)
+    return streams.Inputs(analogue.Analogue(spark, sf_dir).corrected(*names), analogue.run(), spec)
+
+
+def corrected_report(spark: SparkSession, sf_dir: str, names: tuple[str, ...], **switches) -> DataFrame:
+    return plan.report(plan.sized(corrected(spark, sf_dir, names, **switches)))
+
+
+_STATES = ("MASTECTOMY", "HYSTERECTOMY")
+_HISTORY = ("health_factor", "health_factor_history")
+
+
 def queries() -> dict[str, Query]:
     return {
+        "stream_described_as_of": lambda s, d: streams.ranked(
+            corrected(s, d, ("icd10_description",), ("cervical",), newest_description=True), "procedures"
+        ),
+        "stream_states": lambda s, d: streams.ranked(corrected(s, d, _HISTORY, states=_STATES), "states"),
+        "report_newest_enrollment": lambda s, d: corrected_report(s, d, ("enrollment",), enrollment="newest"),
+        "report_states_in_region": lambda s, d: corrected_report(
+            s, d, (*_HISTORY, "address"), states=_STATES, region_years=2
+        ),
         "report_nightly": nightly,
         "report_one_site": lambda s, d: nightly(s, d, (2,)),
         "sink_replace_site": replace_site_and_read,

@@ -5,6 +5,8 @@ from __future__ import annotations
 import datetime as dt
 from functools import partial
 
+from pyspark.sql.types import StructType
+
 from cohortloom import schemas
 from cohortloom.plans.streams import FULL, Inputs
 from cohortloom.sources.loader import Tables
@@ -151,9 +153,11 @@ class Clinic:
         return self
 
     def frame(self, spark, name: str):
-        names = schemas.columns(name)
-        data = [tuple(r.get(c) for c in names) for r in self.rows[name]]
-        return spark.createDataFrame(data, schemas.struct(name)).coalesce(1)
+        fields = [*schemas.struct(name).fields, *schemas.optional(name).fields]
+        given = {c for r in self.rows[name] for c in r}
+        kind = StructType([f for f in fields if f in schemas.struct(name).fields or f.name in given])
+        data = [tuple(r.get(c) for c in kind.fieldNames()) for r in self.rows[name]]
+        return spark.createDataFrame(data, kind).coalesce(1)
 
     def inputs(self, spark, spec=DEFAULT, sites=(SITE,), caseless=False, grain=FULL, **run) -> Inputs:
         run.setdefault("hot_rows", None)  # small data: no staging, no counting
