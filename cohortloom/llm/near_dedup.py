@@ -13,7 +13,8 @@ left out before the pairing. In a bucket every class is compared with the
 smallest one, and, unless that has joined them, with the largest one. Classes of buckets that still hold several components after that are
 compared if they share one of their rarest shingles (the prefix filter, which loses
 no pair). So a group of copies of any size costs a row per copy and table, not
-a row per pair, and documents that only share a common passage cost none.
+a row per pair. Documents with rare shingles of their own cost no pair for a common passage; where
+all shingles are common (texts of a few stock passages), pairs to verify grow with the square of that group.
 A confirmed link means 100 * intersection >= 75 * union on the full sets.
 
 Defined results: null, empty and blank texts have the empty set and are linked with
@@ -163,8 +164,8 @@ def prefix_pairs(sets: DataFrame, percent: int) -> DataFrame:
     Order all shingles by how many sets have them, the rarest first. Sets of n <= m
     shingles that are similar enough share s * (n + m) / (1 + s) of them, so the first one
     they share is among the first n - 2 s n / (1 + s) + 1 of the smaller and the first
-    m - s m + 1 of the larger, and enough shingles come after it in both. Sets
-    that have only a common passage in common, however many, make no pair.
+    m - s m + 1 of the larger, and enough shingles come after it in both. A common
+    passage makes pairs only of sets in which it is among the rarest shingles.
     """
     rows = sets.select("class", "root", F.size("shingles").alias("n"), F.explode("shingles").alias("shingle"))
     spread = rows.groupBy("shingle").agg(
