@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortloom.llm.common import STEP_BYTES, give_back, mixed, new_folder, steps
+from cohortloom.llm.common import give_back, mixed, new_folder, steps
 from cohortloom.llm.tokens import PartEncoder
 
 _PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, spread long"
@@ -43,7 +43,7 @@ def cut_pieces(
         encoder, rows = PartEncoder(tokenizer, special_as_text=False), 0
         task = np.uint64(TaskContext.get().partitionId()) << np.uint64(40)
         for whole in batches:
-            for batch in steps(whole, "text", STEP_BYTES // 2):
+            for batch in steps(whole, "text"):
                 ids, ends = encoder.encode(batch.column("text"))
                 n = np.diff(ends) + 1
                 counts = -(-n // capacity)
