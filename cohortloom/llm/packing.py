@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortloom.llm.common import give_back, mixed, new_folder, steps
+from cohortloom.llm.common import STEP_BYTES, give_back, mixed, new_folder, steps
 from cohortloom.llm.tokens import PartEncoder
 
 _PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, spread long"
@@ -35,15 +35,16 @@ _PACKED = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long
 
 
 def cut_pieces(
-    docs: DataFrame, tokenizer: str, *, capacity: int = 2048, end_id: int = 1, with_ids: bool = False
+    docs: DataFrame, tokenizer: str, *, capacity: int = 2048, end_id: int = 1, with_ids: bool = False, step_bytes: int = STEP_BYTES
 ) -> DataFrame:
-    """A row per piece of at most ``capacity`` ids; only a document's last piece is shorter."""
+    """A row per piece of at most ``capacity`` ids; only a document's last piece is shorter. Less
+    text at once (``step_bytes``) takes less memory and more time, and gives the same rows."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, rows = PartEncoder(tokenizer, special_as_text=False), 0
         task = np.uint64(TaskContext.get().partitionId()) << np.uint64(40)
         for whole in batches:
-            for batch in steps(whole, "text"):
+            for batch in steps(whole, "text", step_bytes):
                 ids, ends = encoder.encode(batch.column("text"))
                 n = np.diff(ends) + 1
                 counts = -(-n // capacity)
@@ -123,11 +124,13 @@ def pack(pieces: DataFrame, *, capacity: int = 2048, group_docs: int = 8192) ->
     return grouped.groupBy("bin_group").applyInArrow(fill, schema)
 
 
-def packed(docs: DataFrame, tokenizer: str, *, capacity: int = 2048, end_id: int = 1, group_docs: int = 8192) -> DataFrame:
+def packed(
+    docs: DataFrame, tokenizer: str, *, capacity: int = 2048, end_id: int = 1, group_docs: int = 8192, step_bytes: int = STEP_BYTES
+) -> DataFrame:
     """Where each piece of each document lies."""
     spark = docs.sparkSession
     folder = new_folder(spark, "pieces")
-    cut_pieces(docs, tokenizer, capacity=capacity, end_id=end_id).write.parquet(folder)
+    cut_pieces(docs, tokenizer, capacity=capacity, end_id=end_id, step_bytes=step_bytes).write.parquet(folder)
     return pack(spark.read.parquet(folder), capacity=capacity, group_docs=group_docs)
 
 

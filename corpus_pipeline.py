@@ -58,8 +58,9 @@ def drop_benchmark_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Where each piece of each document lies in the training sequences."""
-    return packing.packed(docs, tokenizer_path())
+    """Where each piece of each document lies in the training sequences. Small steps: executors still
+    hold what the stages before have taken."""
+    return packing.packed(docs, tokenizer_path(), step_bytes=2 << 20)
 
 
 STAGES = [
