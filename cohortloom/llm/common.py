@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import ctypes
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -70,6 +70,17 @@ def give_back() -> None:
         trim(0)
 
 
+def giving_back(work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """``work`` of mapInArrow, after which the worker keeps nothing: when the task ends, what its
+    variables held is free, and goes back to the system before the worker waits for another."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from work(batches)
+        give_back()
+
+    return run
+
+
 def split_words(texts: pa.Array, lower: bool = True) -> tuple[pa.Array, np.ndarray]:
     """All words of all texts, and where each text's words begin and end.
 

@@ -37,7 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortloom.llm.common import STEP_BYTES, mixed, numbered, split_words, steps, string_hashes, text_key
+from cohortloom.llm.common import STEP_BYTES, giving_back, mixed, numbered, split_words, steps, string_hashes, text_key
 from cohortloom.operators import sizing
 from cohortloom.operators.staging import staged
 
@@ -190,7 +190,7 @@ def _windows(
                 rows += batch.num_rows
 
     names = [c.split()[0] for c in _WINDOWS.split(", ")]
-    return texts.mapInArrow(work, _WINDOWS)
+    return texts.mapInArrow(giving_back(work), _WINDOWS)
 
 
 def _sums(marks: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cohortloom.llm.common import STEP_BYTES, byte_view, numbered, segment_sums, split_words, steps
+from cohortloom.llm.common import STEP_BYTES, byte_view, giving_back, numbered, segment_sums, split_words, steps
 
 #: First code points of script ranges and their script.
 SCRIPT_RANGES = (
@@ -146,7 +146,7 @@ def train(docs: DataFrame, *, language: str = "lang", bits: int = 17) -> Model:
                 ["lang", "at", "n"],
             )
 
-    summed = known.mapInArrow(count, "lang int, at int, n double").groupBy("lang", "at").agg(F.sum("n").alias("n"))
+    summed = known.mapInArrow(giving_back(count), "lang int, at int, n double").groupBy("lang", "at").agg(F.sum("n").alias("n"))
     found = summed.toArrow()  # at most languages x (2**bits + scripts) rows
     uses = np.zeros(((1 << bits) + len(SCRIPTS), len(languages)))
     uses[found["at"].to_numpy(), found["lang"].to_numpy()] = found["n"].to_numpy()
@@ -305,4 +305,4 @@ def label(docs: DataFrame, model: Model, *, penalty: float = 8.0, spans: bool =
                 new = predict(batch.column("text"), own, penalty, spans)
                 yield pa.RecordBatch.from_arrays([*batch.columns, *new.values()], [*batch.schema.names, *new])
 
-    return docs.select([f"`{f.name}`" for f in kept]).mapInArrow(work, T.StructType([*kept, *added]))
+    return docs.select([f"`{f.name}`" for f in kept]).mapInArrow(giving_back(work), T.StructType([*kept, *added]))

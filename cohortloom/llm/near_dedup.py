@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortloom.llm.common import mixed, numbered, split_words, steps, string_hashes, text_key
+from cohortloom.llm.common import giving_back, mixed, numbered, split_words, steps, string_hashes, text_key
 from cohortloom.operators import sizing
 from cohortloom.operators.staging import staged
 
@@ -106,7 +106,7 @@ def shingled(docs: DataFrame, words_each: int, halves: int) -> DataFrame:
                 ]
                 yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "text_key", "n_shingles", "class", "keys"])
 
-    return docs.select(F.col("doc_id").cast("long"), text_key().alias("text_key"), "text").mapInArrow(work, _SHINGLED)
+    return docs.select(F.col("doc_id").cast("long"), text_key().alias("text_key"), "text").mapInArrow(giving_back(work), _SHINGLED)
 
 
 def table_keys(classes: DataFrame, halves: int) -> DataFrame:
@@ -143,7 +143,7 @@ def candidate_sets(classes: DataFrame, docs: DataFrame, words_each: int) -> Data
                 lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values))
                 yield pa.RecordBatch.from_arrays([batch.column("class"), lists], ["class", "shingles"])
 
-    sets = staged(chosen.mapInArrow(work, "class binary, shingles array<long>"), "candidate-sets")
+    sets = staged(chosen.mapInArrow(giving_back(work), "class binary, shingles array<long>"), "candidate-sets")
     # A class comes twice if its document's row is repeated.
     repeats = not sets.groupBy("class").count().where("count > 1").isEmpty()
     return staged(sets.dropDuplicates(["class"]), "candidate-sets") if repeats else sets

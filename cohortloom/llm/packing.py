@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortloom.llm.common import STEP_BYTES, give_back, mixed, new_folder, steps
+from cohortloom.llm.common import STEP_BYTES, giving_back, mixed, new_folder, steps
 from cohortloom.llm.tokens import PartEncoder
 
 _PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, spread long"
@@ -71,12 +71,10 @@ def cut_pieces(
                     bounds = np.concatenate([[0], np.cumsum(length)])
                     columns.append(pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(closed.astype(np.int32))))
                 yield pa.RecordBatch.from_arrays(columns, names)
-        del encoder  # a worker outlives its task, and so would the vocabulary
-        give_back()
 
     schema = _PIECES + (", ids array<int>" if with_ids else "")
     names = [c.split()[0] for c in schema.split(", ")]
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(cut, schema)
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(giving_back(cut), schema)
 
 
 def first_fit_decreasing(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:

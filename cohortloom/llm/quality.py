@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cohortloom.llm.common import byte_view, numbered, split_words, steps
+from cohortloom.llm.common import byte_view, giving_back, numbered, split_words, steps
 
 _KINDS = ("lower", "upper", "digit", "space", "line", "stop", "comma", "cry", "symbol", "other")
 
@@ -127,7 +127,7 @@ def with_statistics(docs: DataFrame) -> DataFrame:
                     [batch.column("doc_id"), pa.ListArray.from_arrays(bounds, pa.array(x.ravel()))], ["doc_id", "x"]
                 )
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(work, "doc_id long, x array<double>")
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(giving_back(work), "doc_id long, x array<double>")
 
 
 def train(vectors: DataFrame, labels: DataFrame, *, label: str = "quality", shrink: float = 0.1, flatten: float = 0.05) -> Model:
@@ -152,7 +152,7 @@ def train(vectors: DataFrame, labels: DataFrame, *, label: str = "quality", shri
                 [pa.array(np.full(t.size, c, np.int32)), pa.array(at), pa.array(t.ravel())], ["y", "at", "value"]
             )
 
-    summed = rows.mapInArrow(sums, "y int, at int, value double").groupBy("y", "at").agg(F.sum("value").alias("value"))
+    summed = rows.mapInArrow(giving_back(sums), "y int, at int, value double").groupBy("y", "at").agg(F.sum("value").alias("value"))
     found = summed.collect()  # two matrices, whatever the rows
     width = int(round((max([r["at"] for r in found]) + 1) ** 0.5)) if found else 1
     moments = np.zeros((2, width * width))
@@ -207,7 +207,7 @@ def score_vectors(vectors: DataFrame, model: Model) -> DataFrame:
             score = scores(_vectors(batch.column("x")), model)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(score)], ["doc_id", "score"])
 
-    return vectors.select("doc_id", "x").mapInArrow(work, "doc_id long, score double")
+    return vectors.select("doc_id", "x").mapInArrow(giving_back(work), "doc_id long, score double")
 
 
 def score(docs: DataFrame, model: Model, name: str = "quality_score") -> DataFrame:
@@ -221,4 +221,4 @@ def score(docs: DataFrame, model: Model, name: str = "quality_score") -> DataFra
                 yield pa.RecordBatch.from_arrays([*batch.columns, found], [*batch.schema.names, name])
 
     schema = T.StructType([*kept, T.StructField(name, T.DoubleType())])
-    return docs.select([f"`{f.name}`" for f in kept]).mapInArrow(work, schema)
+    return docs.select([f"`{f.name}`" for f in kept]).mapInArrow(giving_back(work), schema)
