@@ -61,13 +61,19 @@ def main(argv: Sequence[str] | None = None) -> None:
     args.add_argument("--show-rank", action="store_true", help="with the event's rank")
     args.add_argument("--person-rank", action="store_true", help="with the rank in the person's report")
     args.add_argument("--time-zone", default="UTC", help="of stored times that have a zone; default: UTC")
+    args.add_argument(
+        "--rejects",
+        help="leave out rows with values of a wrong type, and write them to this folder, which is overwritten; default: fail",
+    )
     given = args.parse_args(argv)
 
     sites = tuple(int(s) for s in given.sites.split(",")) if given.sites else None
     spark = configure(SparkSession.builder.appName("cohort-event-report").getOrCreate())
     spark.conf.set("spark.sql.session.timeZone", given.time_zone)
     places = Tables.places_under(given.tables) | dict(p.split("=", 1) for p in given.place)
-    tables = Tables(spark, places, sites=sites, caseless=given.caseless)
+    tables = Tables(spark, places, sites=sites, caseless=given.caseless, tolerant=given.rejects is not None)
+    if given.rejects is not None:
+        tables.all_rejects().write.mode("overwrite").parquet(given.rejects)
     options = {k: getattr(given, k) for k in ("latest_only", "show_rank", "person_rank")}
     build(tables, Run.at(dt.datetime.fromisoformat(given.as_of), sites), given.out, **options)
 

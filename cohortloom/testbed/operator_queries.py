@@ -658,6 +658,42 @@ def distinct_report_rows(spark, d):
     return unions.united([events.join(persons, "user_id").drop("user_id")])
 
 
+# --- bad source values -----------------------------------------------------
+
+
+def _untyped_orders(spark: SparkSession, d: str) -> Tables:
+    """Orders as enrollments of a station that stores text; some ids and times hold the priority."""
+    status, price, other = F.col("o_orderstatus"), F.col("o_totalprice"), F.col("o_orderpriority")
+    rows = _raw(spark, d, "orders").select(
+        F.when(status == "P", other).otherwise(F.col("o_custkey").cast("string")).alias("PatientSID"),
+        (F.col("o_custkey") % 25).alias("Sta3n"),
+        F.col("o_orderkey").alias("EnrollmentStatusSID"),
+        F.when(price < 50000, other).otherwise(F.col("o_orderdate").cast("string")).alias("EnrollmentDateTime"),
+    )
+    return Tables(spark, {"enrollment": rows}, tolerant=True)
+
+
+@entry(
+    """SELECT o_custkey AS "PatientSID", CAST(o_custkey % 25 AS INT) AS "Sta3n",
+              o_orderkey AS "EnrollmentStatusSID", o_orderdate AS "EnrollmentDateTime"
+       FROM orders WHERE o_orderstatus <> 'P' AND o_totalprice >= 50000"""
+)
+def scan_tolerant(spark, d):
+    return _untyped_orders(spark, d)["enrollment"]
+
+
+@entry(
+    """SELECT 'enrollment' AS "table", 'PatientSID' AS "column", 'bigint' AS wanted, o_orderpriority AS value,
+              count(*) AS n FROM orders WHERE o_orderstatus = 'P' GROUP BY o_orderpriority
+       UNION ALL
+       SELECT 'enrollment', 'EnrollmentDateTime', 'timestamp_ntz', o_orderpriority, count(*)
+       FROM orders WHERE o_totalprice < 50000 GROUP BY o_orderpriority"""
+)
+def scan_rejects(spark, d):
+    reasons = _untyped_orders(spark, d).all_rejects().select("table", F.explode("reasons").alias("reason"))
+    return reasons.groupBy("table", "reason.column", "reason.wanted", "reason.value").agg(F.count(F.lit(1)).alias("n"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: e.query for name, e in ENTRIES.items()}
 
