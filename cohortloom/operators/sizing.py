@@ -12,6 +12,9 @@ from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, Struct
 MAX_ROWS = 2_000_000
 MAX_BYTES = 256 * 1024 * 1024
 MAX_TOTAL_BYTES = 512 * 1024 * 1024
+MAX_FILTER_BITS = 1 << 27  # 16 MB
+
+_FILTER = "spark.sql.optimizer.runtime.bloomFilter"
 
 
 def measured(frames: Mapping[str, DataFrame]) -> dict[str, tuple[int, int]]:
@@ -57,9 +60,39 @@ def broadcastable(
     """Names of the frames whose measured size is within both bounds, the smallest first as
     long as all of them together, which the driver and each executor hold, stay within
     ``max_total``. The others get no hint and join by shuffle, with AQE splitting skew."""
+    return within(measured(frames), max_rows, max_bytes, max_total)
+
+
+def within(
+    sizes: Mapping[str, tuple[int, int]],
+    max_rows: int = MAX_ROWS,
+    max_bytes: int = MAX_BYTES,
+    max_total: int = MAX_TOTAL_BYTES,
+) -> frozenset[str]:
+    """As ``broadcastable``, of sizes that are already measured."""
     chosen, total = set(), 0
-    for name, (rows, size) in sorted(measured(frames).items(), key=lambda m: (m[1][1], m[0])):
+    for name, (rows, size) in sorted(sizes.items(), key=lambda m: (m[1][1], m[0])):
         if rows <= max_rows and size <= max_bytes and total + size <= max_total:
             chosen.add(name)
             total += size
     return frozenset(chosen)
+
+
+def filter_settings(rows: int, size: int) -> dict[str, str]:
+    """Session settings with which Catalyst filters a large fact by a Bloom filter of up to ``rows``
+    keys (``size`` bytes) before it shuffles the fact for a join with them.
+
+    A filter has ten bits a key, 1 % of other rows pass, up to a bound: the driver and each executor hold
+    the filters of a query, at most ten of them. Beyond the bound more rows pass; the
+    join after it decides, so results are the same.
+    """
+    bits = min(max(10 * rows, 1 << 20), MAX_FILTER_BITS)
+    return {
+        f"{_FILTER}.enabled": "true",
+        f"{_FILTER}.applicationSideScanSizeThreshold": "1g",
+        f"{_FILTER}.creationSideThreshold": f"{max(2 * size, 10 << 20)}b",
+        f"{_FILTER}.expectedNumItems": str(bits // 10),
+        f"{_FILTER}.maxNumItems": str(bits // 10),
+        f"{_FILTER}.numBits": str(bits),
+        f"{_FILTER}.maxNumBits": str(bits),
+    }

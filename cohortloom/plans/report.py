@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from cohortloom import schemas
 from cohortloom.functions import expressions as x
 from cohortloom.functions import predicates as p
-from cohortloom.operators import ranking, sizing
+from cohortloom.operators import ranking, sizing, skew
 from cohortloom.operators.joins import salted_join
 from cohortloom.operators.staging import staged
 from cohortloom.operators.unions import stacked
@@ -154,9 +154,10 @@ def _ranked_rows(
     persons = persons.withColumnsRenamed({"Sta3n": "site", "PatientSID": "person_id"})
     if "eligible" in inputs.run.broadcast and not repeats:
         return events.join(F.broadcast(persons), ["site", "person_id"])
-    return salted_join(
-        events, persons, ["site", "person_id"], inputs.run.person_salts, ["event_ts", *_SHOWN]
-    )
+    keys, spread_by = ["site", "person_id"], ["event_ts", *_SHOWN]
+    if inputs.heavy is not None:
+        return skew.sliced_join(events, persons, keys, inputs.heavy_persons(), spread_by)
+    return salted_join(events, persons, keys, inputs.run.person_salts, spread_by)
 
 
 def _shown(inputs: streams.Inputs, rows: DataFrame, extra: list[str]) -> DataFrame:
@@ -191,16 +192,23 @@ def sized(inputs: streams.Inputs) -> streams.Inputs:
     the broadcast bounds are marked; a single station's persons usually are.
 
     The selected procedures and specimens are staged too. Diagnoses, exams and
-    morphologies that meet none of them, most of these tables, are dropped first:
-    before any shuffle where the visits or cases are few, else by a semi-join."""
+    morphologies that meet none of them, most of these tables, are dropped first: by a broadcast
+    semi-join where the visits or cases are few, else by a Bloom filter before the shuffle of the
+    semi-join, for which the session's settings are fitted to the keys. Last, the keys that hold many rows
+    are looked for, and only those are split over tasks."""
     held = {n: inputs.tables[n] for n in schemas.DIMENSIONS if n in inputs.tables}
     inputs = _marked(inputs, sizing.broadcastable(held))
     inputs = replace(inputs, eligible=staged(eligible_persons(inputs), "eligible-persons"))
     inputs = streams.with_selections(inputs)
-    found = {"eligible": inputs.eligible}
-    for stream, rows in inputs.selected.items():
-        found[f"{stream}_keys"] = rows.select(*streams.SELECTIONS[stream][1]).distinct()
-    return _marked(inputs, sizing.broadcastable(found))
+    keys = {f"{stream}_keys": rows for stream, rows in inputs.keys.items()}
+    sizes = sizing.measured({"eligible": inputs.eligible, **keys})
+    small = sizing.within(sizes)
+    large = [sizes[name] for name in keys if name not in small]
+    if large:
+        session = inputs.eligible.sparkSession
+        for name, value in sizing.filter_settings(max(n for n, _ in large), max(b for _, b in large)).items():
+            session.conf.set(name, value)
+    return streams.with_heavy_keys(_marked(inputs, small))
 
 
 def _marked(inputs: streams.Inputs, small: frozenset[str]) -> streams.Inputs:

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from cohortloom.functions import expressions as x
 from cohortloom.functions import predicates as p
-from cohortloom.operators import ranking
+from cohortloom.operators import ranking, skew
 from cohortloom.operators.joins import salted_join
 from cohortloom.operators.staging import staged
 from cohortloom.schemas import EVENT_COLUMNS
@@ -37,6 +37,7 @@ from cohortloom.spec import ReportSpec, Run, Section
 
 _PERSON = ["Sta3n", "PatientSID"]
 _VISIT = ["Sta3n", "VisitSID"]
+_PERSON_VISIT = [*_PERSON, "VisitSID"]
 _CYTOLOGY_CASE = ["Sta3n", "CytopathologyIEN", "LabDataIEN"]
 _SURGICAL_CASE = ["Sta3n", "SurgicalPathologyIEN", "LabDataIEN"]
 _VALUES = ["event_ts", "label", "detail", "code1", "code2", "flag"]
@@ -73,18 +74,22 @@ class Inputs:
     persons: DataFrame | None = None  # Sta3n, PatientSID and columns events then carry
     eligible: DataFrame | None = None  # the report's persons, if already computed
     selected: Mapping[str, DataFrame] = field(default_factory=dict)  # staged rows, see SELECTIONS
+    keys: Mapping[str, DataFrame] = field(default_factory=dict)  # their keys by section, staged
+    heavy: Mapping[str, skew.Slices] | None = None  # see with_heavy_keys; None: not looked for
 
     @property
     def carried(self) -> list[str]:
         return [] if self.persons is None else self.persons.columns[len(_PERSON) :]
 
-    def of_persons(self, df: DataFrame, *spread_by: str) -> DataFrame:
-        """``df`` of the wanted persons. One person may hold much of ``df``;
+    def of_persons(self, df: DataFrame, stream: str, *spread_by: str) -> DataFrame:
+        """``df``, rows of ``stream``, of the wanted persons. One person may hold much of ``df``;
         ``spread_by`` names the columns that tell that person's rows apart."""
         if self.persons is None:
             return df
         if "eligible" in self.run.broadcast:
             return df.join(F.broadcast(self.persons), _PERSON)
+        if self.heavy is not None:
+            return skew.sliced_join(df, self.persons, _PERSON, self.slices(f"{stream}_persons"), spread_by)
         return salted_join(df, self.persons, _PERSON, self.run.person_salts, spread_by)
 
     def lookup(self, name: str, df: DataFrame) -> DataFrame:
@@ -98,14 +103,25 @@ class Inputs:
             return SELECTIONS[stream][0](self, sections)
         return self.selected[stream].where(F.col("section").isin([s.name for s in sections]))
 
+    def slices(self, name: str) -> skew.Slices:
+        """The heavy keys found under ``name``, if any were looked for."""
+        return (self.heavy or {}).get(name, {})
+
+    def heavy_persons(self) -> skew.Slices:
+        """The persons that hold many rows of some stream, with slices for all streams together."""
+        return skew.merged([s for name, s in (self.heavy or {}).items() if name.endswith("_persons")])
+
     def met(self, df: DataFrame, stream: str) -> DataFrame:
         """``df`` without rows that no selected row of ``stream`` can meet, where those are known
-        ahead of the joins. Broadcast where the keys were measured small; else ``df``
-        is shuffled for it once, and only what is left is shuffled again."""
-        if stream not in self.selected:
+        ahead of the joins. Broadcast where the keys were measured small. Else Catalyst puts a
+        Bloom filter of them on the scan of ``df`` (sizing.filter_settings), and only what
+        passes is shuffled for the semi-join, which is exact. The keys are read as the rows of the sections
+        wanted: Catalyst builds such filters only from a filtered scan."""
+        if stream not in self.keys:
             return df
         keys = SELECTIONS[stream][1]
-        wanted = self.selected[stream].select(*keys).distinct()
+        names = [s.name for s in self.spec.sections if _NEEDS[stream](s)]
+        wanted = self.keys[stream].where(F.col("section").isin(names)).select(*keys)
         return df.join(self.lookup(f"{stream}_keys", wanted), keys, "left_semi")
 
     def of_visits(self, df: DataFrame) -> DataFrame:
@@ -246,7 +262,7 @@ def selected_procedures(inputs: Inputs, sections: Sequence[Section]) -> DataFram
     """The coded procedures of the wanted persons."""
     rows = inputs.selection("procedures", sections)
     rows = rows.withColumn("event_ts", inputs.grain.when(F.col("event_ts")))
-    rows = inputs.of_persons(rows, "VisitSID", "event_ts", "label", "comments")
+    rows = inputs.of_persons(rows, "procedures", "VisitSID", "event_ts", "label", "comments")
     return inputs.grain.of(rows, "procedure")
 
 
@@ -287,8 +303,13 @@ def _described_as_of(inputs: Inputs, rows: DataFrame) -> DataFrame:
 def procedures(inputs: Inputs) -> DataFrame:
     sections = [s for s in inputs.spec.sections if s.procedures]
     with_exam = [s for s in sections if s.needs_exam]
-    rows = selected_procedures(inputs, sections).join(
-        diagnoses(inputs), [*_PERSON, "VisitSID"], "left"
+    rows = skew.sliced_join(
+        selected_procedures(inputs, sections),
+        diagnoses(inputs),
+        _PERSON_VISIT,
+        inputs.slices("procedures_person_visits"),
+        ["event_ts", "label", "comments"],
+        "left",
     )
     if with_exam:
         rows = _with_exam_results(inputs, rows, all_need=len(with_exam) == len(sections))
@@ -314,20 +335,19 @@ def procedures(inputs: Inputs) -> DataFrame:
 def _with_exam_results(inputs: Inputs, rows: DataFrame, all_need: bool) -> DataFrame:
     """Exam results by visit. Rows that need none pass through the same join
     untouched, so procedures and diagnoses are read and joined once."""
-    results = exam_results(inputs)
+    shown, results = rows.columns, exam_results(inputs)
+    heavy, spread_by = inputs.slices("procedures_visits"), ["PatientSID", "event_ts", "label", "comments"]
     if all_need:
-        return rows.join(results, _VISIT)
+        return skew.sliced_join(rows, results, _VISIT, heavy, spread_by)
     found = [f"r.{c}" for c in results.columns if c not in _VISIT]
+    rows, results, keys = skew.dealt(rows, results, _VISIT, heavy, spread_by)
     left, right = rows.alias("l"), results.withColumn("examined", F.lit(True)).alias("r")
-    on = (
-        (F.col("l.Sta3n") == F.col("r.Sta3n"))
-        & (F.col("l.VisitSID") == F.col("r.VisitSID"))
-        & F.col("l.needs_exam")
-    )
+    same = [F.col(f"l.{k}") == F.col(f"r.{k}") for k in keys]
+    on = reduce(lambda a, b: a & b, same, F.col("l.needs_exam"))
     return (
         left.join(right, on, "left")
         .where(~F.col("l.needs_exam") | F.col("r.examined"))
-        .select("l.*", *found)
+        .select(*[f"l.{c}" for c in shown], *found)
     )
 
 
@@ -347,7 +367,7 @@ def observations(inputs: Inputs) -> DataFrame:
         .withColumn("detail", F.col("Comments"))
         .withColumn("code2", x.no_text())
     )
-    rows = inputs.of_persons(rows, "HealthFactorDateTime", "label", "detail")
+    rows = inputs.of_persons(rows, "observations", "HealthFactorDateTime", "label", "detail")
     return _event(inputs, rows, F.col("HealthFactorDateTime"))
 
 
@@ -367,7 +387,7 @@ def states(inputs: Inputs) -> DataFrame:
         .withColumn("event_ts", inputs.grain.when(F.col("at")))
         .withColumn("code2", x.no_text())
     )
-    rows = inputs.of_persons(rows, "at", "label", "detail")
+    rows = inputs.of_persons(rows, "states", "at", "label", "detail")
     return _event(inputs, rows, F.col("at"), F.col("flag"))
 
 
@@ -427,7 +447,7 @@ def labs(inputs: Inputs) -> DataFrame:
         )
     )
     raw = F.col("LabChemCompleteDateTime")
-    rows = inputs.of_persons(rows, "LabChemSpecimenDateTime", "label", "detail")
+    rows = inputs.of_persons(rows, "labs", "LabChemSpecimenDateTime", "label", "detail")
     return _event(inputs, rows, inputs.rank_time(raw, shown), name)
 
 
@@ -451,6 +471,18 @@ def _case_times(inputs: Inputs) -> list[Column]:
     ]
 
 
+def _of_case(
+    inputs: Inputs, stream: str, cases: DataFrame, specimens: DataFrame, morphologies: DataFrame
+) -> DataFrame:
+    """Cases of the wanted persons with their specimens and morphologies. One unknown case
+    may hold much of ``cases``."""
+    keys, heavy = SELECTIONS[stream][1], inputs.slices(f"{stream}_cases")
+    rows = inputs.grain.of(inputs.of_persons(cases, stream, *keys[1:], "event_ts"), "case")
+    rows = skew.sliced_join(rows, specimens, keys, heavy, ["PatientSID", "event_ts"])
+    spread_by = ["PatientSID", "event_ts", *[c for c in specimens.columns if c not in keys]]
+    return skew.sliced_join(rows, morphologies, keys, heavy, spread_by, "left")
+
+
 def cytology_specimens(inputs: Inputs, sections: Sequence[Section]) -> DataFrame:
     """Specimens taken from a section's topographies, one row per section."""
     t = inputs.tables
@@ -494,9 +526,7 @@ def cytology(inputs: Inputs) -> DataFrame:
     taken = inputs.recent(t["cytopathology"], _taken_or_received())
     cases = taken.select(*case, "PatientSID", *_case_times(inputs))
     rows = (
-        grain.of(inputs.of_persons(cases, *case[1:], "event_ts"), "case")
-        .join(specimens, case)
-        .join(morphologies, case, "left")
+        _of_case(inputs, "cytology", cases, specimens, morphologies)
         .withColumn(
             "flag", by_section(sections, lambda s: p.flag(F.col("detail"), s.morphology_flags))
         )
@@ -535,9 +565,7 @@ def surgical(inputs: Inputs) -> DataFrame:
     taken = inputs.recent(t["surgical_pathology"], _taken_or_received())
     cases = taken.select(*case, "PatientSID", "SurgicalPathAccNumber", *_case_times(inputs))
     rows = (
-        grain.of(inputs.of_persons(cases, *case[1:], "event_ts"), "case")
-        .join(specimens, case)
-        .join(morphologies, case, "left")
+        _of_case(inputs, "surgical", cases, specimens, morphologies)
         .withColumn(
             "label",
             x.pair(
@@ -582,13 +610,41 @@ SELECTIONS: dict[str, tuple[Callable[[Inputs, Sequence[Section]], DataFrame], li
 
 
 def with_selections(inputs: Inputs) -> Inputs:
-    """The inputs with the selected rows staged: their facts are read once, here."""
-    found = {}
-    for stream, (select, _) in SELECTIONS.items():
+    """The inputs with the selected rows staged, and the distinct keys of them: their facts
+    are read once, here."""
+    found, met = {}, {}
+    for stream, (select, keys) in SELECTIONS.items():
         sections = [s for s in inputs.spec.sections if _NEEDS[stream](s)]
         if sections:
             found[stream] = staged(select(inputs, sections), f"selected-{stream}")
-    return replace(inputs, selected=found)
+            met[stream] = staged(found[stream].select("section", *keys).distinct(), f"keys-{stream}")
+    return replace(inputs, selected=found, keys=met)
+
+
+def with_heavy_keys(inputs: Inputs) -> Inputs:
+    """The inputs with the visits, cases and persons that hold more than ``Run.heavy_rows`` rows
+    of a fact. Reads only the key columns; persons are counted only if they join by shuffle."""
+    rows_each = inputs.run.heavy_rows
+    if rows_each is None:
+        return inputs
+    t, streams = inputs.tables, present(inputs.spec)
+    kinds = {
+        "procedures": (
+            inputs.selected.get("procedures"),
+            {"procedures_visits": _VISIT, "procedures_person_visits": _PERSON_VISIT},
+        ),
+        "observations": (t["health_factor"], {}),
+        "labs": (t["lab_chem"], {}),
+        "cytology": (t["cytopathology"], {"cytology_cases": _CYTOLOGY_CASE}),
+        "surgical": (t["surgical_pathology"], {"surgical_cases": _SURGICAL_CASE}),
+    }
+    frames = []
+    for stream, (df, keys) in kinds.items():
+        if "eligible" not in inputs.run.broadcast:
+            keys = {**keys, f"{stream}_persons": _PERSON}
+        if stream in streams and keys and df is not None:
+            frames.append((df, keys))
+    return replace(inputs, heavy=skew.heavy_keys(frames, rows_each))
 
 
 def present(spec: ReportSpec) -> list[str]:

@@ -113,7 +113,8 @@ class Run:
     as_of: dt.datetime
     sites: tuple[int, ...] | None = None  # None: every site in the tables
     broadcast: frozenset[str] = field(default_factory=frozenset)
-    person_salts: int = 4
+    person_salts: int = 4  # where heavy persons were not looked for
+    heavy_rows: int | None = 1_000_000  # a key with more rows is dealt to tasks; None: none is
     hot_rows: int | None = 5_000_000
 
     @staticmethod

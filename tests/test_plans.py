@@ -7,6 +7,7 @@ from dataclasses import replace
 import pytest
 from pyspark.sql import functions as F
 
+from cohortloom.operators import sizing
 from cohortloom.operators.unions import united
 from cohortloom.plans import report as plan
 from cohortloom.plans import sections, streams
@@ -104,6 +105,40 @@ def test_facts_are_reduced_before_they_are_shuffled(spark, sites):
     assert same_rows(plan.report(given), plan.report(many))
 
 
+def test_facts_met_by_many_keys_are_filtered_before_the_shuffle(spark, monkeypatch):
+    """Where the keys of visits and cases are too many to broadcast, a Bloom filter of them is below the
+    first exchange of diagnoses, exams and morphologies. Sizing fits the session's filters to the keys."""
+    given = stream_queries.inputs(spark, SF_DIR)
+    monkeypatch.setattr(sizing, "within", lambda *sizes: frozenset())
+    names = [f"{sizing._FILTER}.{n}" for n in ("numBits", "applicationSideScanSizeThreshold")]
+    settings = sizing.filter_settings(1, 1)
+    before = {k: spark.conf.get(k) for k in [*settings, "spark.sql.autoBroadcastJoinThreshold"]}
+    monkeypatch.setattr(sizing, "measured", lambda frames: {n: (200_000, 4_000_000) for n in frames})
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        large = plan.sized(given)
+        assert spark.conf.get(names[0]) == "2000000"
+        spark.conf.set(names[1], "0")  # these facts are tiny
+        for rows in (streams.diagnoses(large), streams.exam_results(large)):
+            text = physical(rows)
+            assert "might_contain" in text and "BroadcastHashJoin" not in text
+        whole = optimised(plan.report(large))
+        assert whole.count("bloom_filter_agg") >= 4
+        filtered = plan.report(large).collect()
+        spark.conf.set(f"{sizing._FILTER}.enabled", "false")
+        assert "might_contain" not in physical(streams.diagnoses(large))
+        assert sorted(map(str, filtered)) == sorted(map(str, plan.report(given).collect()))
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
+def test_filters_have_a_bound():
+    settings = sizing.filter_settings(10**12, 10**13)
+    bits = {v for k, v in settings.items() if k.endswith("Bits")}
+    assert bits == {str(sizing.MAX_FILTER_BITS)}
+
+
 def test_ranks_need_two_jobs_a_stream(spark, inputs, monkeypatch):
     """Building a ranked stream writes it once and looks at its groups once."""
     calls = []
