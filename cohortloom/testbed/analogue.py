@@ -14,6 +14,7 @@ from dataclasses import replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cohortloom.operators.staging import staged
 from cohortloom.sources.loader import Tables
 from cohortloom.spec import BREAST, CERVICAL, CodeSet, ReportSpec, Run, TextSet
 
@@ -90,11 +91,16 @@ def sql_values(rows: list[tuple]) -> str:
 
 
 class Analogue:
-    """Lazy source views over one folder of test tables."""
+    """Lazy source views over one folder of test tables.
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
-        self._spark, self._dir = spark, sf_dir
+    Real facts are stored with their site; here, orders and lines get it by joins. ``stored``
+    writes orders and lines with it when a source first needs them, so that the views of one
+    query do not shuffle them again each."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str, stored: bool = False):
+        self._spark, self._dir, self._stored = spark, sf_dir, stored
         self._raw: dict[str, DataFrame] = {}
+        self._located: dict[str, DataFrame] = {}
 
     def raw(self, name: str) -> DataFrame:
         if name not in self._raw:  # each read lists files and opens a footer
@@ -124,11 +130,30 @@ class Analogue:
         return self._with_region(self.raw("supplier"), "s_nationkey")
 
     def orders(self) -> DataFrame:
-        return self._with_site(self.raw("orders"), "o_custkey")
+        if "orders" not in self._located:
+            orders = self._with_site(self.raw("orders"), "o_custkey").select(
+                "o_orderkey", "Sta3n", "PatientSID", "o_orderstatus", "o_orderdate", "o_orderpriority"
+            )
+            stored = staged(orders, "orders-with-site") if self._stored else orders
+            self._located["orders"] = stored.withColumn("o_custkey", F.col("PatientSID"))
+        return self._located["orders"]
 
     def lines(self) -> DataFrame:
-        orders = self.raw("orders").withColumn("l_orderkey", F.col("o_orderkey"))
-        return self._with_site(self.raw("lineitem").join(orders, "l_orderkey"), "o_custkey")
+        """Lines of the orders that have a site: the few columns of orders are moved by person,
+        the lines once, by order."""
+        if "lines" not in self._located:
+            orders = self.orders().select(
+                F.col("o_orderkey").alias("l_orderkey"), "Sta3n", "PatientSID", "o_orderdate"
+            )
+            lines = self.raw("lineitem").select(
+                "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag", "l_linestatus"
+            )
+            lines = lines.join(orders, "l_orderkey")
+            stored = staged(lines, "lines-with-site") if self._stored else lines
+            self._located["lines"] = stored.withColumns(
+                {"o_orderkey": F.col("l_orderkey"), "o_custkey": F.col("PatientSID")}
+            )
+        return self._located["lines"]
 
     def specimen_lines(self) -> DataFrame:
         part = self.raw("part").withColumn("l_partkey", F.col("p_partkey"))
@@ -143,6 +168,11 @@ class Analogue:
         """Each row once per region, as per-site dimensions have it."""
         return df.withColumn("Sta3n", F.expr("explode(sequence(0, 4))"))
 
+    def parts_per_site(self) -> DataFrame:
+        """Parts, once per region. Catalyst takes the result for no larger than the file: unless
+        it was measured, it is to be sorted like a fact and not held whole by each task."""
+        return self.per_site(self.raw("part")).hint("merge")
+
     def corrected(self, *names: str) -> Tables:
         """The sources, of which ``names`` have what corrections read: description versions, dated
         enrollments, a full history beside recent factors, addresses."""
@@ -157,21 +187,21 @@ class Analogue:
             )
         )
         plain = self.tables()
-        places = {name: plain[name] for name in plain}
-        dated = self.orders().selectExpr(
-            "Sta3n", "PatientSID", f"{_STATUS} AS EnrollmentStatusSID", "o_orderdate AS EnrollmentDateTime"
-        )
-        moves = self.orders().selectExpr(
-            "Sta3n", "PatientSID", "o_orderpriority NOT IN ('2-HIGH', '3-MEDIUM') AS InRegion",
-            "o_orderdate - INTERVAL 2 YEARS AS ChangedDateTime",
-        )
+        places = {name: lambda name=name: plain[name] for name in plain}
         richer = {
             "icd10_description": versions,
-            "enrollment": dated,
-            "health_factor_history": plain["health_factor"],
-            "health_factor": plain["health_factor"].where(f"HealthFactorDateTime > TIMESTAMP_NTZ '{RECENT}'"),
-            "address": moves,
-        }
+            "enrollment": lambda: self.orders().selectExpr(
+                "Sta3n", "PatientSID", f"{_STATUS} AS EnrollmentStatusSID", "o_orderdate AS EnrollmentDateTime"
+            ),
+            "health_factor_history": lambda: plain["health_factor"],
+            "health_factor": lambda: plain["health_factor"].where(
+                f"HealthFactorDateTime > TIMESTAMP_NTZ '{RECENT}'"
+            ),
+            "address": lambda: self.orders().selectExpr(
+                "Sta3n", "PatientSID", "o_orderpriority NOT IN ('2-HIGH', '3-MEDIUM') AS InRegion",
+                "o_orderdate - INTERVAL 2 YEARS AS ChangedDateTime",
+            ),
+        }
         return Tables(self._spark, places | {name: richer[name] for name in names})
 
     def tables(self, **more) -> Tables:
@@ -186,7 +216,7 @@ class Analogue:
             "icd9_description": lambda: self.raw("nation").selectExpr(
                 "n_nationkey AS ICD9SID", "n_regionkey AS Sta3n", "n_name AS ICD9Description"
             ),
-            "cpt": lambda: self.per_site(self.raw("part")).selectExpr(
+            "cpt": lambda: self.parts_per_site().selectExpr(
                 "p_partkey AS CPTSID",
                 "Sta3n",
                 "p_brand AS CPTCode",
@@ -251,7 +281,7 @@ class Analogue:
                    AS CollectionSample""",
                 "l_partkey AS TopographyFieldIEN",
             ),
-            "topography": lambda: self.per_site(self.raw("part")).selectExpr(
+            "topography": lambda: self.parts_per_site().selectExpr(
                 "p_partkey AS TopographyIEN",
                 "Sta3n",
                 "p_name AS Topography",
