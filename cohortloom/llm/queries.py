@@ -81,7 +81,8 @@ def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.packed(table(spark, sf_dir, "documents"), tokenizer_path())
+    # Large steps: parts repeat, and each is encoded once per step.
+    return packing.packed(table(spark, sf_dir, "documents"), tokenizer_path(), step_bytes=16 << 20)
 
 
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
