@@ -39,7 +39,7 @@ def configure(spark: SparkSession) -> SparkSession:
 def build(tables: Tables, run: Run, out: str, spec: ReportSpec = DEFAULT, **options: bool) -> None:
     """Store the report; ``options`` are those of ``plans.report.report``."""
     with run_folder(SparkSession.active()):  # staged names and ids do not outlive the job
-        inputs = plan.sized(Inputs(tables, run, spec))
+        inputs = plan.sized(Inputs(tables, run, spec), of_persons=True)
         replace_report(plan.report(inputs, **options), out, run.sites, unique=True)
 
 

@@ -91,7 +91,7 @@ def filter_settings(rows: int, size: int) -> dict[str, str]:
     bits = min(max(10 * rows, 1 << 20), MAX_FILTER_BITS)
     return {
         f"{_FILTER}.enabled": "true",
-        f"{_FILTER}.applicationSideScanSizeThreshold": "1g",
+        f"{_FILTER}.applicationSideScanSizeThreshold": "64m",
         f"{_FILTER}.creationSideThreshold": f"{max(2 * size, 10 << 20)}b",
         f"{_FILTER}.expectedNumItems": str(bits // 10),
         f"{_FILTER}.maxNumItems": str(bits // 10),

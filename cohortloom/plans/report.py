@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import replace
 
 from pyspark.sql import DataFrame
@@ -186,30 +187,66 @@ def client_names(rows: DataFrame) -> DataFrame:
     return rows.withColumnsRenamed(schemas.CLIENT_NAMES)
 
 
-def sized(inputs: streams.Inputs) -> streams.Inputs:
+def limited(inputs: streams.Inputs, *, mark_persons: bool = False) -> streams.Inputs:
+    """The inputs of a report, with the eligible persons staged, and of the procedures and specimens those
+    that code sets select for these persons. With ``mark_persons`` the persons are broadcast too, where they are few.
+
+    Diagnoses, exams, cases and morphologies that meet none of them, most of these tables, are dropped
+    first: by a broadcast semi-join where the visits or cases are few, else by a Bloom filter before the
+    shuffle of the semi-join, for which the session's settings are fitted to the keys."""
+    inputs = replace(inputs, eligible=staged(eligible_persons(inputs), "eligible-persons"))
+    sizes = sizing.measured({"eligible": inputs.eligible})
+    if mark_persons:
+        inputs = _marked(inputs, sizing.broadcastable({}, sizes=sizes))
+    persons = inputs.eligible.select("Sta3n", "PatientSID").distinct()
+    found = replace(selected(replace(inputs, persons=persons), sizes), persons=None)
+    return found if mark_persons else replace(found, run=replace(found.run, broadcast=found.run.broadcast - {"eligible"}))
+
+
+def selected(inputs: streams.Inputs, sizes: Mapping[str, tuple[int, int]] | None = None) -> streams.Inputs:
+    """The inputs with what code sets select staged: first of large dimensions, by which the facts are
+    filtered, then of the facts, whose keys filter those that meet them. Staged sides are marked that are
+    small enough to broadcast, the last ones together with those of ``sizes``."""
+    inputs = streams.with_codes(inputs)
+    cases = {f"{stream}_of_persons": rows for stream, rows in inputs.cases.items()}
+    found = streams.with_selections(_fitted(inputs, {**inputs.codes, **cases}))
+    keys = {f"{stream}_keys": rows for stream, rows in found.keys.items()}
+    # The sides of the selection are done with: they count no more.
+    others = replace(inputs.run, broadcast=inputs.run.broadcast - set(sizes or ()))
+    return _fitted(replace(found, run=others), keys, sizes)
+
+
+def _fitted(
+    inputs: streams.Inputs,
+    sides: Mapping[str, DataFrame],
+    more: Mapping[str, tuple[int, int]] | None = None,
+) -> streams.Inputs:
+    """``inputs`` with ``sides``, staged, marked that are small enough, together with those of sizes ``more``.
+    For the others the session's Bloom filters are fitted."""
+    sizes = sizing.measured(sides)
+    small = sizing.broadcastable(sides, sizes={**(more or {}), **sizes})
+    large = [sizes[name] for name in sides if name not in small]
+    if large:
+        session = inputs.tables["patient"].sparkSession
+        for name, value in sizing.filter_settings(max(n for n, _ in large), max(b for _, b in large)).items():
+            session.conf.set(name, value)
+    return _marked(inputs, small)
+
+
+def sized(inputs: streams.Inputs, of_persons: bool = False) -> streams.Inputs:
     """The inputs with join sides measured: every dimension in one job, the
     eligible persons, which every stream joins, from a staged copy. Sides within
     the broadcast bounds are marked; a single station's persons usually are.
 
-    The selected procedures and specimens are staged too. Diagnoses, exams and
-    morphologies that meet none of them, most of these tables, are dropped first: by a broadcast
-    semi-join where the visits or cases are few, else by a Bloom filter before the shuffle of the
-    semi-join, for which the session's settings are fitted to the keys. Last, the keys that hold many rows
+    What code sets select is staged too, and limits the facts that meet it (``selected``). ``of_persons`` is for
+    reports and takes only what eligible persons can meet (``limited``). Last, the keys that hold many rows
     are looked for, and only those are split over tasks."""
     held = {n: inputs.tables[n] for n in schemas.DIMENSIONS if n in inputs.tables}
     inputs = _marked(inputs, sizing.broadcastable(held))
+    if of_persons:
+        return streams.with_heavy_keys(limited(inputs, mark_persons=True))
     inputs = replace(inputs, eligible=staged(eligible_persons(inputs), "eligible-persons"))
-    inputs = streams.with_selections(inputs)
-    keys = {f"{stream}_keys": rows for stream, rows in inputs.keys.items()}
-    sides = {"eligible": inputs.eligible, **keys}
-    sizes = sizing.measured(sides)
-    small = sizing.broadcastable(sides, sizes=sizes)
-    large = [sizes[name] for name in keys if name not in small]
-    if large:
-        session = inputs.eligible.sparkSession
-        for name, value in sizing.filter_settings(max(n for n, _ in large), max(b for _, b in large)).items():
-            session.conf.set(name, value)
-    return streams.with_heavy_keys(_marked(inputs, small))
+    return streams.with_heavy_keys(selected(inputs, sizing.measured({"eligible": inputs.eligible})))
 
 
 def _marked(inputs: streams.Inputs, small: frozenset[str]) -> streams.Inputs:

@@ -75,6 +75,8 @@ class Inputs:
     eligible: DataFrame | None = None  # the report's persons, if already computed
     selected: Mapping[str, DataFrame] = field(default_factory=dict)  # staged rows, see SELECTIONS
     keys: Mapping[str, DataFrame] = field(default_factory=dict)  # their keys by section, staged
+    codes: Mapping[str, DataFrame] = field(default_factory=dict)  # staged rows of code dimensions, see CODES
+    cases: Mapping[str, DataFrame] = field(default_factory=dict)  # staged case keys of the wanted persons
     heavy: Mapping[str, skew.Slices] | None = None  # see with_heavy_keys; None: not looked for
 
     @property
@@ -103,6 +105,21 @@ class Inputs:
             return SELECTIONS[stream][0](self, sections)
         return self.selected[stream].where(F.col("section").isin([s.name for s in sections]))
 
+    def coded(self, name: str, sections: Sequence[Section]) -> DataFrame:
+        """Rows of dimension ``name`` in a code set of ``sections``, as a join side. Staged rows that are not
+        broadcast are sorted, and read as the rows of these sections, as in ``met``."""
+        if name not in self.codes:
+            return self.lookup(name, CODES[name][0](self, sections))
+        rows = self.codes[name].where(F.col("section").isin([s.name for s in sections]))
+        return F.broadcast(rows) if name in self.run.broadcast else rows.hint("merge")
+
+    def of_cases(self, df: DataFrame, stream: str) -> DataFrame:
+        """``df`` of the wanted persons' cases, where those are staged; others are filtered out as in ``met``."""
+        if stream not in self.cases:
+            return df
+        wanted = self.cases[stream].where(F.col("stream") == stream).drop("stream")
+        return df.join(self.lookup(f"{stream}_of_persons", wanted), SELECTIONS[stream][1], "left_semi")
+
     def slices(self, name: str) -> skew.Slices:
         """The heavy keys found under ``name``, if any were looked for."""
         return (self.heavy or {}).get(name, {})
@@ -231,18 +248,22 @@ def diagnoses(inputs: Inputs) -> DataFrame:
     return inputs.grain.of(inputs.of_visits(ids), "diagnosis")
 
 
-def coded_procedures(inputs: Inputs, sections: Sequence[Section]) -> DataFrame:
-    """Procedures in a section's code set, one row per section, with times as stored."""
-    codes = classified(
+def procedure_codes(inputs: Inputs, sections: Sequence[Section]) -> DataFrame:
+    """Procedure ids in a section's code set, one row per section."""
+    return classified(
         inputs.tables["cpt"],
         sections,
         lambda s: p.in_code_set(F.col("CPTCategory"), F.col("CPTName"), s.procedures),
         label=lambda s: x.labelled("CPT ", F.col("CPTName")),
         needs_exam=lambda s: F.lit(s.needs_exam),
     ).select("CPTSID", "Sta3n", "section", "label", "needs_exam")
+
+
+def coded_procedures(inputs: Inputs, sections: Sequence[Section]) -> DataFrame:
+    """Procedures in a section's code set, one row per section, with times as stored."""
     return (
         inputs.recent(inputs.tables["v_procedure"], F.col("VisitDateTime"))
-        .join(inputs.lookup("cpt", codes), ["CPTSID", "Sta3n"])
+        .join(inputs.coded("cpt", sections), ["CPTSID", "Sta3n"])
         .select(
             "section",
             "needs_exam",
@@ -477,25 +498,29 @@ def _of_case(
     """Cases of the wanted persons with their specimens and morphologies. One unknown case
     may hold much of ``cases``."""
     keys, heavy = SELECTIONS[stream][1], inputs.slices(f"{stream}_cases")
+    cases = inputs.met(cases, stream)
     rows = inputs.grain.of(inputs.of_persons(cases, stream, *keys[1:], "event_ts"), "case")
     rows = skew.sliced_join(rows, specimens, keys, heavy, ["PatientSID", "event_ts"])
     spread_by = ["PatientSID", "event_ts", *[c for c in specimens.columns if c not in keys]]
     return skew.sliced_join(rows, morphologies, keys, heavy, spread_by, "left")
 
 
-def cytology_specimens(inputs: Inputs, sections: Sequence[Section]) -> DataFrame:
-    """Specimens taken from a section's topographies, one row per section."""
-    t = inputs.tables
-    sites = classified(
-        t["topography"],
+def topographies(inputs: Inputs, sections: Sequence[Section]) -> DataFrame:
+    """A section's topographies, one row per section."""
+    return classified(
+        inputs.tables["topography"],
         sections,
         lambda s: p.in_text_set(F.col("Topography"), s.topography),
         code1=lambda s: x.labelled("SNOMED ", F.col("SNOMEDCode")),
-    ).withColumnRenamed("TopographyIEN", "TopographyFieldIEN")
+    ).select(F.col("TopographyIEN").alias("TopographyFieldIEN"), "Sta3n", "section", "Topography", "code1")
+
+
+def cytology_specimens(inputs: Inputs, sections: Sequence[Section]) -> DataFrame:
+    """Specimens taken from a section's topographies, one row per section."""
     partial = inputs.spec.switches.keep_partial_labels
     return (
-        t["cyto_specimen"]
-        .join(inputs.lookup("topography", sites), ["TopographyFieldIEN", "Sta3n"])
+        inputs.of_cases(inputs.tables["cyto_specimen"], "cytology")
+        .join(inputs.coded("topography", sections), ["TopographyFieldIEN", "Sta3n"])
         .select(
             *_CYTOLOGY_CASE,
             "section",
@@ -537,7 +562,7 @@ def cytology(inputs: Inputs) -> DataFrame:
 def surgical_specimens(inputs: Inputs, sections: Sequence[Section]) -> DataFrame:
     """Specimens with a section's names, one row per section."""
     return classified(
-        inputs.tables["surg_specimen"],
+        inputs.of_cases(inputs.tables["surg_specimen"], "surgical"),
         sections,
         lambda s: p.in_text_set(F.col("Specimen"), s.specimens),
     )
@@ -608,15 +633,45 @@ SELECTIONS: dict[str, tuple[Callable[[Inputs, Sequence[Section]], DataFrame], li
     "surgical": (surgical_specimens, _SURGICAL_CASE),
 }
 
+#: The facts that say whose a case is.
+_CASES = {"cytology": "cytopathology", "surgical": "surgical_pathology"}
+
+#: Dimensions that may be large, whose rows a code set selects, and the stream they are of.
+CODES: dict[str, tuple[Callable[[Inputs, Sequence[Section]], DataFrame], str]] = {
+    "cpt": (procedure_codes, "procedures"),
+    "topography": (topographies, "cytology"),
+}
+
+
+def with_codes(inputs: Inputs) -> Inputs:
+    """The inputs with the selected rows of dimensions staged that are not broadcast, and the case keys of
+    the wanted persons."""
+    codes, cases = {}, {}
+    for name, (select, stream) in CODES.items():
+        sections = [s for s in inputs.spec.sections if _NEEDS[stream](s)]
+        if sections and name not in inputs.run.broadcast:
+            codes[name] = staged(select(inputs, sections), f"codes-{name}")
+    for stream, fact in _CASES.items():
+        if inputs.persons is not None and stream in present(inputs.spec):
+            keys = SELECTIONS[stream][1]
+            held = inputs.tables[fact].select(*_PERSON, *keys[1:])
+            held = inputs.of_persons(held, stream, *keys[1:]).select(*keys).distinct()
+            cases[stream] = staged(held.withColumn("stream", F.lit(stream)), f"cases-{stream}")
+    return replace(inputs, codes=codes, cases=cases)
+
 
 def with_selections(inputs: Inputs) -> Inputs:
     """The inputs with the selected rows staged, and the distinct keys of them: their facts
-    are read once, here."""
+    are read once, here. Where ``inputs`` are limited to some persons, so are the selected rows:
+    procedures by their person, specimens by the cases of these persons."""
     found, met = {}, {}
     for stream, (select, keys) in SELECTIONS.items():
         sections = [s for s in inputs.spec.sections if _NEEDS[stream](s)]
         if sections:
-            found[stream] = staged(select(inputs, sections), f"selected-{stream}")
+            rows = select(inputs, sections)
+            if stream not in _CASES:
+                rows = inputs.of_persons(rows, stream, "VisitSID", "event_ts", "label", "comments")
+            found[stream] = staged(rows, f"selected-{stream}")
             met[stream] = staged(found[stream].select("section", *keys).distinct(), f"keys-{stream}")
     return replace(inputs, selected=found, keys=met)
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import replace
 
 import pytest
+from clinic import Clinic
 from pyspark.sql import functions as F
 
 from cohortloom.operators import sizing
@@ -133,6 +134,48 @@ def test_facts_met_by_many_keys_are_filtered_before_the_shuffle(spark, monkeypat
             spark.conf.set(key, value)
 
 
+@pytest.mark.parametrize("few", [True, False])
+def test_a_report_stages_only_what_its_persons_can_meet(spark, monkeypatch, few):
+    clinic = Clinic().person().person(2, Gender="M").code(7, "OBSTETRIC", "VISIT")
+    for sid in (1, 2):
+        clinic.procedure(7, visit=sid, sid=sid).diagnosis(sid, visit=sid, sid=sid)
+        clinic.cyto("CERVIX", sid=sid, findings=("DYSPLASIA",))
+    given = clinic.inputs(spark)
+    if not few:
+        monkeypatch.setattr(sizing, "within", lambda *sizes: frozenset())
+    whole, limited = plan.sized(given), [plan.limited(given), plan.sized(given, of_persons=True)]
+    for stream in ("procedures", "cytology"):
+        found = whole.selected[stream].count()
+        assert found and found == 2 * limited[0].selected[stream].count() == 2 * limited[1].selected[stream].count()
+    for one in limited:
+        assert one.persons is None and ("eligible" in one.run.broadcast) == (few and one is limited[1])
+        rows = sorted(map(str, plan.report(one).collect()))
+        assert rows and rows == sorted(map(str, plan.report(given).collect()))
+
+
+def test_sections_of_staged_rows_are_the_same(inputs):
+    assert same_rows(sections.all_events(inputs), sections.all_events(plan.selected(inputs)))
+
+
+def test_facts_are_filtered_by_large_code_dimensions(spark, inputs, monkeypatch):
+    """The staged codes are sorted where they are not broadcast, and filter procedures and specimens below
+    the first exchange."""
+    names = [*sizing.filter_settings(1, 1), "spark.sql.autoBroadcastJoinThreshold"]
+    before = {k: spark.conf.get(k) for k in names}
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        monkeypatch.setattr(sizing, "within", lambda *sizes: frozenset())
+        large = plan._fitted(streams.with_codes(inputs), {})
+        for key, value in sizing.filter_settings(100_000, 1 << 20).items():
+            spark.conf.set(key, "0" if key.endswith("ScanSizeThreshold") else value)
+        for rows in (streams.coded_procedures, streams.cytology_specimens):
+            text = physical(rows(large, [s for s in inputs.spec.sections]))
+            assert "might_contain" in text
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
 def test_filters_have_a_bound():
     settings = sizing.filter_settings(10**12, 10**13)
     bits = {v for k, v in settings.items() if k.endswith("Bits")}
